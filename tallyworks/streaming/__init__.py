@@ -1,0 +1 @@
+"""No streaming operator: every input of the three jobs is a finished table, read whole."""
