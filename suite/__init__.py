@@ -4,5 +4,5 @@ from importlib import import_module
 
 
 def load_all() -> None:
-    for part in ("relational",):
+    for part in ("relational", "costing"):
         import_module(f"suite.{part}")
