@@ -4,5 +4,5 @@ from importlib import import_module
 
 
 def load_all() -> None:
-    for part in ("relational", "costing"):
+    for part in ("relational", "costing", "quality", "export"):
         import_module(f"suite.{part}")

@@ -20,7 +20,7 @@ from tallyworks.functions.nullsafe import sum0, with_keys
 HOT_ROWS = 4_000_000
 SPREAD = 1024
 
-_ROWS, _HOT, _COLD, _SLOT = "_group_rows", "_hot_values", "_cold_values", "_slot"
+_ROWS, _HOT, _COLD, _SLOT, _GROUP_SLOT = "_group_rows", "_hot_values", "_cold_values", "_slot", "_group_slot"
 
 
 def group_aggregate(df: DataFrame, keys: Sequence[str], values: Sequence[Column]) -> DataFrame:
@@ -40,36 +40,57 @@ def sized_groups(df: DataFrame, keys: Sequence[str], values: Sequence[Column],
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "left",
-           null_safe: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join one-row-per-key `groups` (from `sized_groups`) to detail rows on `keys`.
+           null_safe: bool = False, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """Join `groups`, one row per key, to detail rows on `keys`; `how` is left or inner.
 
-    `how` is left or inner. With `null_safe`, a missing key part meets a missing key part.
+    Groups straight from `sized_groups` bring their row counts, and the values of hot groups travel
+    in the broadcast. Groups that cost more to work out come with `sizes` (keys and `_group_rows`):
+    then only the hot keys are broadcast, and the rows and copies of a hot group are dealt to as
+    many slots as it has HOT_ROWS. With `null_safe`, a missing key part meets a missing key part.
     """
+    if sizes is not None:
+        return _attach_by_slots(rows, groups, sizes, keys, how, null_safe, hot_rows)
     values = [c for c in groups.columns if c not in keys and c != _ROWS]
-    renamed = [F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)]
+    renamed = _renamed(keys)
     packed = F.struct(*[F.col(v) for v in values])
     hot = groups.filter(F.col(_ROWS) > hot_rows).select(*renamed, packed.alias(_HOT))
     cold = groups.filter(F.col(_ROWS) <= hot_rows).select(
-        *renamed, packed.alias(_COLD), F.lit(0).cast("int").alias("_slot_cold"))
-
-    def match(side: DataFrame) -> Column:
-        pairs = [(F.col(k), side[f"_k_{i}"]) for i, k in enumerate(keys)]
-        return reduce(lambda a, b: a & b, [l.eqNullSafe(r) if null_safe else l == r for l, r in pairs])
-
-    out_names = [f"_k_{i}" for i in range(len(keys))]
+        *renamed, packed.alias(_COLD), F.lit(0).cast("int").alias(_GROUP_SLOT))
     slot = F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int") + 1
     spread = (
-        rows.join(F.broadcast(hot), match(hot), "left")
-        .drop(*out_names)
-        .withColumn(_SLOT, F.when(F.col(_HOT).isNotNull(), slot).otherwise(F.lit(0)))
+        rows.join(F.broadcast(hot), _match(hot, keys, null_safe), "left")
+        .select(*rows.columns, _HOT, F.when(F.col(_HOT).isNotNull(), slot).otherwise(F.lit(0)).alias(_SLOT))
     )
-    joined = spread.join(cold, match(cold) & (F.col(_SLOT) == cold["_slot_cold"]), "left")
+    joined = spread.join(cold, _match(cold, keys, null_safe) & (F.col(_SLOT) == cold[_GROUP_SLOT]), "left")
     found = F.coalesce(F.col(_HOT), F.col(_COLD))
     if how == "inner":
         joined = joined.filter(found.isNotNull())
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
 
 
+def _renamed(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)]
+
+
+def _match(side: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
+    pairs = [(F.col(k), side[f"_k_{i}"]) for i, k in enumerate(keys)]
+    return reduce(lambda a, b: a & b, [l.eqNullSafe(r) if null_safe else l == r for l, r in pairs])
+
+
+def _attach_by_slots(rows: DataFrame, groups: DataFrame, sizes: DataFrame, keys: Sequence[str], how: str,
+                     null_safe: bool, hot_rows: int) -> DataFrame:
+    values = [c for c in groups.columns if c not in keys]
+    hot = F.broadcast(sizes.filter(F.col(_ROWS) > hot_rows).select(
+        *_renamed(keys), F.ceil(F.col(_ROWS) / F.lit(hot_rows)).cast("int").alias("_slots")))
+    one = F.coalesce(F.col("_slots"), F.lit(1))
+    dealt = rows.join(hot, _match(hot, keys, null_safe), "left").select(
+        *rows.columns, F.pmod(F.xxhash64(*rows.columns), one).cast("int").alias(_SLOT))
+    copies = groups.join(hot, _match(hot, keys, null_safe), "left").select(
+        *_renamed(keys), *values, F.explode(F.sequence(F.lit(0), one - 1)).alias(_GROUP_SLOT))
+    joined = dealt.join(copies, _match(copies, keys, null_safe) & (F.col(_SLOT) == copies[_GROUP_SLOT]), how)
+    return joined.select(*rows.columns, *values)
+
+
 def attach_group_values(df: DataFrame, keys: Sequence[str], values: Sequence[Column],
                         hot_rows: int = HOT_ROWS) -> DataFrame:
     """Give each row the aggregates of its group; null for rows with a missing key part."""

@@ -228,10 +228,10 @@ def place_format(place: Place) -> Callable[[Column, int], Column]:
     return plain_number if place.kind.startswith("num") else plain_text
 
 
-def drop_blank_rows(df: DataFrame) -> DataFrame:
-    """Without the rows in which every column is missing or blank."""
+def drop_blank_rows(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Without the rows in which every column (of `names`, else of all) is missing or blank."""
     return df.filter(F.greatest(*[F.coalesce(strip(F.col(f"`{c}`").cast("string")) != "", F.lit(False))
-                                  for c in df.columns], F.lit(False)))
+                                  for c in names or df.columns], F.lit(False)))
 
 
 def _place_values(df: DataFrame, places: Sequence[Place], number: str) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.arrays import similarity
-from tallyworks.functions.numbers import is_number, round_exact, round_scaled
+from tallyworks.functions.numbers import half_up, is_number, round_exact, round_scaled
 from tallyworks.functions.patterns import FULL_DATE_IN_NAME, is_clean_name
 from tallyworks.functions.strings import joined, strip
 from tallyworks.operators.groups import HOT_ROWS, attach
@@ -55,7 +55,7 @@ def _declared_type(spark_type: str) -> str | None:
     return BOOLEAN if spark_type == "boolean" else None
 
 
-def column_counts(df: DataFrame) -> DataFrame:
+def column_counts(df: DataFrame, numbers: bool = True, dates: bool = True) -> DataFrame:
     """Per column: rows, present values, number-like and date-like texts; one pass over the table."""
     declared = dict(df.dtypes)
     zero = F.lit(0).cast("long")
@@ -66,8 +66,8 @@ def column_counts(df: DataFrame) -> DataFrame:
         return F.struct(
             F.lit(name).alias("column"), F.lit(_declared_type(declared[name])).cast("string").alias("declared"),
             F.count(F.lit(1)).alias("rows"), F.count(col).alias("present"),
-            (F.count_if(is_number(col)) if text else zero).alias("numbers"),
-            (F.count_if(is_date(col)) if text else zero).alias("dates"))
+            (F.count_if(is_number(col)) if text and numbers else zero).alias("numbers"),
+            (F.count_if(is_date(col)) if text and dates else zero).alias("dates"))
 
     one_row = df.agg(F.array(*[counts(c) for c in df.columns]).alias("_c"))
     return one_row.select(F.explode("_c").alias("_c")).select("_c.*")
@@ -78,12 +78,13 @@ def null_percent(present: Column, rows: Column) -> Column:
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:
-    return column_counts(df).select("column", null_percent(F.col("present"), F.col("rows")).alias("pct_null"))
+    return column_counts(df, numbers=False, dates=False).select(
+        "column", null_percent(F.col("present"), F.col("rows")).alias("pct_null"))
 
 
 def profile_types(df: DataFrame, infer: bool = False) -> DataFrame:
     """Type class per column; `infer` first applies the four-fifths rule to text columns."""
-    counted = column_counts(df)
+    counted = column_counts(df, dates=infer)
     present, numbers, dates = F.col("present"), F.col("numbers"), F.col("dates")
     texts = inferred_type(present, numbers, dates) if infer else text_type(present, numbers)
     kind = F.when(present == 0, F.lit(EMPTY)).otherwise(F.coalesce("declared", texts))
@@ -166,7 +167,7 @@ def sheet_summary(sheets: DataFrame, body: DataFrame) -> DataFrame:
               .groupBy(*SHEET).agg(F.count(F.lit(1)).alias("rows_with_data")))
     mixed = F.sort_array(F.collect_list(F.when(F.col("type") == MIXED, F.struct("col", "column"))))
     columns = column_profile(sheets, body).groupBy(*SHEET).agg(
-        F.transform(mixed, lambda m: m["column"]).alias("_mixed"), F.avg("pct_null").alias("mean_null"))
+        F.transform(mixed, lambda m: m["column"]).alias("_mixed"), (half_up(F.sum("pct_null"), 1) / F.count("pct_null")).alias("mean_null"))
     joined_up = sheets.join(filled, SHEET, "left").join(columns, SHEET, "left")
     data, total = F.coalesce("rows_with_data", F.lit(0)), F.col("rows_total")
     blank, head = F.col("is_blank"), F.coalesce(F.col("header_row"), F.lit(0)).cast("long")

@@ -7,15 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.numbers import round_exact
+from tallyworks.functions.numbers import half_up, round_exact
 from tallyworks.plans.rules import CATEGORIES, CODES
 
 # Fixed value: width of a file name in the rankings.
 NAME_WIDTH = 40
 
 
+def total_score(score: str) -> Column:
+    """Sum of one-decimal scores, freed of what adding doubles in another order would change."""
+    return half_up(F.sum(score), 1)
+
+
 def mean_score(score: str) -> Column:
-    return round_exact(F.sum(score) / F.greatest(F.count(F.lit(1)), F.lit(1)), 1)
+    return round_exact(total_score(score) / F.greatest(F.count(F.lit(1)), F.lit(1)), 1)
 
 
 def score_kpis(scores: DataFrame, score: str = "score") -> DataFrame:
@@ -38,7 +43,7 @@ def score_by_group(scores: DataFrame, group: str = "group", score: str = "score"
     return (scores.groupBy(group)
             .agg(F.count(F.lit(1)).alias("files"), mean_score(score).alias("mean_score"),
                  F.min(score).alias("worst_score"), F.max(score).alias("best_score"),
-                 (F.sum(score) / F.count(F.lit(1))).alias("_exact"))
+                 (total_score(score) / F.count(F.lit(1))).alias("_exact"))
             .orderBy(F.col("_exact").desc(), group).drop("_exact"))
 
 

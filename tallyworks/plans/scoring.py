@@ -39,35 +39,48 @@ def _given(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")) != ""
 
 
-def level_columns() -> dict[str, Column]:
-    """Level of each rule from a file row.
+def text_features() -> dict[str, Column]:
+    """What the rules ask of names and texts, each pattern tried once per file."""
+    name, names = F.col("name"), P.joined_names(F.col("columns"))
+    subject = F.coalesce("subject", F.lit(""))
+    context = F.concat_ws(" ", name, "subject", "sender", names, "subfolder")
+    rest = F.length(F.regexp_replace(name, P.LONG_DATE_IN_NAME, ""))
+    return {
+        "_date_column": P.mentions(names, [P.DATE_COLUMN]),
+        "_dated_name": P.date_in_name(name),
+        "_mostly_date": rest < F.length(name) * F.lit(0.6),
+        "_client_column": P.mentions(names, P.CLIENT_WORDS),
+        "_client_name": P.mentions(name, P.CLIENT_WORDS) | P.mentions(subject, P.CLIENT_WORDS),
+        "_period_column": P.mentions(names, P.PERIOD_WORDS),
+        "_own_code": P.mentions(names, [P.OWN_PRODUCT_CODE]),
+        "_maker_code": P.mentions(names, [P.MAKER_PRODUCT_CODE]),
+        "_client_code": P.mentions(names, [P.CLIENT_PRODUCT_CODE]),
+        "_product_column": P.mentions(names, P.PRODUCT_WORDS),
+        "_units": P.count_mentions(names, P.UNIT_WORDS),
+        "_unit_of_measure": P.mentions(names, [P.UNIT_OF_MEASURE]),
+        "_purpose_column": P.mentions(names, PURPOSE_WORDS),
+        "_purpose_name": P.mentions(F.concat(name, subject), PURPOSE_WORDS),
+        "_values": P.count_mentions(names, P.VALUE_WORDS),
+        "_currency": P.mentions(context, P.CURRENCY_WORDS),
+    }
 
-    Columns used: name, subject, sender, message_date, mtime, subfolder, group, group_files,
-    similarity, from_mail, columns (array), has_date_column, mean_clean, has_password, error,
-    sheets, num_sheets, sheets_with_data, has_pivot, has_table, merged, mixed, leading_blank,
-    header_ok, mean_null.
-    """
-    names, name = F.col("columns"), F.col("name")
-    all_names = F.concat_ws(" ", names)
+
+def level_columns() -> dict[str, Column]:
+    """Level of each rule from a file row and its text features; the first case that holds counts."""
     merged, mixed, blank = F.col("merged"), F.col("mixed"), F.col("leading_blank")
     pivot, table = F.col("has_pivot"), F.col("has_table")
     with_data, n_sheets = F.col("sheets_with_data"), F.col("num_sheets")
-    dated_name = P.date_in_name(name)
-    rest = F.length(F.regexp_replace(name, P.LONG_DATE_IN_NAME, ""))
-    units, values = P.count_mentions(names, P.UNIT_WORDS), P.count_mentions(names, P.VALUE_WORDS)
-    context = F.concat_ws(" ", name, "subject", "sender", all_names, "subfolder")
-    currency = P.mentions(context, P.CURRENCY_WORDS)
-    purpose = P.mentions(all_names, PURPOSE_WORDS)
+    units, values, currency = F.col("_units"), F.col("_values"), F.col("_currency")
+    dated, purpose = F.col("_dated_name"), F.col("_purpose_column")
     tidy = (blank == 0) & (merged == 0) & (mixed == 0) & (F.col("header_ok") == with_data)
     clean_level = graded(F.coalesce("mean_clean", F.lit(0.0)), CLEAN_LEVELS, UNUSABLE)
     return {
-        "A": _first((P.any_mentions(names, [P.DATE_COLUMN]), 0), (dated_name, 1), (_given("message_date"), 2),
-                    (_given("mtime"), 3), otherwise=4),
-        "B": _first((P.mentions(all_names, P.CLIENT_WORDS), 0),
-                    (P.mentions(name, P.CLIENT_WORDS) | P.mentions(F.col("subject"), P.CLIENT_WORDS), 1),
-                    (F.col("sender").contains("@"), 2), (F.col("group") != NO_GROUP, 3), otherwise=4),
-        "C": _first((F.col("has_date_column"), 0), (P.mentions(all_names, P.PERIOD_WORDS), 1),
-                    (dated_name & (rest < F.length(name) * F.lit(0.6)), 3), (dated_name, 4), otherwise=5),
+        "A": _first((F.col("_date_column"), 0), (dated, 1), (_given("message_date"), 2), (_given("mtime"), 3),
+                    otherwise=4),
+        "B": _first((F.col("_client_column"), 0), (F.col("_client_name"), 1), (F.col("sender").contains("@"), 2),
+                    (F.col("group") != NO_GROUP, 3), otherwise=4),
+        "C": _first((F.col("has_date_column"), 0), (F.col("_period_column"), 1), (dated & F.col("_mostly_date"), 3),
+                    (dated, 4), otherwise=5),
         "D": _first((F.col("group_files") >= 3, 0), (F.col("from_mail"), 2), otherwise=1),
         "E": F.when((F.col("group_files") > 1) & F.col("similarity").isNotNull(),
                     graded(F.col("similarity"), SIMILARITY_LEVELS, UNUSABLE)).otherwise(clean_level),
@@ -80,19 +93,25 @@ def level_columns() -> dict[str, Column]:
         "J": _first((tidy & (F.coalesce("mean_null", F.lit(0.0)) < 5), 0), (tidy, 1), ((blank > 0) & (blank <= 5), 2),
                     (blank > 5, 3), (merged > 20, 4), otherwise=1),
         "K": _first(((merged > 50) | (mixed > 5), 3), (pivot, 2), ((merged > 10) | (mixed > 2), 1), otherwise=0),
-        "L": _first((P.any_mentions(names, [P.OWN_PRODUCT_CODE]), 0), (P.any_mentions(names, [P.MAKER_PRODUCT_CODE]), 1),
-                    (P.any_mentions(names, [P.CLIENT_PRODUCT_CODE]), 2), (P.mentions(all_names, P.PRODUCT_WORDS), 3),
-                    otherwise=4),
-        "M": _first((units == 1, 0), (units > 1, 1), (P.any_mentions(names, [P.UNIT_OF_MEASURE]), 2), otherwise=3),
-        "N": _first((purpose & P.mentions(F.concat(name, F.coalesce("subject", F.lit(""))), PURPOSE_WORDS), 0),
-                    (purpose, 1), otherwise=2),
+        "L": _first((F.col("_own_code"), 0), (F.col("_maker_code"), 1), (F.col("_client_code"), 2),
+                    (F.col("_product_column"), 3), otherwise=4),
+        "M": _first((units == 1, 0), (units > 1, 1), (F.col("_unit_of_measure"), 2), otherwise=3),
+        "N": _first((purpose & F.col("_purpose_name"), 0), (purpose, 1), otherwise=2),
         "O": _first(((values == 1) & currency, 0), ((values > 1) & currency, 1), (values > 0, 2), otherwise=3),
     }
 
 
 def rule_levels(files: DataFrame) -> DataFrame:
-    """The file rows with one level column per rule."""
-    return files.withColumns({f"level_{c}": level.cast("int") for c, level in level_columns().items()})
+    """The file rows with one level column per rule.
+
+    Columns used: name, subject, sender, message_date, mtime, subfolder, group, group_files,
+    similarity, from_mail, columns (array), has_date_column, mean_clean, has_password, error,
+    sheets, num_sheets, sheets_with_data, has_pivot, has_table, merged, mixed, leading_blank,
+    header_ok, mean_null.
+    """
+    features = text_features()
+    levels = {f"level_{c}": level.cast("int") for c, level in level_columns().items()}
+    return files.withColumns(features).withColumns(levels).drop(*features)
 
 
 def _remaining(level: Column, max_level: int) -> Column:
