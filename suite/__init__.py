@@ -4,5 +4,5 @@ from importlib import import_module
 
 
 def load_all() -> None:
-    for part in ("relational", "costing", "quality", "export"):
+    for part in ("relational", "costing", "quality", "export", "scalars"):
         import_module(f"suite.{part}")

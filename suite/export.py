@@ -197,12 +197,12 @@ WITH {LAYOUT_CTE},
 c0 AS (SELECT c_custkey, {', '.join(f'{e} AS {n}' for n, e in PLACED.items())} FROM customer WHERE c_custkey % 13 <> 0),
 cu AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS number, coalesce({_number('f201_cupo_credito')}, 0) AS cupo,
   CASE WHEN regexp_replace(pais, '[^0-9-]', '', 'g') IN ('', '-') THEN '0' ELSE regexp_replace(pais, '[^0-9-]', '', 'g') END AS pd FROM c0)
-SELECT number, concat(lpad(CAST(number AS VARCHAR), k, '0'), lpad('201', n, '0'), '  ', rpad(trim(coalesce(descripcion, '')), m, ' '),
-    CASE WHEN cupo < 0 THEN '-' ELSE '+' END, right(lpad(split_part(printf('%.4f', abs(cupo)), '.', 1), a - 6, '0'), a - 6), '.', split_part(printf('%.4f', abs(cupo)), '.', 2),
-    rpad(trim(coalesce(segmento, '')), s, ' '), '  ',
+SELECT number, concat(lpad(CAST(number AS VARCHAR), k::INT, '0'), lpad('201', n::INT, '0'), '  ', rpad(trim(coalesce(descripcion, '')), m::INT, ' '),
+    CASE WHEN cupo < 0 THEN '-' ELSE '+' END, right(lpad(split_part(printf('%.4f', abs(cupo)), '.', 1), (a - 6)::INT, '0'), a - 6), '.', split_part(printf('%.4f', abs(cupo)), '.', 2),
+    rpad(trim(coalesce(segmento, '')), s::INT, ' '), '  ',
     CASE WHEN coalesce(pais, '') = '' THEN CASE WHEN n <= 4 THEN repeat('0', n) ELSE repeat(' ', n) END
       WHEN starts_with(pd, '-') THEN '-' || lpad(regexp_replace(pd, '^-+', ''), CAST(n - 1 AS INTEGER), '0') ELSE lpad(pd, CAST(n AS INTEGER), '0') END,
-    rpad(regexp_replace(coalesce(f201_fecha_ingreso, ''), '[^0-9]', '', 'g'), m, ' ')) AS line,
+    rpad(regexp_replace(coalesce(f201_fecha_ingreso, ''), '[^0-9]', '', 'g'), m::INT, ' ')) AS line,
   concat_ws('; ', CASE WHEN trim(coalesce(descripcion, '')) = '' THEN 'Campo obligatorio vacío: Descripción' END,
     CASE WHEN trim(coalesce(pais, '')) = '' THEN 'Campo obligatorio vacío: pais' END) AS warnings
 FROM cu, w""")

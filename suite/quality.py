@@ -363,7 +363,7 @@ CURRENCY_SQL = _has("concat_ws(' ', name, subject, sender, every, subfolder)", P
 DATED_SQL = _has("name", P.DATE_IN_NAME)
 TIDY_SQL = "leading_blank = 0 AND merged = 0 AND mixed = 0 AND header_ok = sheets_with_data"
 LEVEL_SQL = {
-    "A": f"CASE WHEN {_one([P.DATE_COLUMN])} THEN 0 WHEN {DATED_SQL} THEN 1 WHEN message_date IS NOT NULL THEN 2 WHEN mtime IS NOT NULL THEN 3 ELSE 4 END",
+    "A": f"CASE WHEN {_one(P.DATE_COLUMN)} THEN 0 WHEN {DATED_SQL} THEN 1 WHEN message_date IS NOT NULL THEN 2 WHEN mtime IS NOT NULL THEN 3 ELSE 4 END",
     "B": f"CASE WHEN {_has('every', P.CLIENT_WORDS)} THEN 0 WHEN {_has('name', P.CLIENT_WORDS)} OR {_has('subject', P.CLIENT_WORDS)} THEN 1"
          " WHEN contains(sender, '@') THEN 2 WHEN grp <> 'SIN_GRUPO' THEN 3 ELSE 4 END",
     "C": f"CASE WHEN has_date_column THEN 0 WHEN {_has('every', P.PERIOD_WORDS)} THEN 1 WHEN {DATED_SQL} THEN"
@@ -378,9 +378,9 @@ LEVEL_SQL = {
     "J": f"CASE WHEN {TIDY_SQL} THEN CASE WHEN coalesce(mean_null, 0) < 5 THEN 0 ELSE 1 END WHEN leading_blank > 0 AND leading_blank <= 5 THEN 2"
          " WHEN leading_blank > 5 THEN 3 WHEN merged > 20 THEN 4 ELSE 1 END",
     "K": "CASE WHEN merged > 50 OR mixed > 5 THEN 3 WHEN has_pivot THEN 2 WHEN merged > 10 OR mixed > 2 THEN 1 ELSE 0 END",
-    "L": f"CASE WHEN {_one([P.OWN_PRODUCT_CODE])} THEN 0 WHEN {_one([P.MAKER_PRODUCT_CODE])} THEN 1 WHEN {_one([P.CLIENT_PRODUCT_CODE])} THEN 2"
+    "L": f"CASE WHEN {_one(P.OWN_PRODUCT_CODE)} THEN 0 WHEN {_one(P.MAKER_PRODUCT_CODE)} THEN 1 WHEN {_one(P.CLIENT_PRODUCT_CODE)} THEN 2"
          f" WHEN {_has('every', P.PRODUCT_WORDS)} THEN 3 ELSE 4 END",
-    "M": f"CASE WHEN {_count(P.UNIT_WORDS)} = 1 THEN 0 WHEN {_count(P.UNIT_WORDS)} > 1 THEN 1 WHEN {_one([P.UNIT_OF_MEASURE])} THEN 2 ELSE 3 END",
+    "M": f"CASE WHEN {_count(P.UNIT_WORDS)} = 1 THEN 0 WHEN {_count(P.UNIT_WORDS)} > 1 THEN 1 WHEN {_one(P.UNIT_OF_MEASURE)} THEN 2 ELSE 3 END",
     "N": f"CASE WHEN {_has('every', SQL_PURPOSE)} THEN CASE WHEN {_has('concat(name, subject)', SQL_PURPOSE)} THEN 0 ELSE 1 END ELSE 2 END",
     "O": f"CASE WHEN {_count(P.VALUE_WORDS)} = 1 AND {CURRENCY_SQL} THEN 0 WHEN {_count(P.VALUE_WORDS)} > 1 AND {CURRENCY_SQL} THEN 1"
          f" WHEN {_count(P.VALUE_WORDS)} > 0 THEN 2 ELSE 3 END",

@@ -35,11 +35,11 @@ DATE_IN_NAME = [r"\d{4}[-_]\d{2}[-_]\d{2}", r"\d{2}[-_]\d{2}[-_]\d{4}", r"\d{4}[
                 r"q[1-4][-_]\d{4}", r"\d{4}q[1-4]"]
 
 # Single patterns of the rules.
-DATE_COLUMN = "fecha|date|period|mes|month"
-OWN_PRODUCT_CODE = r"\bd56\b"
-MAKER_PRODUCT_CODE = r"(cod|ref|sku)[\s_]?(abbott|prod)"
-CLIENT_PRODUCT_CODE = "(cod|ref|sku|item)"
-UNIT_OF_MEASURE = "uom|unidad_medida|unit_measure"
+DATE_COLUMN = ["fecha", "date", "period", "mes", "month"]
+OWN_PRODUCT_CODE = [r"\bd56\b"]
+MAKER_PRODUCT_CODE = [r"(cod|ref|sku)[\s_]?(abbott|prod)"]
+CLIENT_PRODUCT_CODE = ["cod", "ref", "sku", "item"]
+UNIT_OF_MEASURE = ["uom", "unidad_medida", "unit_measure"]
 LONG_DATE_IN_NAME = r"[\s_\-]?\d{4}[-_]?\d{0,2}"
 FULL_DATE_IN_NAME = r"[\s_\-]?\d{4}[-_]?\d{0,2}[-_]?\d{0,2}"
 NAME_OUTSIDE_CLEAN = r"[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _\-./()]"
@@ -56,14 +56,33 @@ SIGNED_CREDIT = r"^[+-]\d{15}\.\d{4}$"
 NAME_MARK = "\x00"
 
 
-def any_of(patterns: Sequence[str]) -> str:
-    """One alternation of several patterns, to be tried on lower-case text."""
-    return "(" + "|".join(patterns) + ")"
+def _plain(pattern: str) -> bool:
+    return not any(c in pattern for c in r".\[](){}*+?|^$")
 
 
-def mentions(text: Column, patterns: Sequence[str]) -> Column:
-    """Whether any pattern occurs, without regard to case; a missing text mentions nothing."""
-    return F.coalesce(F.lower(text).rlike(any_of(patterns)), F.lit(False))
+def any_sql(text: str, patterns: Sequence[str]) -> str:
+    """SQL test whether any pattern occurs in a lower-case text.
+
+    Plain words are searched as such, which is far cheaper than an alternation; a word containing
+    another word of the list adds nothing. What remains is tried as one regular expression.
+    """
+    words = [p for p in patterns if _plain(p)]
+    words = [w for w in words if not any(v != w and v in w for v in words)]
+    tests = [f"contains({text}, '{w}')" for w in words]
+    rest = [p for p in patterns if not _plain(p)]
+    if rest:
+        tests.append(f"{text} RLIKE r'({'|'.join(rest)})'")
+    return "(" + " OR ".join(tests) + ")"
+
+
+def mentions(text: str, patterns: Sequence[str]) -> Column:
+    """Whether any pattern occurs in a lower-case text column; a missing text mentions nothing."""
+    return F.expr(f"coalesce({any_sql(text, patterns)}, false)")
+
+
+def count_mentions(names: str, patterns: Sequence[str]) -> Column:
+    """How many texts of a column of lower-case lists mention any pattern."""
+    return F.expr(f"greatest(size(filter({names}, n -> {any_sql('n', patterns)})), 0)")
 
 
 def joined_names(names: Column) -> Column:
@@ -71,13 +90,7 @@ def joined_names(names: Column) -> Column:
     return F.lower(F.array_join(names, NAME_MARK))
 
 
-def count_mentions(joined: Column, patterns: Sequence[str]) -> Column:
-    """How many names of a joined list mention any pattern."""
-    inside = f"[^{NAME_MARK}]*"
-    return F.coalesce(F.regexp_count(joined, F.lit(inside + any_of(patterns) + inside)), F.lit(0))
-
-
-def date_in_name(text: Column) -> Column:
+def date_in_name(text: str) -> Column:
     return mentions(text, DATE_IN_NAME)
 
 
@@ -86,5 +99,6 @@ def is_clean_name(name: Column) -> Column:
     return ((strip(name) != "") & ~name.startswith("Unnamed") & ~name.rlike(NAME_OUTSIDE_CLEAN))
 
 
-def is_password_error(message: Column) -> Column:
+def is_password_error(message: str) -> Column:
+    """Whether a lower-case error message speaks of a password."""
     return mentions(message, PASSWORD_WORDS)

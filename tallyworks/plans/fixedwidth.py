@@ -13,17 +13,52 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import patterns as P
 from tallyworks.functions.dates import date_digits
-from tallyworks.functions.numbers import fixed_decimals, parse_number
+from tallyworks.functions.numbers import NUMBER_TEXT, fixed_decimals, parse_number
 from tallyworks.functions.strings import (ACCENTED, PLAIN, clean_value, digits_and_minus, plain_upper, right_pad,
                                           strip, zero_fill)
 from tallyworks.plans import matrix as M
 from tallyworks.plans.matrix import Field
 from tallyworks.sources.sinks import write_fixed_width
 
-ERROR_TYPE = "array<struct<row_number:bigint,field:string,message:string>>"
+# Validation against the matrix. Checks and formats are SQL text, one expression per field of the
+# matrix, so that a record of many fields is one short select list.
 
+def text_sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def number_sql(c: str) -> str:
+    """Double of a number-like text, else null."""
+    return f"CASE WHEN {c} RLIKE r'{NUMBER_TEXT}' THEN try_cast(trim({c}) AS DOUBLE) END"
+
+
+def fixed_sql(number: str, decimals: int) -> str:
+    """So many decimals, rounded half-even on the exact value."""
+    return f"replace(format_number({number}, {decimals}), ',', '')"
+
+
+def zero_fill_sql(text: str, width: int) -> str:
+    """Zeros up to `width` after a leading sign; longer texts stay whole."""
+    return (f"CASE WHEN length({text}) >= {width} THEN {text} WHEN left({text}, 1) IN ('+', '-')"
+            f" THEN concat(left({text}, 1), lpad(substr({text}, 2), {width - 1}, '0'))"
+            f" ELSE lpad({text}, {width}, '0') END")
+
+
+def decimal_sql(c: str) -> str:
+    """A decimal as given if it has the format, else formatted if it is a number."""
+    made = zero_fill_sql(fixed_sql(number_sql(c), 2), 7)
+    return f"CASE WHEN {c} RLIKE r'{P.TWO_DECIMALS}' THEN {c} ELSE coalesce({made}, {c}) END"
+
+
+def credit_sql(c: str) -> str:
+    """A credit as given if it has the format, else sign and number if it is one."""
+    number = number_sql(c)
+    digits = f"lpad({fixed_sql(f'abs({number})', M.CREDIT_DECIMALS)}, {M.CREDIT_WIDTH - 1}, '0')"
+    whole = f"length({fixed_sql(f'abs({number})', M.CREDIT_DECIMALS)}) > {M.CREDIT_WIDTH - 1}"
+    long = fixed_sql(f"abs({number})", M.CREDIT_DECIMALS)
+    made = f"concat(CASE WHEN {number} >= 0 THEN '+' ELSE '-' END, CASE WHEN {whole} THEN {long} ELSE {digits} END)"
+    return f"CASE WHEN {c} RLIKE r'{P.SIGNED_CREDIT}' THEN {c} ELSE coalesce({made}, {c}) END"
 
-# Validation against the matrix
 
 def missing_columns(df: DataFrame, fields: Sequence[Field] = M.MATRIX) -> list[str]:
     """Mandatory fields without a column, whatever the case of the header."""
@@ -49,71 +84,59 @@ def clean_fields(df: DataFrame, fields: Sequence[Field] = M.MATRIX, kept: Sequen
     return df.select(*kept, *[value(f) for f in fields])
 
 
-def _decimal_text(value: Column) -> Column:
-    return F.when(value.rlike(P.TWO_DECIMALS), value).otherwise(
-        F.coalesce(zero_fill(fixed_decimals(parse_number(value), 2), 7), value))
-
-
-def _credit_text(value: Column) -> Column:
-    number = parse_number(value)
-    sign = F.when(number >= 0, F.lit("+")).otherwise(F.lit("-"))
-    made = F.concat(sign, zero_fill(fixed_decimals(F.abs(number), M.CREDIT_DECIMALS), M.CREDIT_WIDTH - 1))
-    return F.when(value.rlike(P.SIGNED_CREDIT), value).otherwise(F.coalesce(made, value))
-
-
-def type_checks(f: Field, value: Column) -> list[tuple[Column, str]]:
-    """(failure, message) pairs of a filled field."""
-    checks = []
+def type_checks(f: Field) -> list[tuple[str, str]]:
+    """(failure, message) pairs of a filled field; a failure is an SQL condition."""
+    c, checks = f"`{f.name}`", []
     if f.kind != M.CREDIT:
-        checks.append((F.length(value) > f.width, M.MSG_LENGTH.format(f.width)))
-    not_number = parse_number(value).isNull()
+        checks.append((f"length({c}) > {f.width}", M.MSG_LENGTH.format(f.width)))
+    not_number = f"{number_sql(c)} IS NULL"
     if f.kind == M.NUMBER:
-        checks.append((~value.rlike(r"^\d+$"), M.MSG_NUMBER))
+        checks.append((f"NOT {c} RLIKE r'^\\d+$'", M.MSG_NUMBER))
     elif f.name == M.RATING_FIELD:
-        checks.append((~value.isin(*M.RATINGS), M.MSG_RATING))
+        checks.append((f"{c} NOT IN {M.RATINGS}", M.MSG_RATING))
     elif f.kind == M.DAY:
-        checks.append((~value.rlike(P.EIGHT_DIGITS), M.MSG_DAY))
+        checks.append((f"NOT {c} RLIKE r'{P.EIGHT_DIGITS}'", M.MSG_DAY))
     elif f.kind == M.FREQUENCY:
-        checks.append((~value.rlike(P.SEVEN_FLAGS), M.MSG_FREQUENCY))
+        checks.append((f"NOT {c} RLIKE r'{P.SEVEN_FLAGS}'", M.MSG_FREQUENCY))
     elif f.kind == M.DECIMAL:
-        checks.append((~value.rlike(P.TWO_DECIMALS) & not_number, M.MSG_DECIMAL))
+        checks.append((f"NOT {c} RLIKE r'{P.TWO_DECIMALS}' AND {not_number}", M.MSG_DECIMAL))
     elif f.kind == M.CREDIT:
-        checks.append((~value.rlike(P.SIGNED_CREDIT) & not_number, M.MSG_CREDIT))
-        checks.append((F.length(_credit_text(value)) != M.CREDIT_WIDTH, M.MSG_CREDIT_WIDTH))
+        checks.append((f"NOT {c} RLIKE r'{P.SIGNED_CREDIT}' AND {not_number}", M.MSG_CREDIT))
+        checks.append((f"length({credit_sql(c)}) <> {M.CREDIT_WIDTH}", M.MSG_CREDIT_WIDTH))
     return checks
 
 
-def mandatory_check(f: Field) -> list[tuple[Column, str]]:
-    return [(F.col(f.name) == "", M.MSG_MANDATORY)] if f.obligation == M.MANDATORY else []
+def mandatory_check(f: Field) -> list[tuple[str, str]]:
+    return [(f"`{f.name}` = ''", M.MSG_MANDATORY)] if f.obligation == M.MANDATORY else []
 
 
-def dependency_checks(f: Field) -> list[tuple[Column, str]]:
+def dependency_checks(f: Field) -> list[tuple[str, str]]:
     out = []
     for name, sources, message in M.DEPENDENCIES:
         if name == f.name:
-            filled = F.greatest(*[F.col(s) != "" for s in sources], F.lit(False))
-            out.append(((F.col(name) == "") & filled, message))
+            filled = " OR ".join(f"`{s}` <> ''" for s in sources)
+            out.append((f"`{name}` = '' AND ({filled})", message))
     return out
 
 
-def filled_checks(f: Field) -> list[tuple[Column, str]]:
-    return [((F.col(f.name) != "") & bad, message) for bad, message in type_checks(f, F.col(f.name))]
+def filled_checks(f: Field) -> list[tuple[str, str]]:
+    return [(f"`{f.name}` <> '' AND {bad}", message) for bad, message in type_checks(f)]
 
 
-def error_list(fields: Sequence[Field], row_number: str,
-               checks: Sequence[Callable[[Field], list[tuple[Column, str]]]]) -> Column:
-    """All failed checks of a cleaned record, in field order."""
-    found = [F.when(bad, F.struct(F.col(row_number).cast("long").alias("row_number"), F.lit(f.name).alias("field"),
-                                  F.lit(message).alias("message")))
-             for f in fields for check in checks for bad, message in check(f)]
-    return F.filter(F.array(*found), lambda e: e.isNotNull()).cast(ERROR_TYPE)
+Checks = Sequence[Callable[[Field], list[tuple[str, str]]]]
+ALL_CHECKS: Checks = (mandatory_check, dependency_checks, filled_checks)
 
 
-ALL_CHECKS = (mandatory_check, dependency_checks, filled_checks)
+def error_list(fields: Sequence[Field], row_number: str, checks: Checks) -> Column:
+    """All failed checks of a cleaned record, in field order."""
+    found = [f"CASE WHEN {bad} THEN named_struct('row_number', CAST({row_number} AS BIGINT), 'field', '{f.name}',"
+             f" 'message', {text_sql(message)}) END"
+             for f in fields for check in checks for bad, message in check(f)]
+    return F.expr(f"filter(array({', '.join(found)}), e -> e IS NOT NULL)")
 
 
 def validate(df: DataFrame, row_number: str, fields: Sequence[Field] = M.MATRIX,
-             checks: Sequence[Callable[[Field], list[tuple[Column, str]]]] = ALL_CHECKS) -> DataFrame:
+             checks: Checks = ALL_CHECKS) -> DataFrame:
     """Cleaned records with the list of their errors."""
     clean = clean_fields(require_columns(df, fields), fields, [row_number])
     return clean.withColumn("errors", error_list(fields, row_number, checks))
@@ -124,20 +147,19 @@ def error_report(validated: DataFrame) -> DataFrame:
     return validated.select(F.explode("errors").alias("_e")).select("_e.*")
 
 
-def validated_chunk(f: Field) -> Column:
-    """A valid field as it stands in the record."""
-    value = F.col(f.name)
-    text = {M.NUMBER: zero_fill(value, f.width), M.TEXT: right_pad(value, f.width), M.DAY: zero_fill(value, f.width),
-            M.FREQUENCY: value, M.DECIMAL: zero_fill(_decimal_text(value), f.width),
-            M.CREDIT: _credit_text(value)}[f.kind]
+def validated_chunk(f: Field) -> str:
+    """SQL text of a valid field as it stands in the record."""
+    c = f"`{f.name}`"
+    text = {M.NUMBER: zero_fill_sql(c, f.width), M.TEXT: f"rpad({c}, {f.width}, ' ')", M.DAY: zero_fill_sql(c, f.width),
+            M.FREQUENCY: c, M.DECIMAL: zero_fill_sql(decimal_sql(c), f.width), M.CREDIT: credit_sql(c)}[f.kind]
     blank = ("0" if f.kind in (M.NUMBER, M.DECIMAL, M.CREDIT) else " ") * f.width
-    return F.when(value == "", F.lit(blank)).otherwise(text)
+    return f"CASE WHEN {c} = '' THEN '{blank}' ELSE {text} END"
 
 
 def render_validated(validated: DataFrame, row_number: str, fields: Sequence[Field] = M.MATRIX) -> DataFrame:
     """Lines of the records without errors."""
-    return validated.filter(F.size("errors") == 0).select(
-        row_number, F.concat(*[validated_chunk(f) for f in fields]).alias("line"))
+    line = F.expr(f"concat({', '.join(validated_chunk(f) for f in fields)})")
+    return validated.filter(F.size("errors") == 0).select(row_number, line.alias("line"))
 
 
 def export_validated(df: DataFrame, row_number: str, path: str, fields: Sequence[Field] = M.MATRIX) -> DataFrame:

@@ -39,29 +39,39 @@ def _given(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")) != ""
 
 
+def lowered_texts() -> dict[str, Column]:
+    """The texts of a file row in the form the patterns are tried on."""
+    names, subject = P.joined_names(F.col("columns")), F.coalesce("subject", F.lit(""))
+    return {
+        "_names": names,
+        "_name": F.lower("name"),
+        "_about": F.lower(F.concat_ws(P.NAME_MARK, "name", subject)),
+        "_title": F.lower(F.concat("name", subject)),
+        "_context": F.concat_ws(" ", F.lower(F.concat_ws(" ", "name", "subject", "sender")), names, F.lower("subfolder")),
+        "_name_list": F.split(names, P.NAME_MARK),
+    }
+
+
 def text_features() -> dict[str, Column]:
-    """What the rules ask of names and texts, each pattern tried once per file."""
-    name, names = F.col("name"), P.joined_names(F.col("columns"))
-    subject = F.coalesce("subject", F.lit(""))
-    context = F.concat_ws(" ", name, "subject", "sender", names, "subfolder")
-    rest = F.length(F.regexp_replace(name, P.LONG_DATE_IN_NAME, ""))
+    """What the rules ask of the lowered texts, each pattern tried once per file."""
+    rest = F.length(F.regexp_replace("name", P.LONG_DATE_IN_NAME, ""))
     return {
-        "_date_column": P.mentions(names, [P.DATE_COLUMN]),
-        "_dated_name": P.date_in_name(name),
-        "_mostly_date": rest < F.length(name) * F.lit(0.6),
-        "_client_column": P.mentions(names, P.CLIENT_WORDS),
-        "_client_name": P.mentions(name, P.CLIENT_WORDS) | P.mentions(subject, P.CLIENT_WORDS),
-        "_period_column": P.mentions(names, P.PERIOD_WORDS),
-        "_own_code": P.mentions(names, [P.OWN_PRODUCT_CODE]),
-        "_maker_code": P.mentions(names, [P.MAKER_PRODUCT_CODE]),
-        "_client_code": P.mentions(names, [P.CLIENT_PRODUCT_CODE]),
-        "_product_column": P.mentions(names, P.PRODUCT_WORDS),
-        "_units": P.count_mentions(names, P.UNIT_WORDS),
-        "_unit_of_measure": P.mentions(names, [P.UNIT_OF_MEASURE]),
-        "_purpose_column": P.mentions(names, PURPOSE_WORDS),
-        "_purpose_name": P.mentions(F.concat(name, subject), PURPOSE_WORDS),
-        "_values": P.count_mentions(names, P.VALUE_WORDS),
-        "_currency": P.mentions(context, P.CURRENCY_WORDS),
+        "_date_column": P.mentions("_names", P.DATE_COLUMN),
+        "_dated_name": P.date_in_name("_name"),
+        "_mostly_date": rest < F.length("name") * F.lit(0.6),
+        "_client_column": P.mentions("_names", P.CLIENT_WORDS),
+        "_client_name": P.mentions("_about", P.CLIENT_WORDS),
+        "_period_column": P.mentions("_names", P.PERIOD_WORDS),
+        "_own_code": P.mentions("_names", P.OWN_PRODUCT_CODE),
+        "_maker_code": P.mentions("_names", P.MAKER_PRODUCT_CODE),
+        "_client_code": P.mentions("_names", P.CLIENT_PRODUCT_CODE),
+        "_product_column": P.mentions("_names", P.PRODUCT_WORDS),
+        "_units": P.count_mentions("_name_list", P.UNIT_WORDS),
+        "_unit_of_measure": P.mentions("_names", P.UNIT_OF_MEASURE),
+        "_purpose_column": P.mentions("_names", PURPOSE_WORDS),
+        "_purpose_name": P.mentions("_title", PURPOSE_WORDS),
+        "_values": P.count_mentions("_name_list", P.VALUE_WORDS),
+        "_currency": P.mentions("_context", P.CURRENCY_WORDS),
     }
 
 
@@ -109,9 +119,10 @@ def rule_levels(files: DataFrame) -> DataFrame:
     sheets, num_sheets, sheets_with_data, has_pivot, has_table, merged, mixed, leading_blank,
     header_ok, mean_null.
     """
-    features = text_features()
+    texts, features = lowered_texts(), text_features()
     levels = {f"level_{c}": level.cast("int") for c, level in level_columns().items()}
-    return files.withColumns(features).withColumns(levels).drop(*features)
+    return (files.withColumns(texts).withColumns(features).drop(*texts)
+            .withColumns(levels).drop(*features))
 
 
 def _remaining(level: Column, max_level: int) -> Column:
