@@ -28,17 +28,20 @@ def separator_of(text: Column, lines: int = SNIFF_LINES) -> Column:
 
     Equal counts go to the earlier candidate; a text without lines is comma-separated.
     """
-    head = F.filter(F.slice(F.split(text, LINE_BREAK), 1, lines), lambda l: l.rlike(r"\S"))
+    head = F.filter(F.slice(F.split(text, LINE_BREAK, lines + 1), 1, lines), lambda l: l.rlike(r"\S"))
 
-    def option(position: int, sep: str) -> Column:
-        fields = F.transform(head, lambda l: F.length(l) - F.length(F.replace(l, F.lit(sep), F.lit(""))) + 1)
-        even = F.array_min(fields) == F.array_max(fields)
-        return F.when(even, F.struct(F.array_max(fields).alias("fields"), F.lit(-position).alias("rank"),
-                                     F.lit(sep).alias("sep")))
+    def option(position: int, sep: str, head_lines: Column) -> Column:
+        fields = F.transform(head_lines, lambda l: F.length(l) - F.length(F.replace(l, F.lit(sep), F.lit(""))) + 1)
+        return F.struct(F.array_min(fields).alias("least"), F.array_max(fields).alias("fields"),
+                        F.lit(-position).alias("rank"), F.lit(sep).alias("sep"))
 
-    best = F.array_max(F.filter(F.array(*[option(i, s) for i, s in enumerate(SEPARATORS)]),
-                                lambda o: o.isNotNull()))
-    return F.coalesce(best["sep"], F.lit(SEPARATORS[0]))
+    def best(head_lines: Column) -> Column:
+        options = F.array(*[option(i, s, head_lines) for i, s in enumerate(SEPARATORS)])
+        even = F.filter(options, lambda o: o["least"] == o["fields"])
+        return F.array_max(F.transform(even, lambda o: F.struct(o["fields"], o["rank"], o["sep"].alias("sep"))))["sep"]
+
+    # The head goes through a one-item list so that it is cut out of the text once.
+    return F.coalesce(F.transform(F.array(head), best)[0], F.lit(SEPARATORS[0]))
 
 
 def missing_to_null(col: Column) -> Column:
