@@ -211,7 +211,7 @@ def nonconforming_kg(spark, folder):
 
 
 def _nonconforming(spark, folder):
-    rows, measures = B.entries(spark, folder), _measures(spark, folder)
+    rows, measures = B.entries(spark, folder), _measures(spark, folder).persist()
     return D.distribute_nonconforming(movements.nonconforming(measures), rows, movements.order_totals(rows, measures))
 
 

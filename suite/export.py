@@ -181,8 +181,7 @@ ly AS (SELECT 'F_NUMERO_REG' AS name, 'numérico' AS type, 'si' AS mandatory, 1
 WITH {LAYOUT_CTE} SELECT name, type, mandatory, CAST(start AS INTEGER) AS start, CAST(size AS INTEGER) AS size,
   CAST((SELECT max(start + size - 1) FROM ly) AS INTEGER) AS record_length FROM ly""")
 def layout_read(spark, folder):
-    fields = X.layout_fields(measured_layout(spark, folder))
-    return fields.crossJoin(F.broadcast(X.record_length(fields))).drop("label")
+    return X.with_record_length(X.layout_fields(measured_layout(spark, folder))).drop("label")
 
 
 PLACED = {"descripcion": "CASE WHEN c_custkey % 12 = 5 THEN '  ' ELSE concat(' ', c_name, ' S.A.') END",

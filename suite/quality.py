@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.registry import half_up_sql as H
-from suite.registry import query, table
+from suite.registry import query, table, wide_table
 from tallyworks.functions import patterns as P
 from tallyworks.functions.numbers import half_up
 from tallyworks.operators.ranking import sort_rows, top_and_bottom
@@ -70,7 +70,7 @@ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'latin-1' ELSE 'utf-8' END AS encod
   CASE WHEN greatest(k0, k1, k2, k3) = 0 OR k0 >= greatest(k1, k2, k3) THEN ',' WHEN k1 >= greatest(k2, k3) THEN chr(9)
        WHEN k2 >= k3 THEN ';' ELSE '|' END AS separator FROM k""")
 def sniff_delimited(spark, folder):
-    docs = table(spark, folder, "documents").selectExpr("doc_id", f"{BODY} AS body")
+    docs = wide_table(spark, folder, "documents").selectExpr("doc_id", f"{BODY} AS body")
     plain = F.encode("body", "UTF-8")
     content = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("E9")), plain)).otherwise(plain)
     return docs.select("doc_id", delimited.encoding_of(content).alias("encoding"),
@@ -206,7 +206,7 @@ SELECT doc_id, {round_sql('''len(list_filter(names, lambda x: trim(x) <> '' AND
   AND NOT regexp_matches(x, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _./()-]'))) / len(names) * 100.0::DOUBLE''', 1)} AS pct_clean FROM n""")
 def profile_names(spark, folder):
     names = F.concat(F.split("text", r"\s+"), F.array(*[F.lit(x) for x in ("Unnamed: 1", " ", "año (kg)")]))
-    return table(spark, folder, "documents").select("doc_id", PF.clean_percent(names).alias("pct_clean"))
+    return wide_table(spark, folder, "documents").select("doc_id", PF.clean_percent(names).alias("pct_clean"))
 
 
 # Cells of a sheet: the lines of a document, cut at ", "; leading, inner and some trailing rows are blank.
@@ -226,7 +226,7 @@ hdr AS (SELECT file, sheet, string_agg(name, ' | ' ORDER BY col) AS names FROM n
 
 
 def _cells(spark, folder):
-    lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("r", "line"))
+    lines = wide_table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("r", "line"))
     parts = lines.select("doc_id", "r", F.posexplode(F.split("line", ", ")).alias("c", "v"))
     return parts.selectExpr("doc_id AS file", "'datos' AS sheet", "CAST(r AS BIGINT) AS row", "CAST(c AS BIGINT) AS col",
                             f"{CELL_VALUE} AS value")
@@ -338,7 +338,7 @@ FILE = [
 
 
 def _files(spark, folder):
-    return (table(spark, folder, "documents").selectExpr(*FILE).withColumn("columns", F.split("body", r"\s+"))
+    return (wide_table(spark, folder, "documents").selectExpr(*FILE).withColumn("columns", F.split("body", r"\s+"))
             .withColumnRenamed("grp", "group"))
 
 
@@ -418,7 +418,7 @@ pt AS (SELECT *, {', '.join(f"CASE WHEN level_{r.code} IS NULL THEN NULL WHEN {_
   {' + '.join(f"CASE WHEN level_{r.code} IS NULL THEN 0 ELSE {r.weight} END" for r in RULES)} AS used_weight,
   CASE {' '.join(f'WHEN level_{r.code} = 10 THEN {r.ceiling}' for r in CAPS)} ELSE 100 END AS cap,
   CASE {' '.join(f"WHEN level_{r.code} = 10 THEN '{r.code}'" for r in CAPS)} END AS blocker FROM gl),
-sm AS (SELECT *, {' + '.join(f'coalesce(points_{c}, 0.0::DOUBLE)' for c in CODES)} AS total FROM pt),
+sm AS (SELECT *, {H(' + '.join(f'coalesce(points_{c}, 0.0::DOUBLE)' for c in CODES), 2)} AS total FROM pt),
 sc0 AS (SELECT *, CASE WHEN used_weight > 0 THEN CAST(least(least({round_sql(f'total * ({TOTAL_WEIGHT}.0::DOUBLE / greatest(used_weight, 1))', 1)}, 100), cap) AS DOUBLE) ELSE 0 END AS score FROM sm),
 sc AS (SELECT * EXCLUDE (blocker), CASE WHEN used_weight = 0 THEN '⛔ No evaluable' {' '.join(f"WHEN score >= {b} THEN '{t}'" for b, t in CATEGORIES[:-1])} ELSE '{CATEGORIES[-1][1]}' END AS category,
   CASE WHEN used_weight > 0 THEN blocker END AS blocked_by FROM sc0)"""

@@ -41,12 +41,12 @@ def sized_groups(df: DataFrame, keys: Sequence[str], values: Sequence[Column],
 
 def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "left",
            null_safe: bool = False, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
-    """Join `groups`, one row per key, to detail rows on `keys`; `how` is left or inner.
+    """Join `groups` to detail rows on `keys`; `how` is left or inner.
 
-    Groups straight from `sized_groups` bring their row counts, and the values of hot groups travel
-    in the broadcast. Groups that cost more to work out come with `sizes` (keys and `_group_rows`):
-    then only the hot keys are broadcast, and the rows and copies of a hot group are dealt to as
-    many slots as it has HOT_ROWS. With `null_safe`, a missing key part meets a missing key part.
+    Groups straight from `sized_groups`, one row per key, bring their row counts, and the values of
+    hot groups travel in the broadcast. Groups that cost more to work out, or have several rows per
+    key, come with `sizes` (keys and `_group_rows`): then only the hot keys are broadcast, and the
+    rows and copies of a hot group are dealt to as many slots as it has HOT_ROWS. With `null_safe`, a missing key part meets a missing key part.
     """
     if sizes is not None:
         return _attach_by_slots(rows, groups, sizes, keys, how, null_safe, hot_rows)

@@ -196,8 +196,11 @@ def layout_fields(layout: DataFrame) -> DataFrame:
             .filter((F.col("label") != "") & F.col("start").isNotNull() & F.col("size").isNotNull()))
 
 
-def record_length(fields: DataFrame) -> DataFrame:
-    return fields.agg(F.max(F.col("start") + F.col("size") - 1).alias("record_length"))
+def with_record_length(fields: DataFrame) -> DataFrame:
+    """The fields with the length of the whole record; a layout is one short list."""
+    whole = fields.agg(F.collect_list(F.struct(*fields.columns)).alias("_fields"),
+                       F.max(F.col("start") + F.col("size") - 1).alias("record_length"))
+    return whole.select(F.explode("_fields").alias("_f"), "record_length").select("_f.*", "record_length")
 
 
 def read_layout(layout: DataFrame) -> list[Place]:

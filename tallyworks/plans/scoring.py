@@ -140,7 +140,7 @@ def _blocked(level: Column, ceiling: int | None) -> Column:
 def score_files(files: DataFrame) -> DataFrame:
     """Points per rule, score, category and blocking rule from the level columns.
 
-    Points are rounded to two decimals and summed in rule order; rules without a level are left out
+    Points are rounded to two decimals and their sum is held to two decimals as well; rules without a level are left out
     and the rest weighed up. A blocking rule at the unusable level gives no points and caps the score;
     the rule with the lowest cap is reported.
     """
@@ -149,7 +149,7 @@ def score_files(files: DataFrame) -> DataFrame:
         _blocked(level[r.code], r.ceiling), F.lit(0.0)).otherwise(
         round_exact(_points(level[r.code], r.weight, r.max_level), 2))) for r in RULES}
     scored = files.withColumns(points)
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(p), F.lit(0.0)) for p in points])
+    total = half_up(reduce(lambda a, b: a + b, [F.coalesce(F.col(p), F.lit(0.0)) for p in points]), 2)
     weight = reduce(lambda a, b: a + b, [
         F.when(level[r.code].isNotNull(), F.lit(r.weight)).otherwise(F.lit(0)) for r in RULES])
     caps = sorted([r for r in RULES if r.ceiling is not None], key=lambda r: r.ceiling)

@@ -21,6 +21,8 @@ def local_session(cores: str | int = "*", app: str = "tallyworks", shuffle_parti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TALLYWORKS_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        # Without it every column expression records its call site, which takes longer than small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -128,7 +128,9 @@ def scored(spark, **levels):
 
 def test_scores(spark):
     best = scored(spark, rest=0)
-    assert best.score == 100.0 and best.category.endswith("Automatizable") and best.blocked_by is None
+    # Fifteen rounded parts add up to 99.95.
+    assert best.score == round(99.95, 1) == 100.0
+    assert best.category.endswith("Automatizable") and best.blocked_by is None
     two = scored(spark, rest=0, G=10, E=10)
     assert two.score == 20.0 and two.blocked_by == "G" and two.points_G == 0.0
     none = scored(spark)
