@@ -39,7 +39,7 @@ def sum0(col: Column) -> Column:
 
 def sum_if_any(condition: Column, value: Column) -> Column:
     """Null where no row meets the condition, else the zero-based sum over those rows."""
-    return F.when(F.count_if(condition) > 0, sum0(F.when(condition, value)))
+    return F.sum(F.when(condition, F.coalesce(value, F.lit(0.0))))
 
 
 def row_sum(*cols: Column) -> Column:
