@@ -241,8 +241,7 @@ def header_detect(spark, folder):
     return sheets.withColumn("names", F.array_join("names", " | "))
 
 
-@query("sheet_summary", f"""
-WITH {CELLS_SQL},
+SHEET_SQL = f"""{CELLS_SQL},
 sh AS (SELECT *, coalesce(last_row - header_row, 0) AS rows_total, coalesce(last_row - header_row, 0) = 0 AS is_blank FROM pos),
 bod AS (SELECT cells.* FROM cells JOIN sh USING (file, sheet) WHERE "row" > header_row AND "row" <= last_row),
 fil AS (SELECT file, sheet, count(DISTINCT "row") AS filled FROM bod WHERE value IS NOT NULL GROUP BY ALL),
@@ -254,7 +253,11 @@ typ AS (SELECT *, CASE WHEN present = 0 THEN 'vacío' WHEN numbers / present > 0
   WHEN numbers > 0 THEN 'mixto' ELSE 'texto' END AS type, {columnar_round_sql('(rows_total - present) / rows_total * 100.0::DOUBLE')} AS pct_null FROM prf),
 agg AS (SELECT file, sheet, string_agg(CASE WHEN type = 'mixto' THEN name END, ' | ' ORDER BY col) AS mixed, floor(sum(pct_null) * 10 + 0.5) / 10.0::DOUBLE / count(*) AS mean_null,
   count(*) FILTER (WHERE trim(name) <> '' AND NOT starts_with(name, 'Unnamed')
-    AND NOT regexp_matches(name, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _./()-]')) AS clean, count(*) AS n FROM typ GROUP BY ALL)
+    AND NOT regexp_matches(name, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _./()-]')) AS clean, count(*) AS n FROM typ GROUP BY ALL)"""
+
+
+@query("sheet_summary", f"""
+WITH {SHEET_SQL}
 SELECT sh.file, sh.sheet, is_blank, CAST(coalesce(header_row, 0) AS BIGINT) AS header_row, coalesce(header_row, 0) = 0 AS header_in_row1,
   CASE WHEN is_blank THEN 0 ELSE width END AS num_columns, coalesce(filled, 0) AS rows_with_data,
   CASE WHEN is_blank THEN 0 ELSE rows_total - coalesce(filled, 0) END AS rows_blank,
@@ -266,6 +269,27 @@ def sheet_summary(spark, folder):
     return PF.sheet_summary(sheets, body).withColumn("mean_null", half_up(F.col("mean_null"), 4))
 
 
+@query("file_metrics", f"""
+WITH {SHEET_SQL},
+pc AS (SELECT *, coalesce({round_sql('clean / n * 100.0::DOUBLE', 1)}, 0) AS pct_clean FROM sh LEFT JOIN agg USING (file, sheet)),
+tf AS (SELECT file, CAST(count(*) AS INTEGER) AS total_columns, CAST(count(*) FILTER (WHERE type = 'mixto') AS INTEGER) AS mixed,
+    floor(sum(pct_null) * 10 + 0.5) / 10.0::DOUBLE / count(*) AS mean_null,
+    bool_or(type = 'fecha' AND regexp_matches(lower(name), 'fecha|date|period|mes|month')) AS dated,
+    string_agg(name, ' | ' ORDER BY sheet, col) AS names FROM typ GROUP BY file),
+sf AS (SELECT file, CAST(count(*) AS INTEGER) AS sheets, CAST(count(*) FILTER (WHERE is_blank) AS INTEGER) AS blank_sheets,
+    CAST(count(*) FILTER (WHERE NOT is_blank) AS INTEGER) AS sheets_with_data,
+    CAST(count(*) FILTER (WHERE NOT is_blank AND coalesce(header_row, 0) = 0) AS INTEGER) AS header_ok,
+    CAST(max(coalesce(header_row, 0)) AS INTEGER) AS leading_blank,
+    coalesce(floor(sum(CASE WHEN NOT is_blank THEN pct_clean END) * 10 + 0.5) / 10.0::DOUBLE / nullif(count(*) FILTER (WHERE NOT is_blank), 0), 0) AS mean_clean
+  FROM pc GROUP BY file)
+SELECT sf.*, coalesce(total_columns, 0) AS total_columns, coalesce(mixed, 0) AS mixed, {H('mean_null', 4)} AS mean_null,
+  coalesce(dated, false) AS has_date_column, coalesce(names, '') AS columns FROM sf LEFT JOIN tf USING (file)""")
+def file_metrics(spark, folder):
+    sheets, body = PF.promote_header(_cells(spark, folder))
+    found = PF.file_metrics(PF.sheet_summary(sheets, body), PF.column_profile(sheets, body))
+    return found.withColumn("mean_null", half_up(F.col("mean_null"), 4)).withColumn("columns", F.array_join("columns", " | "))
+
+
 @query("schema_consistency", f"""
 WITH s AS (SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, list(DISTINCT event_type) AS names FROM events GROUP BY ALL),
 f AS (SELECT user_id, arg_min(names, day) AS ref FROM s GROUP BY user_id)

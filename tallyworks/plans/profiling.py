@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.arrays import similarity
 from tallyworks.functions.numbers import half_up, is_number, round_exact, round_scaled
-from tallyworks.functions.patterns import FULL_DATE_IN_NAME, is_clean_name
+from tallyworks.functions.patterns import DATE_COLUMN, FULL_DATE_IN_NAME, is_clean_name, mentions
 from tallyworks.functions.strings import joined, strip
 from tallyworks.operators.groups import HOT_ROWS, attach
 from tallyworks.operators.ranking import first_in_group
@@ -181,6 +181,30 @@ def sheet_summary(sheets: DataFrame, body: DataFrame) -> DataFrame:
         F.coalesce(joined(shown, NAMES_WIDTH), F.lit("")).alias("columns"), F.col("mean_null"))
 
 
+def file_metrics(summary: DataFrame, columns: DataFrame) -> DataFrame:
+    """One row per file with what the scores ask of its sheets and columns.
+
+    From `sheet_summary` and `column_profile`; means and lists are over sheets with data.
+    """
+    filled = ~F.col("is_blank")
+    sheets = summary.groupBy("file").agg(
+        F.count(F.lit(1)).cast("int").alias("sheets"), F.count_if("is_blank").cast("int").alias("blank_sheets"),
+        F.count_if(filled).cast("int").alias("sheets_with_data"),
+        F.count_if(filled & F.col("header_in_row1")).cast("int").alias("header_ok"),
+        F.max("header_row").cast("int").alias("leading_blank"),
+        F.coalesce(half_up(F.sum(F.when(filled, F.col("pct_clean"))), 1) / F.count_if(filled), F.lit(0.0)).alias("mean_clean"))
+    dated = (F.col("type") == DATE) & mentions("_lower_name", DATE_COLUMN)
+    per_file = columns.withColumn("_lower_name", F.lower("column")).groupBy("file").agg(
+        F.count(F.lit(1)).cast("int").alias("total_columns"), F.count_if(F.col("type") == MIXED).cast("int").alias("mixed"),
+        (half_up(F.sum("pct_null"), 1) / F.count("pct_null")).alias("mean_null"), F.max(dated).alias("has_date_column"),
+        F.sort_array(F.collect_list(F.struct("sheet", "col", "column"))).alias("_names"))
+    zero = F.lit(0)
+    return sheets.join(per_file, "file", "left").select(
+        *sheets.columns, F.coalesce("total_columns", zero).alias("total_columns"), F.coalesce("mixed", zero).alias("mixed"),
+        "mean_null", F.coalesce("has_date_column", F.lit(False)).alias("has_date_column"),
+        F.coalesce(F.transform("_names", lambda n: n["column"]), F.array().cast("array<string>")).alias("columns"))
+
+
 def infer_group(path: Column, subfolder: Column, prefixes: Sequence[tuple[str, str]] = ()) -> Column:
     """Group of a file: a listed folder prefix, else its first folder, else its name without dates."""
     folder = F.replace(F.coalesce(subfolder, F.lit("")), F.lit("\\"), F.lit("/"))

@@ -52,3 +52,9 @@ def score_report(scored: DataFrame) -> DataFrame:
     return scored.select("path", F.left("name", F.lit(NAME_WIDTH)).alias("name"), "group", "format", "origin",
                          *[f"level_{c}" for c in CODES], "score", "category",
                          F.coalesce("blocked_by", F.lit("")).alias("blocked_by"))
+
+
+def excerpt(rows: DataFrame, order: Sequence[str], k: int = 50) -> tuple[DataFrame, DataFrame]:
+    """The first k rows of a listing, and one row with the number of rows beyond them."""
+    beyond = rows.agg(F.greatest(F.count(F.lit(1)) - k, F.lit(0)).alias("beyond"))
+    return rows.orderBy(*order).limit(k), beyond

@@ -154,3 +154,19 @@ def test_report_is_written_and_replaced(spark, tmp_path):
     for _ in range(2):
         paths = sinks.write_report({"uno": df, "dos": df}, str(tmp_path))
     assert spark.read.parquet(paths["dos"]).count() == 1 and os.path.isdir(paths["uno"])
+
+
+def test_excerpt_counts_what_it_leaves_out(spark):
+    first, beyond = R.excerpt(spark.range(60), ["id"])
+    assert [r.id for r in first.collect()] == list(range(50)) and beyond.first().beyond == 10
+    assert R.excerpt(spark.range(3), ["id"])[1].first().beyond == 0
+
+
+def test_file_metrics_feed_both_scores(spark):
+    grid = [["fecha", "qty", "x"], ["2024-01-01", "1", "a"], ["2024-01-02", "2", "7"], ["2024-01-03", "3", None]]
+    both = cells(spark, "a", [[None] * 3] * 2 + grid).unionByName(cells(spark, "vacia", [[None, None]]))
+    sheets, body = PF.promote_header(both)
+    r = PF.file_metrics(PF.sheet_summary(sheets, body), PF.column_profile(sheets, body)).first()
+    assert (r.sheets, r.blank_sheets, r.sheets_with_data, r.header_ok, r.leading_blank) == (2, 1, 1, 0, 2)
+    assert (r.total_columns, r.mixed, r.has_date_column, r.columns) == (3, 1, True, ["fecha", "qty", "x"])
+    assert abs(r.mean_null - 33.3 / 3) < 1e-9 and r.mean_clean == 100.0
