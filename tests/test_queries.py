@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from suite.check import compare, connect
+from suite.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_gives_the_rows_of_its_sql(spark, con, name):
     said = compare(spark, con, name, FOLDER)
     spark.catalog.clearCache()
