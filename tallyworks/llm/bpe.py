@@ -25,10 +25,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm.bytelevel import ENDED, Vocabulary, ended, read_file, stand_ins
-from tallyworks.llm.common import over_texts, query, table
+from tallyworks.llm.common import TwoAges, kept, over_texts, query, table
 
-#: Words up to this many symbols are remembered with their ids, this many of them at once in a task.
-SHORT, KEPT = 48, 400_000
+#: Words remembered with their ids by a Python worker (twice as many at most), and the length up to which beginnings
+#: of words are remembered with their last token.
+KEPT, BEGINNING = 400_000, 24
 #: Characters of a text, symbols of a word and ids of a document that are worked on at once.
 CHUNK = 1 << 16
 
@@ -40,7 +41,7 @@ class Transducer:
     def __init__(self, ids: dict[str, int], ranks: dict[tuple[str, str], int]) -> None:
         self.ids, self.ranks = ids, ranks
         self.stable: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        self.ends: dict[str, str] = {}  # last tokens of beginnings of words
         self.reach = sufficient_lookahead(ids)
 
     def merged(self, symbols: str) -> list[str]:
@@ -72,6 +73,13 @@ class Transducer:
         for piece in symbols:
             text += piece
             for i in range(len(last), len(text) + 1):
+                if not start and i <= BEGINNING:
+                    if (token := self.ends.get(text[:i])) is None:
+                        if len(self.ends) >= KEPT:
+                            self.ends.clear()
+                        token = self.ends[text[:i]] = self._last(text, i, last)
+                    last.append(token)
+                    continue
                 for size in range(min(reach, i), 0, -1):
                     token = text[i - size:i]
                     if token in ids and (size < i or start == 0) and follows(last[i - size], token):
@@ -93,6 +101,14 @@ class Transducer:
                 text, last, start = text[at:], last[at:], start + at
         yield from self._chain(last, len(text))
 
+    def _last(self, text: str, end: int, last: list) -> str:
+        """Last token of the encoding of the first `end` symbols of a word."""
+        for size in range(min(self.reach, end), 0, -1):
+            token = text[end - size:end]
+            if token in self.ids and self.follows(last[end - size], token):
+                return token
+        raise ValueError(f"no token ends with {text[end - 1]!r}")
+
     @staticmethod
     def _chain(last: list, end: int) -> list[str]:
         out = []
@@ -107,13 +123,13 @@ def sufficient_lookahead(ids: Iterable[str]) -> int:
     return max(map(len, ids), default=1)
 
 
-class Words(dict):
-    """Ids of words as little-endian bytes, worked out when first asked for; emptied when full."""
+class Words(TwoAges):
+    """Ids of words as little-endian bytes, worked out when first asked for."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
+        super().__init__(KEPT)
         self.transducer = Transducer(vocabulary.ids, vocabulary.ranks)
-        self.map = {b: c for b, c in enumerate(stand_ins())}
+        self.map = dict(enumerate(stand_ins()))
         self.mark = vocabulary.mark
 
     def symbols(self, word: str) -> Iterator[str]:
@@ -124,13 +140,8 @@ class Words(dict):
             for j in range(0, len(piece), 256):
                 yield piece[j:j + 256]
 
-    def __missing__(self, word: str) -> bytes:
-        ids = array("I", map(self.transducer.ids.__getitem__, self.transducer.tokens(self.symbols(word)))).tobytes()
-        if len(word) <= SHORT:
-            if len(self) >= KEPT:
-                self.clear()
-            self[word] = ids
-        return ids
+    def work(self, word: str) -> bytes:
+        return array("I", map(self.transducer.ids.__getitem__, self.transducer.tokens(self.symbols(word)))).tobytes()
 
 
 class Codec:
@@ -143,7 +154,7 @@ class Codec:
         self.vocabulary = Vocabulary(text)
         self.words = Words(self.vocabulary)
         # Spaces are Unicode's White_Space only; the pattern module also counts the four separators 1C-1F.
-        blank = r"[\x09-\x0D\x20\x85\xA0  -     　]"
+        blank = r"[\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
         inner = blank[1:-1]
         self.find = regex.compile(self.PATTERN.replace(r"\s", inner)).findall
         self.cut = regex.compile(blank).search
@@ -206,7 +217,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keys: Itera
     shared = docs.sparkSession.sparkContext.broadcast(read_file(path))
 
     def make():
-        codec = Codec(shared.value)
+        codec = kept(f"codec {path}", lambda: Codec(shared.value))
 
         def work(texts: list) -> dict:
             out: dict[str, list] = {o: [] for o in outputs}

@@ -46,6 +46,35 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_KEPT: dict = {}
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What make returns, kept by this Python worker for its later tasks: vocabularies and what they have worked out."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+class TwoAges(dict):
+    """A memory of bounded size: when full it becomes the old one, whose entries come back when they are asked for."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.work(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def over_texts(df: DataFrame, keys: Iterable[str], text: str, schema: str,
                make: Callable[[], Callable[[list], dict[str, list]]], as_bytes: bool = False) -> DataFrame:
     """The key columns, and what a Python function makes of each whole text, batch by batch.
