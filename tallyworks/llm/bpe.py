@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyworks.llm.bytelevel import ENDED, Vocabulary, ended, read_file, stand_ins
 from tallyworks.llm.common import TwoAges, kept, over_texts, query, table
 
-#: Words remembered with their ids by a Python worker (twice as many at most), and the length up to which beginnings
-#: of words are remembered with their last token.
-KEPT, BEGINNING = 400_000, 24
+#: Words remembered with their ids by a Python worker (twice as many at most).
+KEPT = 400_000
+#: A rank after all merges.
+NEVER = 1 << 60
 #: Characters of a text, symbols of a word and ids of a document that are worked on at once.
 CHUNK = 1 << 16
 
@@ -41,53 +42,71 @@ class Transducer:
     def __init__(self, ids: dict[str, int], ranks: dict[tuple[str, str], int]) -> None:
         self.ids, self.ranks = ids, ranks
         self.stable: dict[tuple[str, str], bool] = {}
-        self.ends: dict[str, str] = {}  # last tokens of beginnings of words
+        self.made: dict[str, tuple[int, str, str]] = {}
         self.reach = sufficient_lookahead(ids)
 
-    def merged(self, symbols: str) -> list[str]:
-        """Plain merging, lowest rank first and leftmost first; only used on one or two tokens' symbols."""
-        parts = list(symbols)
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 60:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+    def last_merge(self, token: str) -> tuple[int, str, str]:
+        """Rank and two halves of the merge that completes a token; rank -1 for a symbol, -2 if merging never ends in it."""
+        known = self.made.get(token)
+        if known is None:
+            parts, known = list(token), (-1, token, token)
+            while len(parts) > 1:
+                rank, at = min((self.ranks.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:])))
+                if rank == NEVER:
+                    known = (-2, "", "")
+                    break
+                known = (rank, parts[at], parts[at + 1])
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            self.made[token] = known
+        return known
 
     def follows(self, before: str | None, token: str) -> bool:
+        """Whether the two side by side are what merging makes of them.
+
+        Merges are undone, latest first: the later made of the two tokens at the border is halved. If the pieces at
+        the border could have merged before the halves did, merging would have crossed the border.
+        """
         known = self.stable.get((before, token))
         if known is None:
-            if len(self.stable) > KEPT:
+            if len(self.stable) >= KEPT:
                 self.stable.clear()
-            if before is None:
-                known = self.merged(token) == [token]
-            else:
-                known = self.merged(before + token) == [before, token]
+            known = self.last_merge(token)[0] > -2 if before is None else self._apart(before, token)
             self.stable[before, token] = known
         return known
 
+    def _apart(self, a: str, b: str) -> bool:
+        (rank_a, _, right), (rank_b, left, _) = self.last_merge(a), self.last_merge(b)
+        if rank_a == -2 or rank_b == -2:
+            return False
+        until = NEVER
+        while (crossing := self.ranks.get((a, b), NEVER)) == NEVER or crossing >= until:
+            if rank_a < 0 and rank_b < 0:
+                return True
+            if rank_a > rank_b:
+                until, a = rank_a, right
+                rank_a, _, right = self.last_merge(a)
+            else:
+                # Of equal merges the left one comes first, so one across the border precedes the one inside b.
+                until, b = rank_b + 1, left
+                rank_b, left, _ = self.last_merge(b)
+        return False
+
     def tokens(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of a word given as pieces of its symbols, each as soon as no later symbol can change it."""
-        text, last, start = "", [None], 0  # last[i]: last token of the encoding of start + i symbols
-        ids, follows, reach = self.ids, self.follows, self.reach
+        text, last = "", [None]  # last[i]: last token of the encoding up to i symbols of the open text
+        ids, stable, follows, reach = self.ids, self.stable, self.follows, self.reach
         for piece in symbols:
             text += piece
             for i in range(len(last), len(text) + 1):
-                if not start and i <= BEGINNING:
-                    if (token := self.ends.get(text[:i])) is None:
-                        if len(self.ends) >= KEPT:
-                            self.ends.clear()
-                        token = self.ends[text[:i]] = self._last(text, i, last)
-                    last.append(token)
-                    continue
+                # The whole beginning is one token, or a shorter one follows the encoding of what stands before it.
                 for size in range(min(reach, i), 0, -1):
                     token = text[i - size:i]
-                    if token in ids and (size < i or start == 0) and follows(last[i - size], token):
-                        last.append(token)
-                        break
-                    if size == i and start and token in ids and follows(last[0], token):
-                        last.append(token)
-                        break
+                    if token in ids:
+                        before = last[i - size]
+                        known = stable.get((before, token))
+                        if known or (known is None and follows(before, token)):
+                            last.append(token)
+                            break
                 else:
                     raise ValueError(f"no token ends with {text[i - 1]!r}")
             if len(text) > 4 * reach:
@@ -98,17 +117,9 @@ class Transducer:
                     live.add(i - len(last[i]))
                 at = live.pop()
                 yield from self._chain(last, at)
-                text, last, start = text[at:], last[at:], start + at
+                text, last = text[at:], last[at:]
         yield from self._chain(last, len(text))
 
-    def _last(self, text: str, end: int, last: list) -> str:
-        """Last token of the encoding of the first `end` symbols of a word."""
-        for size in range(min(self.reach, end), 0, -1):
-            token = text[end - size:end]
-            if token in self.ids and self.follows(last[end - size], token):
-                return token
-        raise ValueError(f"no token ends with {text[end - 1]!r}")
-
     @staticmethod
     def _chain(last: list, end: int) -> list[str]:
         out = []
