@@ -1,4 +1,4 @@
 """All queries and SQL of this subpackage."""
 
-from tallyworks.llm import bpe, lines, mixing, secrets, toxicity, wordpiece  # noqa: F401
+from tallyworks.llm import bpe, lines, mixing, ngram_join, secrets, toxicity, wordpiece  # noqa: F401
 from tallyworks.llm.common import QUERIES, SQL  # noqa: F401
