@@ -1,12 +1,75 @@
-"""The corpus pipeline: stages over documents, each written as a table before the next one reads it."""
+"""The corpus pipeline: stages over documents, each written as a table before the next one reads it.
+
+Every stage takes the documents its predecessor kept and returns their columns (the last one returns tokens). A row is
+dropped only by what the stage is for: toxic documents, documents all of whose lines stand elsewhere, documents like
+another one, and documents that the mix takes no copy of. Rows whose removal depends on their text alone are found by a
+hash of the text, so null ids and repeated rows are treated like the others.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyworks.llm import bpe, common, lines, mixing, ngram_join, toxicity
+
+#: Rows of two numbers that may be broadcast (about 100 MB); more of them are joined by a shuffle.
+SMALL = 4_000_000
+
+
+def without(docs: DataFrame, drop: DataFrame, on: list[str | Column]) -> DataFrame:
+    drop = common.stored(drop, "drop")
+    return docs.join(F.broadcast(drop) if drop.count() <= SMALL else drop, on, "left_anti")
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score under 0.5; the scores come from labels of rows that are not held out."""
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    scored = toxicity.score_documents(marked, common.table(spark, sf_dir, "labels"), keys=("text_hash",))
+    rejected = scored.where("predicted = 1").select("text_hash").distinct()
+    return without(docs.withColumn("text_hash", F.xxhash64("text")), rejected, ["text_hash"]).select(docs.columns)
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that another document holds first; one left without any text goes."""
+    done = lines.dedup_lines(docs)
+    blank = F.length(F.trim(F.coalesce("kept_text", F.lit("")))) == 0
+    done = done.where((F.col("n_removed") == 0) | ~blank)
+    changed = F.col("n_removed") > 0
+    return done.select(*[F.col("kept_text").alias(c) if c == "text" else
+                         F.when(changed, F.length("kept_text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+                         for c in docs.columns])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are alike, the one with the least id; rows that repeat an id count as one document.
+
+    Documents without words are like no other, so they stay, and so do rows without an id.
+    """
+    classes = common.stored(ngram_join.jaccard_classes(docs), "classes")
+    kept = without(docs, classes.where("doc_id <> component_id").select("doc_id").distinct(), ["doc_id"])
+    again = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each document as the mix takes."""
+    times = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda i: i)
+    return mixing.mix(docs).withColumn("copy", F.explode(F.slice(times, 1, F.col("copies")))).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and digests of each document's tokens and of the text decoded from them."""
+    return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keys=("doc_id", "source"),
+                                outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
-from tallyworks.llm import common
 
-STAGES: list = []
+STAGES = [("toxicity", not_toxic), ("line dedup", without_boilerplate), ("n-gram Jaccard join", one_of_each_group),
+          ("mixing sources", mixed), ("BPE encoding and decoding", tokens)]
+#: Shingle sets, learned scores and merges have no SQL form.
 ORACLE_SQL = None
 
 

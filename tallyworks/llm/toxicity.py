@@ -38,12 +38,13 @@ def fit_sample(docs: DataFrame, labels: DataFrame, held_out: Column, fit_rows: i
     A document labelled twice counts as 1 if any label is 1; null labels and null ids are left out.
     """
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
-    rows = docs.where(~held_out & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    found = rows.join(marks, "doc_id").withColumn("h", F.xxhash64(F.lit("fit"), "doc_id"))
-    # The least row of each text by an aggregation without the text, then the least of all.
-    firsts = found.groupBy(F.xxhash64("text").alias("t")).agg(F.min(F.struct("h", "doc_id")).alias("x"), F.max("y").alias("y"))
-    chosen = firsts.select("x.h", "x.doc_id", "y").distinct().orderBy("h", "doc_id").limit(fit_rows)
-    return rows.join(stored(chosen, "fit"), "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text", "y")
+    rows = docs.where(~held_out & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    # Texts stay behind until the rows are chosen; their hashes tell copies apart.
+    found = rows.select("doc_id", F.xxhash64("text").alias("t")).join(marks, "doc_id").withColumn("h", F.xxhash64(F.lit("fit"), "doc_id"))
+    firsts = found.groupBy("t").agg(F.min(F.struct("h", "doc_id")).alias("x"), F.max("y").alias("y"))
+    chosen = firsts.groupBy("x").agg(F.max("y").alias("y")).select("x.h", "x.doc_id", "y").orderBy("h", "doc_id").limit(fit_rows)
+    chosen = F.broadcast(stored(chosen.select("doc_id", "y"), "fit"))  # fit_rows rows
+    return rows.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text", "y")
 
 
 def choose_terms(sample: DataFrame, max_terms: int, least: float = 25.0, min_docs: int = 3) -> list[str]:
