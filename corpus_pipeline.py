@@ -57,8 +57,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes."""
-    times = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda i: i)
-    return mixing.mix(docs).withColumn("copy", F.explode(F.slice(times, 1, F.col("copies")))).select(docs.columns)
+    times = F.slice(F.sequence(F.lit(0), F.col("copies")), 1, F.col("copies"))
+    return mixing.mix(docs).withColumn("copy", F.explode(times)).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
