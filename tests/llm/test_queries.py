@@ -49,5 +49,5 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:3]:
         kept = corpus_pipeline.common.stored(stage(spark, kept, str(tmp_path)), "stage")
-    assert sorted([r["doc_id"] for r in kept.collect()], key=str) == sorted([1, 2, 3, 4, None, 5], key=str)
+    assert sorted([r["doc_id"] for r in kept.collect()], key=str) == sorted([1, 3, 4, None, 5], key=str)  # 2 has 6 of 7 shingles in common with 1
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
