@@ -72,12 +72,14 @@ MOVEMENT = [
     "CAST(l_partkey % 50 AS DOUBLE) AS kg_out",
 ]
 LEDGER = [
+    "o_orderkey AS ledger_id",
     "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING) AS period",
     "concat(CASE WHEN o_custkey % 2 = 0 THEN 'COSTO MOD' ELSE 'COSTO CIF FIJO' END, ' ',"
     " CASE WHEN o_orderstatus = 'F' THEN 'ESTANDAR' ELSE 'REAL' END) AS type_nature",
     "CASE WHEN o_orderpriority = '1-URGENT' AND o_custkey % 2 = 0 THEN 'COSTO MOD HORAS EXTRA' ELSE 'COSTO MOD' END AS labour_type",
     "CAST(301000 + (CASE WHEN o_orderstatus = 'F' THEN o_custkey % 25 ELSE o_custkey % 40 END) AS STRING) AS centre",
-    "concat('CENTRO ', CAST((CASE WHEN o_orderstatus = 'F' THEN o_custkey % 25 ELSE o_custkey % 40 END) AS STRING)) AS description",
+    "CASE WHEN o_custkey % 13 = 0 THEN NULL"
+    " ELSE concat('CENTRO ', CAST((CASE WHEN o_orderstatus = 'F' THEN o_custkey % 25 ELSE o_custkey % 40 END) AS STRING)) END AS description",
     "CASE WHEN o_orderstatus = 'F' THEN -floor(o_totalprice / 100) ELSE floor(o_totalprice / 100) END * CAST(1 AS DOUBLE) AS balance",
 ]
 DOWNTIME = [

@@ -315,35 +315,33 @@ def std_hours_union(spark, folder):
 # Costs and rates
 
 ALLOCATION_CTE = f"""{B.LG_SQL}, {B.ALLOCATION_SQL},
-ls AS (SELECT period, centre, description, regexp_extract(type_nature, '(\\S+)$', 1) AS nature,
-    regexp_replace(type_nature, '\\s+\\S+$', '') AS cost_type, labour_type = 'COSTO MOD HORAS EXTRA' AS overtime, sum(balance) AS balance
-  FROM lg GROUP BY ALL),
-st AS (SELECT period, cost_type, centre, description, -sum(balance) AS balance FROM ls WHERE nature = 'ESTANDAR' GROUP BY ALL),
-so AS (SELECT period, cost_type, centre, description, nature, overtime, -balance AS balance FROM ls WHERE nature = 'ESTANDAR'),
-tg AS (SELECT * FROM so WHERE centre <> '301021'),
+ls AS (SELECT ledger_id, period, centre, description, regexp_extract(type_nature, '(\\S+)$', 1) AS nature,
+    regexp_replace(type_nature, '\\s+\\S+$', '') AS cost_type, labour_type = 'COSTO MOD HORAS EXTRA' AS overtime, balance FROM lg),
+so AS (SELECT ledger_id, period, cost_type, centre, description, nature, overtime, -balance AS balance FROM ls WHERE nature = 'ESTANDAR'),
+tg AS (SELECT period, cost_type, centre, description, sum(balance) AS base FROM so WHERE centre <> '301021' GROUP BY ALL),
 re AS (SELECT * FROM ls WHERE nature = 'REAL'),
 kp AS (SELECT * FROM re WHERE EXISTS (SELECT 1 FROM tg WHERE tg.period = re.period AND tg.cost_type = re.cost_type AND tg.centre = re.centre)),
 sp AS (SELECT * FROM re WHERE NOT EXISTS (SELECT 1 FROM tg WHERE tg.period = re.period AND tg.cost_type = re.cost_type AND tg.centre = re.centre)),
-pr AS (SELECT sp.period, sp.cost_type, tg.centre, sp.balance AS original_balance, sp.centre AS original_centre, sp.overtime, tg.balance AS base,
-    sum(tg.balance) OVER (PARTITION BY sp.period, sp.cost_type, sp.centre, sp.description, sp.overtime) AS base_total
+pr AS (SELECT sp.ledger_id, sp.period, sp.cost_type, tg.centre, tg.description, sp.balance AS original_balance, sp.centre AS original_centre,
+    sp.description AS original_description, tg.base, sum(tg.base) OVER (PARTITION BY sp.ledger_id) AS base_total
   FROM sp JOIN tg ON sp.period = tg.period AND sp.cost_type = tg.cost_type
   WHERE CASE WHEN EXISTS (SELECT 1 FROM ar WHERE ar.original_centre = sp.centre AND rule = 'INCLUIDA')
      THEN EXISTS (SELECT 1 FROM ar WHERE ar.original_centre = sp.centre AND rule = 'INCLUIDA' AND target_centre = tg.centre)
      ELSE NOT EXISTS (SELECT 1 FROM ar WHERE ar.original_centre = sp.centre AND rule = 'EXCLUIDA' AND target_centre = tg.centre) END),
-ca AS (SELECT period, cost_type, centre, balance, nature, CASE WHEN overtime THEN 'COSTO MOD HORAS EXTRA REAL'
+ca AS (SELECT ledger_id, period, cost_type, centre, description, balance, nature, CASE WHEN overtime THEN 'COSTO MOD HORAS EXTRA REAL'
       ELSE cost_type || ' ' || nature END AS cost_label, NULL::DOUBLE AS share, NULL::DOUBLE AS original_balance,
-      NULL AS original_centre, NULL::DOUBLE AS base, NULL::DOUBLE AS base_total FROM (SELECT * FROM so UNION ALL BY NAME SELECT * FROM kp)
-  UNION ALL SELECT period, cost_type, centre, base / nullif(base_total, 0) * original_balance, 'REAL', cost_type || ' REAL',
-    base / nullif(base_total, 0), original_balance, original_centre, base, base_total FROM pr)"""
+      NULL AS original_centre, NULL AS original_description, NULL::DOUBLE AS base, NULL::DOUBLE AS base_total FROM (SELECT * FROM so UNION ALL BY NAME SELECT * FROM kp)
+  UNION ALL SELECT ledger_id, period, cost_type, centre, description, base / nullif(base_total, 0) * original_balance, 'REAL', cost_type || ' REAL',
+    base / nullif(base_total, 0), original_balance, original_centre, original_description, base, base_total FROM pr)"""
 
 
 @query("cost_allocation", f"""
-WITH {ALLOCATION_CTE} SELECT period, cost_type, centre, nature, cost_label, {H('balance')} AS balance, {H('share')} AS share,
-  original_balance, original_centre, base, base_total FROM ca""")
+WITH {ALLOCATION_CTE} SELECT ledger_id, period, cost_type, centre, description, nature, cost_label, {H('balance')} AS balance, {H('share')} AS share,
+  original_balance, original_centre, original_description, base, base_total FROM ca""")
 def cost_allocation(spark, folder):
     return _costs(spark, folder).select(
-        "period", "cost_type", "centre", "nature", "cost_label", half_up(F.col("balance"), 6).alias("balance"),
-        half_up(F.col("share"), 6).alias("share"), "original_balance", "original_centre", "base", "base_total")
+        "ledger_id", "period", "cost_type", "centre", "description", "nature", "cost_label", half_up(F.col("balance"), 6).alias("balance"),
+        half_up(F.col("share"), 6).alias("share"), "original_balance", "original_centre", "original_description", "base", "base_total")
 
 
 def _costs(spark, folder):
@@ -386,8 +384,8 @@ def rate_pivot(spark, folder):
 
 def _ledger_labels(ledger):
     """Labels a ledger can give, read off the ledger itself rather than the allocated rows."""
-    plain = rates.ledger_balances(ledger).select(F.concat_ws(" ", "cost_type", "nature").alias("cost_label"))
-    extra = rates.ledger_balances(ledger).filter("overtime").select(F.lit("COSTO MOD HORAS EXTRA REAL").alias("cost_label"))
+    plain = rates.ledger_rows(ledger).select("nature", F.concat_ws(" ", "cost_type", "nature").alias("cost_label"))
+    extra = rates.ledger_rows(ledger).filter("overtime and nature = 'REAL'").select("nature", F.lit("COSTO MOD HORAS EXTRA REAL").alias("cost_label"))
     return stack([plain, extra])
 
 
@@ -399,9 +397,10 @@ SELECT row_id, te.period, te.cost_centre, {', '.join(f'{H(chr(34) + c + chr(34)
 FROM te LEFT JOIN p ON te.period = p.period AND te.cost_centre = p.cost_centre""")
 def apply_rates(spark, folder):
     rows = B.entries(spark, folder).select("row_id", "period", "cost_centre", "hours", "std_hours")
-    wide = rates.pivot_rates(_rates(spark, folder), [*REAL_LABELS, *STANDARD_LABELS])
-    out = rates.apply_rates(rows, wide, REAL_LABELS, STANDARD_LABELS)
-    cost = [*REAL_LABELS, *STANDARD_LABELS, *[f"{c} APLICADO" for c in STANDARD_LABELS]]
+    real, standard = rates.split_labels(B.ledger(spark, folder).transform(_ledger_labels))
+    wide = rates.pivot_rates(_rates(spark, folder), [*real, *standard])
+    out = rates.apply_rates(rows, wide, real, standard)
+    cost = [*real, *standard, *[f"{c} APLICADO" for c in standard]]
     return out.select("row_id", "period", "cost_centre", *[half_up(F.col(f"`{c}`"), 4).alias(c) for c in cost])
 
 

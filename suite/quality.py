@@ -307,17 +307,16 @@ def schema_consistency(spark, folder):
 
 
 @query("group_membership", """
-WITH f AS (SELECT concat('U', user_id) AS "group", concat('carpeta/', event_type, '/f', lpad(CAST(event_id AS VARCHAR), 9, '0'), '.csv') AS path
-  FROM events WHERE user_id > 0 OR event_id = (SELECT min(event_id) FROM events WHERE user_id = 0)),
+WITH f AS (SELECT CASE WHEN user_id = 0 THEN concat('E', event_id) ELSE concat('U', user_id) END AS "group", concat('carpeta/', event_type, '/f', lpad(CAST(event_id AS VARCHAR), 9, '0'), '.csv') AS path
+  FROM events),
 r AS (SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY path) AS i FROM f)
 SELECT "group", count(*) AS files, count(*) > 1 AS evaluable,
   string_agg(CASE WHEN i <= 15 THEN split_part(path, '/', 3) END, ' | ' ORDER BY path) || CASE WHEN count(*) > 15 THEN '...' ELSE '' END AS names
 FROM r GROUP BY "group" """)
 def group_membership(spark, folder):
-    events = table(spark, folder, "events")
-    single = events.filter("user_id = 0").agg(F.min("event_id").alias("event_id"))
-    kept = stack([events.filter("user_id > 0"), events.join(single, "event_id")])
-    files = kept.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("group"),
+    # Each event of user 0 is a group of its own, so there are groups of one file.
+    group = F.expr("CASE WHEN user_id = 0 THEN concat('E', CAST(event_id AS STRING)) ELSE concat('U', CAST(user_id AS STRING)) END")
+    files = table(spark, folder, "events").select(group.alias("group"),
                         F.concat(F.lit("carpeta/"), "event_type", F.lit("/f"), F.lpad(F.col("event_id").cast("string"), 9, "0"),
                                  F.lit(".csv")).alias("path"))
     return PF.group_membership(files)
@@ -463,18 +462,18 @@ def score_rules(spark, folder):
 
 
 # An analyst changed two levels of some files.
-OVERRIDES = ["concat(lang, '/', CAST(doc_id AS STRING)) AS path", "CASE WHEN doc_id % 2 = 0 THEN 'E' ELSE 'L' END AS code",
+OVERRIDES = ["CASE WHEN doc_id % 3 <> 0 THEN concat(lang, '/', CAST(doc_id AS STRING)) END AS path", "CASE WHEN doc_id % 2 = 0 THEN 'E' ELSE 'L' END AS code",
              "CAST(CASE WHEN doc_id % 10 = 4 THEN 10 ELSE doc_id % 4 END AS INT) AS level"]
 
 
 @query("score_override", f"""
-WITH {LEVELS_CTE}, {GAP_CTE}, ov AS (SELECT {', '.join(OVERRIDES)} FROM documents WHERE doc_id % 3 <> 0),
+WITH {LEVELS_CTE}, {GAP_CTE}, ov AS (SELECT {', '.join(OVERRIDES)} FROM documents),
 us AS (SELECT gl.path, {', '.join(f"coalesce(max(CASE WHEN code = '{c}' THEN level END), any_value(level_{c}), 0) AS u_{c}" for c in CODES)}
   FROM gl LEFT JOIN ov ON gl.path = ov.path GROUP BY gl.path)
 SELECT path, {', '.join(f'u_{c} AS used_{c}' for c in CODES)}, least({H(' + '.join(f"CASE WHEN {_blocked_sql(r, 'u_' + r.code)} THEN 0 ELSE {_points_sql(r, 'u_' + r.code)} END" for r in RULES), 1)},
   {', '.join(f'CASE WHEN u_{r.code} = 10 THEN {r.ceiling} ELSE 100 END' for r in CAPS)}) AS override_score FROM us""")
 def score_override(spark, folder):
-    given = table(spark, folder, "documents").filter("doc_id % 3 <> 0").selectExpr(*OVERRIDES)
+    given = table(spark, folder, "documents").selectExpr(*OVERRIDES)
     return SC.score_with_overrides(_gapped(_levels(spark, folder)), given).select(
         "path", *[f"used_{c}" for c in CODES], "override_score")
 
@@ -500,7 +499,7 @@ def score_report(spark, folder):
 
 
 @query("category_distribution", f"""
-WITH {SCORE_CTE}, ct(place, category) AS (VALUES {', '.join(f"({i}, '{t}')" for i, (_, t) in enumerate(CATEGORIES))})
+WITH {SCORE_CTE}, ct(place, category) AS (VALUES {', '.join(f"({i}, '{t}')" for i, t in enumerate([t for _, t in CATEGORIES] + ['⛔ No evaluable']))})
 SELECT place, category, (SELECT count(*) FROM sc WHERE sc.category = ct.category) AS files FROM ct""")
 def category_distribution(spark, folder):
     return R.category_distribution(_scored(spark, folder))
@@ -587,7 +586,7 @@ def score_presence(spark, folder):
 
 
 @query("report_tables", f"""
-WITH {SCORE_CTE} SELECT 'scoring' AS report, count(*) AS "rows" FROM sc UNION ALL SELECT 'categorias', {len(CATEGORIES)}
+WITH {SCORE_CTE} SELECT 'scoring' AS report, count(*) AS "rows" FROM sc UNION ALL SELECT 'categorias', {len(CATEGORIES) + 1}
 UNION ALL SELECT 'kpis', 1 UNION ALL SELECT 'grupos', count(DISTINCT grp) FROM sc
 UNION ALL SELECT 'errores', count(*) FROM fl WHERE error IS NOT NULL AND num_sheets = 0
 UNION ALL SELECT 'nulos', {len(PROFILED_NAMES)} UNION ALL SELECT 'referencia', {sum(len(r.levels) for r in RULES)}""")

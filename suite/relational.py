@@ -50,10 +50,10 @@ def typed_load(spark, folder):
     return typed.withColumn("day", F.col("day").cast("string"))
 
 
-CORRECTIONS = """SELECT concat('OPX-', CAST(o_orderkey AS STRING)) AS order_ref, CAST(1 + o_custkey % 7 AS STRING) AS old_code,
+CORRECTIONS = """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE concat('OPX-', CAST(o_orderkey AS STRING)) END AS order_ref, CAST(1 + o_custkey % 7 AS STRING) AS old_code,
   CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE CAST(20 + o_custkey % 9 AS STRING) END AS new_code,
   CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE concat('OPERACION NUEVA ', CAST(o_custkey % 5 AS STRING)) END AS new_text,
-  CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'CENTRO NUEVO' END AS new_centre FROM orders WHERE o_orderpriority <> '5-LOW'"""
+  CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'CENTRO NUEVO' END AS new_centre FROM orders"""
 
 
 @query("corrections_operations", f"""
@@ -65,16 +65,16 @@ def corrections_operations(spark, folder):
     rows = B.base_entries(spark, folder).select(
         "row_id", F.col("order_id").cast("string").alias("order_id"), "op_code", "op_text", "centre")
     orders = table(spark, folder, "orders")
-    corrections = orders.filter("o_orderpriority <> '5-LOW'").selectExpr(*[
+    corrections = orders.selectExpr(*[
         e.strip() for e in (
-            "concat('OPX-', CAST(o_orderkey AS STRING)) AS order_ref", "CAST(1 + o_custkey % 7 AS STRING) AS old_code",
+            "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE concat('OPX-', CAST(o_orderkey AS STRING)) END AS order_ref", "CAST(1 + o_custkey % 7 AS STRING) AS old_code",
             "CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE CAST(20 + o_custkey % 9 AS STRING) END AS new_code",
             "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE concat('OPERACION NUEVA ', CAST(o_custkey % 5 AS STRING)) END AS new_text",
             "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'CENTRO NUEVO' END AS new_centre")])
     return masters.correct_operations(rows, corrections)
 
 
-MOVEMENT_FIX = """concat('INV', CAST(l_linenumber AS STRING)) AS doc, l_orderkey AS order_id,
+MOVEMENT_FIX = """concat(CASE WHEN max(l_linestatus) = 'F' THEN 'INV' ELSE 'OTRO' END, CAST(l_linenumber AS STRING)) AS doc, l_orderkey AS order_id,
   concat('R', CAST(l_orderkey % 7 AS STRING)) AS reference,
   CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE CAST(max(l_partkey) AS STRING) END AS new_kg_out,
   CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(max(l_suppkey) AS STRING) END AS new_kg_in,
@@ -83,17 +83,17 @@ MOVEMENT_FIX = """concat('INV', CAST(l_linenumber AS STRING)) AS doc, l_orderkey
 
 
 @query("corrections_movements", f"""
-WITH {B.MV_SQL}, cr AS (SELECT {MOVEMENT_FIX} FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_linenumber)
+WITH {B.MV_SQL}, cr AS (SELECT {MOVEMENT_FIX} FROM lineitem GROUP BY l_orderkey, l_linenumber)
 SELECT order_id, doc, reference, CAST(day AS VARCHAR) AS day, coalesce(CAST(new_kg_out AS DOUBLE), kg_out) AS kg_out,
        coalesce(CAST(new_kg_in AS DOUBLE), kg_in) AS kg_in, coalesce(CAST(new_kg AS DOUBLE), kg) AS kg,
        coalesce(new_unit, unit) AS unit
 FROM mv LEFT JOIN cr USING (order_id, doc, reference)""")
 def corrections_movements(spark, folder):
     moved = B.movements(spark, folder)
-    fixes = (table(spark, folder, "lineitem").filter("l_linestatus = 'F'").groupBy("l_orderkey", "l_linenumber")
+    fixes = (table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber")
              .agg(F.max("l_partkey").cast("string").alias("hi_part"), F.max("l_suppkey").cast("string").alias("hi_supp"),
-                  F.min("l_partkey").cast("string").alias("lo_part"))
-             .selectExpr("concat('INV', CAST(l_linenumber AS STRING)) AS doc", "l_orderkey AS order_id",
+                  F.min("l_partkey").cast("string").alias("lo_part"), F.max("l_linestatus").alias("status"))
+             .selectExpr("concat(CASE WHEN status = 'F' THEN 'INV' ELSE 'OTRO' END, CAST(l_linenumber AS STRING)) AS doc", "l_orderkey AS order_id",
                          "concat('R', CAST(l_orderkey % 7 AS STRING)) AS reference",
                          "CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE hi_part END AS new_kg_out",
                          "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE hi_supp END AS new_kg_in",
@@ -118,36 +118,36 @@ def null_aware_filters(spark, folder):
 
 
 @query("prefix_dimension_join", """
-WITH dim AS (SELECT substr(p_type, 1, 5) AS prefix5, max(p_type) AS process, CAST(count(*) AS BIGINT) AS rank
-             FROM part WHERE p_type <> 'PROMO' GROUP BY 1)
+WITH dim AS (SELECT CASE WHEN p_type <> 'PROMO' THEN substr(p_type, 1, 5) END AS prefix5, max(p_type) AS process, CAST(count(*) AS BIGINT) AS rank
+             FROM part GROUP BY 1)
 SELECT p_partkey AS part, p_type || ' ' || p_name AS op_text, substr(p_type || ' ' || p_name, 1, 5) AS prefix5,
        process, rank FROM part LEFT JOIN dim ON substr(p_type || ' ' || p_name, 1, 5) = prefix5""")
 def prefix_dimension_join(spark, folder):
     parts = table(spark, folder, "part")
-    dim = (parts.filter(F.col("p_type") != "PROMO").groupBy(prefix(F.col("p_type"), 5).alias("prefix5"))
+    dim = (parts.groupBy(F.when(F.col("p_type") != "PROMO", prefix(F.col("p_type"), 5)).alias("prefix5"))
            .agg(F.max("p_type").alias("process"), F.count(F.lit(1)).alias("rank")))
     rows = parts.select(F.col("p_partkey").alias("part"), F.concat("p_type", F.lit(" "), "p_name").alias("op_text"))
     return prefix_lookup(rows, "op_text", 5, dim, "prefix5", {"process": "process", "rank": "rank"}, "prefix5")
 
 
 @query("group_enrich", f"""
-WITH {B.TB_SQL}, gr AS (SELECT o_orderkey AS k, 'G' || CAST(o_custkey AS VARCHAR) AS group_id,
-  'M' || o_orderstatus AS mount_order FROM orders WHERE o_orderstatus <> 'P')
+WITH {B.TB_SQL}, gr AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS k, 'G' || CAST(o_custkey AS VARCHAR) AS group_id,
+  'M' || o_orderstatus AS mount_order FROM orders)
 SELECT row_id, order_id, group_id, mount_order FROM tb LEFT JOIN gr ON order_id = k""")
 def group_enrich(spark, folder):
-    groups = table(spark, folder, "orders").filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("order_id"), F.concat(F.lit("G"), F.col("o_custkey").cast("string")).alias("group_id"),
+    groups = table(spark, folder, "orders").select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("order_id"), F.concat(F.lit("G"), F.col("o_custkey").cast("string")).alias("group_id"),
         F.concat(F.lit("M"), F.col("o_orderstatus")).alias("mount_order"))
     return classify.with_group(B.base_entries(spark, folder).select("row_id", "order_id"), groups)
 
 
 @query("cost_centre_lookup", f"""
-WITH {B.TB_SQL}, eq AS (SELECT '0' || CAST(s_suppkey % 6 AS VARCHAR) || '-' || CAST(s_nationkey % 4 AS VARCHAR) AS k,
-    arg_max(CAST(301000 + s_suppkey % 25 AS VARCHAR), s_suppkey) AS cost_centre FROM supplier WHERE s_nationkey % 4 <> 3 GROUP BY 1)
+WITH {B.TB_SQL}, eq AS (SELECT CASE WHEN s_nationkey % 4 <> 3 THEN '0' || CAST(s_suppkey % 6 AS VARCHAR) || '-' || CAST(s_nationkey % 4 AS VARCHAR) END AS k,
+    arg_max(CAST(301000 + s_suppkey % 25 AS VARCHAR), s_suppkey) AS cost_centre FROM supplier GROUP BY 1)
 SELECT row_id, centre_code, cost_centre FROM tb LEFT JOIN eq ON centre_code = k""")
 def cost_centre_lookup(spark, folder):
-    table_rows = table(spark, folder, "supplier").filter("s_nationkey % 4 <> 3").selectExpr(
-        "concat('0', CAST(s_suppkey % 6 AS STRING), '-', CAST(s_nationkey % 4 AS STRING)) AS centre_code",
+    table_rows = table(spark, folder, "supplier").selectExpr(
+        "CASE WHEN s_nationkey % 4 <> 3 THEN concat('0', CAST(s_suppkey % 6 AS STRING), '-', CAST(s_nationkey % 4 AS STRING)) END AS centre_code",
         "CAST(301000 + s_suppkey % 25 AS STRING) AS cost_centre", "s_suppkey")
     rows = B.base_entries(spark, folder).select("row_id", "centre_code")
     return classify.with_cost_centre(rows, table_rows, F.col("s_suppkey"))
@@ -201,7 +201,7 @@ SELECT row_id, group_id, CAST(first_day AS VARCHAR) AS first_day,
 FROM m""")
 def window_min(spark, folder):
     rows = B.entries(spark, folder).select("row_id", "group_id", "day", "order_id")
-    first = attach_group_values(rows, ["group_id"], [F.min(F.struct("day", "order_id")).alias("_first")])
+    first = attach_group_values(rows, ["group_id"], [F.min(F.when(F.col("day").isNotNull(), F.struct("day", "order_id"))).alias("_first")])
     return first.select("row_id", "group_id", F.col("_first.day").cast("string").alias("first_day"),
                         F.col("_first.order_id").alias("first_order"))
 
@@ -218,23 +218,24 @@ def union_partials(spark, folder):
 
 
 @query("set_intersect_except", """
-WITH k AS (SELECT c_nationkey AS nation FROM customer WHERE c_acctbal < 0
-           INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 3000 EXCEPT SELECT 7)
+WITH k AS (SELECT CASE WHEN c_acctbal < 0 THEN c_nationkey ELSE c_nationkey + 100 END AS nation FROM customer
+           INTERSECT SELECT CASE WHEN s_acctbal > 3000 THEN s_nationkey ELSE s_nationkey + 200 END FROM supplier EXCEPT SELECT 7)
 SELECT c_custkey AS id, c_nationkey AS nation FROM customer WHERE c_nationkey IN (SELECT nation FROM k)""")
 def set_intersect_except(spark, folder):
-    customers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), "c_acctbal")
-    suppliers = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"), "s_acctbal")
-    keys = common_keys(customers.filter("c_acctbal < 0"), suppliers.filter("s_acctbal > 3000"), "nation", [7])
+    # Nations that are to meet nothing are moved out of the way, so all rows take part.
+    nation, home = F.col("c_nationkey"), F.col("s_nationkey")
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), nation.alias("nation"),
+                                                        F.when(F.col("c_acctbal") < 0, nation).otherwise(nation + 100).alias("moved"))
+    suppliers = table(spark, folder, "supplier").select(F.when(F.col("s_acctbal") > 3000, home).otherwise(home + 200).alias("nation"))
+    keys = common_keys(customers.select(F.col("moved").alias("nation")), suppliers, "nation", [7])
     return with_partner(customers, keys, ["nation"]).select("id", "nation")
 
 
 @query("record_numbering", """
 SELECT c_custkey AS id, c_name AS name, row_number() OVER (ORDER BY c_custkey) AS record_number,
-       row_number() OVER (ORDER BY c_custkey) + 1 AS source_row FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+       row_number() OVER (ORDER BY c_custkey) + 1 AS source_row FROM customer""")
 def record_numbering(spark, folder):
-    rows = table(spark, folder, "customer").filter("c_mktsegment <> 'BUILDING'").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     return number_records(rows, "id").withColumn("source_row", F.col("record_number") + 1)
 
 
@@ -305,7 +306,7 @@ def downtime_enrich(spark, folder):
 WITH f AS (SELECT event_id AS fault_id, CASE WHEN event_id % 6 = 5 THEN 'MTS LINEALES-' || event_type
     WHEN event_id % 6 = 4 THEN NULL ELSE 'F' || CAST(event_id % 6 AS VARCHAR) || '-' || event_type END AS fault,
   floor(value) AS fault_qty FROM events),
-c AS (SELECT 'F' || CAST(n_nationkey AS VARCHAR) AS fault_code, n_name AS fault_class FROM nation WHERE n_nationkey <> 2)
+c AS (SELECT CASE WHEN n_nationkey <> 2 THEN 'F' ELSE 'X' END || CAST(n_nationkey AS VARCHAR) AS fault_code, n_name AS fault_class FROM nation)
 SELECT fault_id, fault, fault_qty, split_part(fault, '-', 1) AS fault_code, fault_class
 FROM f LEFT JOIN c ON split_part(fault, '-', 1) = c.fault_code WHERE split_part(fault, '-', 1) IS DISTINCT FROM 'MTS LINEALES'""")
 def fault_enrich(spark, folder):
@@ -314,6 +315,6 @@ def fault_enrich(spark, folder):
         "CASE WHEN event_id % 6 = 5 THEN concat('MTS LINEALES-', event_type) WHEN event_id % 6 = 4 THEN NULL"
         " ELSE concat('F', CAST(event_id % 6 AS STRING), '-', event_type) END AS fault",
         "CAST(CAST(floor(value) AS BIGINT) AS STRING) AS fault_qty")
-    classes = table(spark, folder, "nation").filter("n_nationkey <> 2").selectExpr(
-        "concat('F', CAST(n_nationkey AS STRING)) AS fault_code", "n_name AS fault", "n_name AS fault_class")
+    classes = table(spark, folder, "nation").selectExpr(
+        "concat(CASE WHEN n_nationkey <> 2 THEN 'F' ELSE 'X' END, CAST(n_nationkey AS STRING)) AS fault_code", "n_name AS fault", "n_name AS fault_class")
     return masters.fault_records(faults, classes)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.numbers import half_up, round_exact
-from tallyworks.plans.rules import CATEGORIES, CODES
+from tallyworks.plans.rules import CATEGORIES, CODES, NOT_EVALUABLE
 
 # Fixed value: width of a file name in the rankings.
 NAME_WIDTH = 40
@@ -31,7 +31,7 @@ def score_kpis(scores: DataFrame, score: str = "score") -> DataFrame:
                       F.coalesce(F.min(score), zero).alias("worst_score"), F.count(F.lit(1)).alias("files"))
 
 
-def category_distribution(scores: DataFrame, categories: Sequence[str] = tuple(c for _, c in CATEGORIES)) -> DataFrame:
+def category_distribution(scores: DataFrame, categories: Sequence[str] = (*(c for _, c in CATEGORIES), NOT_EVALUABLE)) -> DataFrame:
     """Files per category, every category listed."""
     counts = scores.groupBy("category").agg(F.count(F.lit(1)).alias("files"))
     listed = scores.sparkSession.createDataFrame(list(enumerate(categories)), "place int, category string")

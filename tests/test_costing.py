@@ -174,6 +174,7 @@ def test_costs_are_kept_spread_or_lost(spark):
         ("p", "MOD REAL", None, "9", "c9", 20.0), ("p", "MOD REAL", None, "7", "c7", 12.0),
         ("p", "MOD REAL", None, "301021", "cx", 4.0), ("q", "MOD REAL", None, "8", "c8", 99.0)],
         "period string, type_nature string, labour_type string, centre string, description string, balance double")
+    ledger = ledger.withColumn("ledger_id", F.monotonically_increasing_id())
     rules = spark.createDataFrame([("9", "2", "INCLUIDA"), ("9", "1", "EXCLUIDA"), ("7", "2", "EXCLUIDA")],
                                   "original_centre string, target_centre string, rule string")
     out = rates.allocate_costs(ledger, rules)
@@ -184,6 +185,27 @@ def test_costs_are_kept_spread_or_lost(spark):
                    ("8", "2", 10.0, "MOD REAL"), ("9", "2", 20.0, "MOD REAL")]
 
 
+def test_each_real_row_is_spread_on_its_own(spark):
+    ledger = spark.createDataFrame([
+        (1, "p", "MOD ESTANDAR", None, "1", "c1", -30.0), (2, "p", "MOD ESTANDAR", None, "2", None, -10.0),
+        (3, "p", "MOD REAL", None, "8", None, 1000.0), (4, "p", "MOD REAL", None, "8", "c8", 4.0), (5, "p", "MOD REAL", None, None, "x", 40.0)],
+        "ledger_id int, period string, type_nature string, labour_type string, centre string, description string, balance double")
+    none = spark.createDataFrame([], "original_centre string, target_centre string, rule string")
+    out = rates.allocate_costs(ledger, none).filter("share is not null")
+    assert rows_of(out, "ledger_id", "centre", "balance", "original_balance", "base_total") == [
+        (3, "1", 750.0, 1000.0, 40.0), (3, "2", 250.0, 1000.0, 40.0), (4, "1", 3.0, 4.0, 40.0), (4, "2", 1.0, 4.0, 40.0),
+        (5, "1", 30.0, 40.0, 40.0), (5, "2", 10.0, 40.0, 40.0)]
+    hours = spark.createDataFrame([("p", "1", 10.0)], "period string, cost_centre string, hours double")
+    assert rates.split_labels(rates.hourly_rates(rates.allocate_costs(ledger, none), hours)) == (["MOD REAL"], ["MOD ESTANDAR"])
+
+
+def test_a_mounting_without_a_day_earns_nothing_and_hides_nothing(spark):
+    base = dict(prefix12="MONTAJE Y DE", group_id="g", mount_order="m", abs_base_hours=10.0)
+    df = entries(spark, [dict(base, order_id=1, day=None, hours=1.0), dict(base, order_id=2, hours=1.0)])
+    assert rows_of(standard_hours.mounting_awards(df), "group_id", "earned_hours", "mountings") == [("g", 10.0, 1)]
+    assert rows_of(standard_hours.mounting_hours(df), "row_id", "std_hours") == [("0", 5.0), ("1", 5.0)]
+
+
 def test_mounting_awards_first_order_and_late_real_work(spark):
     base = dict(prefix12="MONTAJE Y DE", group_id="g", mount_order="m", abs_base_hours=10.0)
     df = entries(spark, [dict(base, order_id=2, hours=1.0), dict(base, order_id=1, hours=3.0), dict(base, order_id=5, day=day(2), hours=20.0),
