@@ -17,6 +17,7 @@ from tallyworks.plans.costing import downtime as T
 from tallyworks.plans.costing import masters, movements, quantities, rates
 from tallyworks.plans.costing import standard_hours as S
 from tallyworks.plans.costing.movements import GROUP_KEYS
+from tallyworks.sources.staging import staged
 
 KEYS = ", ".join(GROUP_KEYS)
 COMPLETE = " AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS)
@@ -211,7 +212,7 @@ def nonconforming_kg(spark, folder):
 
 
 def _nonconforming(spark, folder):
-    rows, measures = B.entries(spark, folder), _measures(spark, folder).persist()
+    rows, measures = B.entries(spark, folder), staged(_measures(spark, folder), "measures")
     return D.distribute_nonconforming(movements.nonconforming(measures), rows, movements.order_totals(rows, measures))
 
 

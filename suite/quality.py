@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from suite.registry import half_up_sql as H
-from suite.registry import query, table, wide_table
+from suite.registry import query, table
 from tallyworks.functions import patterns as P
 from tallyworks.functions.numbers import half_up
 from tallyworks.operators.ranking import sort_rows, top_and_bottom
@@ -17,6 +19,7 @@ from tallyworks.plans.rules import CATEGORIES, CODES, CRITERIA, RULES, TOTAL_WEI
 from tallyworks.session import shared_folder
 from tallyworks.sources import delimited, messages, sinks
 from tallyworks.sources import files as FL
+from tallyworks.sources.staging import staged
 
 
 def round_sql(expr: str, decimals: int) -> str:
@@ -70,7 +73,7 @@ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'latin-1' ELSE 'utf-8' END AS encod
   CASE WHEN greatest(k0, k1, k2, k3) = 0 OR k0 >= greatest(k1, k2, k3) THEN ',' WHEN k1 >= greatest(k2, k3) THEN chr(9)
        WHEN k2 >= k3 THEN ';' ELSE '|' END AS separator FROM k""")
 def sniff_delimited(spark, folder):
-    docs = wide_table(spark, folder, "documents").selectExpr("doc_id", f"{BODY} AS body")
+    docs = table(spark, folder, "documents").selectExpr("doc_id", f"{BODY} AS body")
     plain = F.encode("body", "UTF-8")
     content = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("E9")), plain)).otherwise(plain)
     return docs.select("doc_id", delimited.encoding_of(content).alias("encoding"),
@@ -206,11 +209,11 @@ SELECT doc_id, {round_sql('''len(list_filter(names, lambda x: trim(x) <> '' AND
   AND NOT regexp_matches(x, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _./()-]'))) / len(names) * 100.0::DOUBLE''', 1)} AS pct_clean FROM n""")
 def profile_names(spark, folder):
     names = F.concat(F.split("text", r"\s+"), F.array(*[F.lit(x) for x in ("Unnamed: 1", " ", "año (kg)")]))
-    return wide_table(spark, folder, "documents").select("doc_id", PF.clean_percent(names).alias("pct_clean"))
+    return table(spark, folder, "documents").select("doc_id", PF.clean_percent(names).alias("pct_clean"))
 
 
 # Cells of a sheet: the lines of a document, cut at ", "; leading, inner and some trailing rows are blank.
-CELL_VALUE = """CASE WHEN r < doc_id % 4 OR r % 7 = 6 OR (doc_id % 13 = 0) THEN NULL WHEN c = 1 AND r > doc_id % 4 THEN CAST(r * 10 + c AS STRING)
+CELL_VALUE = """CASE WHEN r < doc_id % 4 OR r % 7 = 6 OR (doc_id % 13 = 0) THEN NULL WHEN c = 1 AND r > doc_id % 4 THEN CASE WHEN r % 11 = 9 THEN 'n/d' ELSE CAST(r * 10 + c AS STRING) END
   WHEN c = 2 AND r % 3 = 2 THEN CAST(r AS STRING) WHEN c = 3 THEN concat('2024-01-', lpad(CAST(1 + r % 28 AS STRING), 2, '0')) ELSE nullif(trim(v), '') END"""
 CELLS_SQL = f"""lines AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 rws AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS r FROM lines),
@@ -226,7 +229,7 @@ hdr AS (SELECT file, sheet, string_agg(name, ' | ' ORDER BY col) AS names FROM n
 
 
 def _cells(spark, folder):
-    lines = wide_table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("r", "line"))
+    lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("r", "line"))
     parts = lines.select("doc_id", "r", F.posexplode(F.split("line", ", ")).alias("c", "v"))
     return parts.selectExpr("doc_id AS file", "'datos' AS sheet", "CAST(r AS BIGINT) AS row", "CAST(c AS BIGINT) AS col",
                             f"{CELL_VALUE} AS value")
@@ -244,13 +247,17 @@ def header_detect(spark, folder):
 SHEET_SQL = f"""{CELLS_SQL},
 sh AS (SELECT *, coalesce(last_row - header_row, 0) AS rows_total, coalesce(last_row - header_row, 0) = 0 AS is_blank FROM pos),
 bod AS (SELECT cells.* FROM cells JOIN sh USING (file, sheet) WHERE "row" > header_row AND "row" <= last_row),
-fil AS (SELECT file, sheet, count(DISTINCT "row") AS filled FROM bod WHERE value IS NOT NULL GROUP BY ALL),
 cnt AS (SELECT file, sheet, col, count(value) AS present, count(*) FILTER (WHERE {NUMBER_SQL.format(c='value')}) AS numbers,
   count(*) FILTER (WHERE regexp_matches(value, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')) AS dates FROM bod GROUP BY ALL),
 prf AS (SELECT nam.file, nam.sheet, nam.col, name, rows_total, coalesce(present, 0) AS present, coalesce(numbers, 0) AS numbers, coalesce(dates, 0) AS dates
   FROM nam JOIN sh USING (file, sheet) LEFT JOIN cnt ON cnt.file = nam.file AND cnt.sheet = nam.sheet AND cnt.col = nam.col WHERE NOT is_blank),
-typ AS (SELECT *, CASE WHEN present = 0 THEN 'vacío' WHEN numbers / present > 0.8 THEN 'numérico' WHEN dates / present > 0.8 THEN 'fecha'
-  WHEN numbers > 0 THEN 'mixto' ELSE 'texto' END AS type, {columnar_round_sql('(rows_total - present) / rows_total * 100.0::DOUBLE')} AS pct_null FROM prf),
+typ0 AS (SELECT *, CASE WHEN present = 0 THEN 'vacío' WHEN numbers / present > 0.8 THEN 'numérico' WHEN dates / present > 0.8 THEN 'fecha'
+  WHEN numbers > 0 THEN 'mixto' ELSE 'texto' END AS type FROM prf),
+typ1 AS (SELECT *, CASE type WHEN 'numérico' THEN numbers WHEN 'fecha' THEN dates ELSE present END AS remaining FROM typ0),
+typ AS (SELECT *, {columnar_round_sql('(rows_total - remaining) / rows_total * 100.0::DOUBLE')} AS pct_null FROM typ1),
+fil AS (SELECT bod.file, bod.sheet, count(DISTINCT "row") AS filled FROM bod JOIN typ ON typ.file = bod.file AND typ.sheet = bod.sheet AND typ.col = bod.col
+  WHERE value IS NOT NULL AND CASE type WHEN 'numérico' THEN {NUMBER_SQL.format(c='value')}
+    WHEN 'fecha' THEN regexp_matches(value, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') ELSE true END GROUP BY ALL),
 agg AS (SELECT file, sheet, string_agg(CASE WHEN type = 'mixto' THEN name END, ' | ' ORDER BY col) AS mixed, floor(sum(pct_null) * 10 + 0.5) / 10.0::DOUBLE / count(*) AS mean_null,
   count(*) FILTER (WHERE trim(name) <> '' AND NOT starts_with(name, 'Unnamed')
     AND NOT regexp_matches(name, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _./()-]')) AS clean, count(*) AS n FROM typ GROUP BY ALL)"""
@@ -361,7 +368,7 @@ FILE = [
 
 
 def _files(spark, folder):
-    return (wide_table(spark, folder, "documents").selectExpr(*FILE).withColumn("columns", F.split("body", r"\s+"))
+    return (table(spark, folder, "documents").selectExpr(*FILE).withColumn("columns", F.split("body", r"\s+"))
             .withColumnRenamed("grp", "group"))
 
 
@@ -591,12 +598,12 @@ UNION ALL SELECT 'kpis', 1 UNION ALL SELECT 'grupos', count(DISTINCT grp) FROM s
 UNION ALL SELECT 'errores', count(*) FROM fl WHERE error IS NOT NULL AND num_sheets = 0
 UNION ALL SELECT 'nulos', {len(PROFILED_NAMES)} UNION ALL SELECT 'referencia', {sum(len(r.levels) for r in RULES)}""")
 def report_tables(spark, folder):
-    scored = _scored(spark, folder).persist()
+    scored = staged(_scored(spark, folder), "scored")
     _, errors = FL.split_errors(_files(spark, folder))
     tables = {"scoring": R.score_report(scored), "categorias": R.category_distribution(scored), "kpis": R.score_kpis(scored),
               "grupos": R.score_by_group(scored), "errores": errors.select("path", "name", "error"),
               "nulos": PF.profile_nulls(_profiled(spark, folder)),
               "referencia": SC.level_usage(_levels(spark, folder), SC.rule_table(spark))}
-    paths = sinks.write_report(tables, f"{shared_folder(spark)}/report_tables")
+    paths = sinks.write_report(tables, f"{shared_folder(spark)}/report_tables-{uuid.uuid4().hex}")
     return stack([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("report", F.lit(n))
                   for n, p in paths.items()]).select("report", "rows")

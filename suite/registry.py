@@ -26,17 +26,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows feed costly expressions, dealt over all cores if its scan has fewer parts than that.
-
-    A file of one row group is read by one task, however it is split. A large table has far more
-    parts than there are cores and is read as it is, without this shuffle.
-    """
-    rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def half_up_sql(expr: str, decimals: int = 6) -> str:
     return f"floor(({expr}) * 1e{decimals} + 0.5) / 1e{decimals}"
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin letters with marks and the plain letters they become.
-ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUNCY"
+# Upper-case Latin letters with marks (up to U+024F and U+1E00-U+1EFF) and the plain letters they decompose to.
+_MARKED = {c: b for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])
+           if c.isupper() and (b := unicodedata.normalize("NFKD", c)[0]) != c and b.isascii()}
+ACCENTED, PLAIN = "".join(_MARKED), "".join(_MARKED.values())
 
 # Texts that stand for "no value" in customer rows, upper-cased.
 BLANK_WORDS = ("NAN", "NAT", "")

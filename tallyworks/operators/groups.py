@@ -40,26 +40,31 @@ def sized_groups(df: DataFrame, keys: Sequence[str], values: Sequence[Column],
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "left",
-           null_safe: bool = False, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+           null_safe: bool = False, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None,
+           slot_by: Sequence[str] | None = None) -> DataFrame:
     """Join `groups` to detail rows on `keys`; `how` is left or inner.
 
     Groups straight from `sized_groups`, one row per key, bring their row counts, and the values of
     hot groups travel in the broadcast. Groups that cost more to work out, or have several rows per
     key, come with `sizes` (keys and `_group_rows`): then only the hot keys are broadcast, and the
-    rows and copies of a hot group are dealt to as many slots as it has HOT_ROWS. With `null_safe`, a missing key part meets a missing key part.
+    rows and copies of a hot group are dealt to as many slots as it has HOT_ROWS. With `null_safe`, a missing key part
+    meets a missing key part; otherwise such rows meet nothing and are dealt to all slots.
+
+    `slot_by` names the columns whose hash deals the rows of a hot group: ones that tell its rows apart. Without it the
+    row id is taken, or all columns where there is none, which then must all be read.
     """
     if sizes is not None:
-        return _attach_by_slots(rows, groups, sizes, keys, how, null_safe, hot_rows)
+        return _attach_by_slots(rows, groups, sizes, keys, how, null_safe, hot_rows, slot_by)
     values = [c for c in groups.columns if c not in keys and c != _ROWS]
     renamed = _renamed(keys)
     packed = F.struct(*[F.col(v) for v in values])
     hot = groups.filter(F.col(_ROWS) > hot_rows).select(*renamed, packed.alias(_HOT))
     cold = groups.filter(F.col(_ROWS) <= hot_rows).select(
         *renamed, packed.alias(_COLD), F.lit(0).cast("int").alias(_GROUP_SLOT))
-    slot = F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int") + 1
+    slot = F.pmod(_dealt_by(rows, slot_by), F.lit(SPREAD)).cast("int") + 1
     spread = (
         rows.join(F.broadcast(hot), _match(hot, keys, null_safe), "left")
-        .select(*rows.columns, _HOT, F.when(F.col(_HOT).isNotNull(), slot).otherwise(F.lit(0)).alias(_SLOT))
+        .select(*rows.columns, _HOT, F.when(F.col(_HOT).isNotNull() | _unmatched(keys, null_safe), slot).otherwise(F.lit(0)).alias(_SLOT))
     )
     joined = spread.join(cold, _match(cold, keys, null_safe) & (F.col(_SLOT) == cold[_GROUP_SLOT]), "left")
     found = F.coalesce(F.col(_HOT), F.col(_COLD))
@@ -68,6 +73,15 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
 
 
+def _dealt_by(rows: DataFrame, slot_by: Sequence[str] | None) -> Column:
+    return F.xxhash64(*(slot_by or (["row_id"] if "row_id" in rows.columns else rows.columns)))
+
+
+def _unmatched(keys: Sequence[str], null_safe: bool) -> Column:
+    """Rows whose key can meet no group; sent to one place by their key they could be very many."""
+    return F.lit(False) if null_safe else reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
 def _renamed(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)]
 
@@ -78,13 +92,14 @@ def _match(side: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
 
 
 def _attach_by_slots(rows: DataFrame, groups: DataFrame, sizes: DataFrame, keys: Sequence[str], how: str,
-                     null_safe: bool, hot_rows: int) -> DataFrame:
+                     null_safe: bool, hot_rows: int, slot_by: Sequence[str] | None) -> DataFrame:
     values = [c for c in groups.columns if c not in keys]
     hot = F.broadcast(sizes.filter(F.col(_ROWS) > hot_rows).select(
         *_renamed(keys), F.ceil(F.col(_ROWS) / F.lit(hot_rows)).cast("int").alias("_slots")))
     one = F.coalesce(F.col("_slots"), F.lit(1))
+    places = F.when(_unmatched(keys, null_safe), F.lit(SPREAD)).otherwise(one)
     dealt = rows.join(hot, _match(hot, keys, null_safe), "left").select(
-        *rows.columns, F.pmod(F.xxhash64(*rows.columns), one).cast("int").alias(_SLOT))
+        *rows.columns, F.pmod(_dealt_by(rows, slot_by), places).cast("int").alias(_SLOT))
     copies = groups.join(hot, _match(hot, keys, null_safe), "left").select(
         *_renamed(keys), *values, F.explode(F.sequence(F.lit(0), one - 1)).alias(_GROUP_SLOT))
     joined = dealt.join(copies, _match(copies, keys, null_safe) & (F.col(_SLOT) == copies[_GROUP_SLOT]), how)

@@ -21,16 +21,26 @@ EMPTY, NUMERIC, DATE, BOOLEAN, MIXED, TEXT = "vacío", "numérico", "fecha", "bo
 TYPE_SHARE = 0.8
 NAMES_WIDTH, NAMES_SHOWN = 500, 15
 NO_GROUP, GROUP_WIDTH = "SIN_GRUPO", 30
-DATE_TEXT = r"^\s*(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}[-/]\d{1,2}[-/]\d{4})([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?\s*$"
+MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+CLOCK = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?(Z|[+-]\d{2}:?\d{2}))?)?"
+DATE_TEXT = rf"^\s*(\d{{4}}[-/.]\d{{1,2}}[-/.]\d{{1,2}}|\d{{1,2}}[-/.]\d{{1,2}}[-/.]\d{{4}}){CLOCK}\s*$"
+NAMED_DATE = (rf"(?i)^\s*(\d{{1,2}}[ -]({MONTHS})[a-z]*\.?,?[ -]\d{{4}}|({MONTHS})[a-z]*\.? \d{{1,2}},? \d{{4}}){CLOCK}\s*$")
 
 
 def is_date(col: Column) -> Column:
-    """Whether a text is a calendar date, with or without a time of day."""
+    """Whether a text is a calendar date, with or without a time of day and a zone.
+
+    Year first, month or day first in digits (marks -, / or .), or an English month name before or after the day.
+    """
     day = F.split(strip(col), "[ T]")[0]
-    iso = F.replace(day, F.lit("/"), F.lit("-"))
-    parsed = F.coalesce(F.when(iso.rlike(r"^\d{4}-"), iso.try_cast("date")),
+    iso = F.translate(day, "/.", "--")
+    digits = F.coalesce(F.when(iso.rlike(r"^\d{4}-"), iso.try_cast("date")),
                         F.try_to_date(iso, "M-d-yyyy"), F.try_to_date(iso, "d-M-yyyy"))
-    return F.coalesce(F.when(col.rlike(DATE_TEXT), parsed).isNotNull(), F.lit(False))
+    low = F.lower(strip(col))
+    number = F.regexp_extract(low, r"(?<![\d:])(\d{1,2})(?![\d:])", 1)
+    named = F.try_to_date(F.concat_ws("-", F.regexp_extract(low, r"(\d{4})", 1),
+                                      F.initcap(F.regexp_extract(low, rf"({MONTHS})", 1)), number), "yyyy-MMM-d")
+    return F.coalesce(F.when(col.rlike(DATE_TEXT), digits).when(col.rlike(NAMED_DATE), named).isNotNull(), F.lit(False))
 
 
 def text_type(present: Column, numbers: Column) -> Column:
@@ -138,16 +148,19 @@ def promote_header(cells: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFram
     sheets = (positions.join(names, SHEET, "left")
               .withColumn("rows_total", F.coalesce(rows, F.lit(0)).cast("long"))
               .withColumn("is_blank", F.col("rows_total") == 0))
-    body = attach(cells, sheets.select(*SHEET, "header_row", "last_row", "names", "_group_rows"), SHEET, "inner",
-                  hot_rows=hot_rows)
+    body = attach(cells, sheets.select(*SHEET, "header_row", "last_row", "names"), SHEET, "inner", hot_rows=hot_rows,
+                  sizes=positions.select(*SHEET, "_group_rows"), slot_by=["row", "col"])
     body = (body.filter((F.col("row") > F.col("header_row")) & (F.col("row") <= F.col("last_row")))
             .select(*SHEET, (F.col("row") - F.col("header_row") - 1).alias("row"), "col",
                     F.element_at("names", (F.col("col") + 1).cast("int")).alias("column"), "value"))
     return sheets.drop("_group_rows"), body
 
 
-def column_profile(sheets: DataFrame, body: DataFrame) -> DataFrame:
-    """One row per sheet and column: type class after inference and null percentage."""
+def typed_columns(sheets: DataFrame, body: DataFrame) -> DataFrame:
+    """One row per sheet and column: values present, type class after inference, and values the type leaves.
+
+    A column that becomes numeric or a date keeps only the values that parse; the others count as missing from then on.
+    """
     counted = body.groupBy(*SHEET, "col").agg(
         F.count("value").alias("present"), F.count_if(is_number(F.col("value"))).alias("numbers"),
         F.count_if(is_date(F.col("value"))).alias("dates"))
@@ -156,15 +169,30 @@ def column_profile(sheets: DataFrame, body: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     filled = listed.join(counted, [*SHEET, "col"], "left").withColumns(
         {c: F.coalesce(F.col(c), zero) for c in ("present", "numbers", "dates")})
-    return filled.select(*SHEET, "col", "column",
-                         inferred_type(F.col("present"), F.col("numbers"), F.col("dates")).alias("type"),
-                         null_percent(F.col("present"), F.col("rows_total")).alias("pct_null"))
+    typed = filled.withColumn("type", inferred_type(F.col("present"), F.col("numbers"), F.col("dates")))
+    left = F.when(F.col("type") == NUMERIC, F.col("numbers")).when(F.col("type") == DATE, F.col("dates")).otherwise(F.col("present"))
+    return typed.withColumn("left", left)
+
+
+def column_profile(sheets: DataFrame, body: DataFrame) -> DataFrame:
+    """One row per sheet and column: type class after inference and null percentage of the typed column."""
+    return typed_columns(sheets, body).select(*SHEET, "col", "column", "type",
+                                              null_percent(F.col("left"), F.col("rows_total")).alias("pct_null"))
+
+
+def rows_with_data(sheets: DataFrame, body: DataFrame) -> DataFrame:
+    """Per sheet the rows that hold a value once the columns have their types."""
+    losing = typed_columns(sheets, body).filter(F.col("left") < F.col("present")).select(
+        *SHEET, "col", F.col("type").alias("_type"))
+    value = F.col("value")
+    stays = F.when(F.col("_type") == NUMERIC, is_number(value)).when(F.col("_type") == DATE, is_date(value)).otherwise(F.lit(True))
+    return (body.filter(value.isNotNull()).join(losing, [*SHEET, "col"], "left").filter(stays).select(*SHEET, "row").distinct()
+            .groupBy(*SHEET).agg(F.count(F.lit(1)).alias("rows_with_data")))
 
 
 def sheet_summary(sheets: DataFrame, body: DataFrame) -> DataFrame:
     """One row per sheet: blank flag, header position, columns, row counts, clean names, mixed columns."""
-    filled = (body.filter(F.col("value").isNotNull()).select(*SHEET, "row").distinct()
-              .groupBy(*SHEET).agg(F.count(F.lit(1)).alias("rows_with_data")))
+    filled = rows_with_data(sheets, body)
     mixed = F.sort_array(F.collect_list(F.when(F.col("type") == MIXED, F.struct("col", "column"))))
     columns = column_profile(sheets, body).groupBy(*SHEET).agg(
         F.transform(mixed, lambda m: m["column"]).alias("_mixed"), (half_up(F.sum("pct_null"), 1) / F.count("pct_null")).alias("mean_null"))
@@ -236,7 +264,8 @@ def schema_consistency(sheets: DataFrame, group: str, order: Sequence[str], colu
     """Per group the mean similarity of each sheet's column set to that of the group's first sheet."""
     first = sheets.groupBy(group).agg(
         F.min_by(F.col(columns), F.struct(*order)).alias("_reference"), F.count(F.lit(1)).alias("_group_rows"))
-    compared = attach(sheets, first, [group], hot_rows=hot_rows)
+    compared = attach(sheets, first.drop("_group_rows"), [group], hot_rows=hot_rows, sizes=first.select(group, "_group_rows"),
+                      slot_by=list(order))
     return compared.groupBy(group).agg(
         F.count(F.lit(1)).alias("sheets"),
         F.avg(similarity(F.col(columns), F.col("_reference"))).alias("similarity"))

@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The characters cp1252 has and latin-1 lacks, with what replaces them in latin-1 text.
+# The characters that cp1252 has besides ASCII and Latin-1.
 CP1252_ONLY = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-LATIN1_STAND_IN = "E'f\".++^%S<OZ''\"\"*--~Ts>ozY"
+ANY_CHARSET = "spark.sql.legacy.javaCharsets"
 
 
 def write_report(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
@@ -22,11 +22,18 @@ def write_report(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parqu
 
 
 def write_fixed_width(lines: DataFrame, path: str, encoding: str = "UTF-8", line: str = "line") -> None:
-    """Text lines ended by CR LF, in UTF-8 or in single bytes per character (latin-1)."""
+    """Text lines ended by CR LF, in UTF-8 or in cp1252; a character that cp1252 lacks fails the write."""
     if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
         lines.select(line).write.mode("overwrite").option("lineSep", "\r\n").text(path)
         return
-    plain = F.translate(F.col(line), CP1252_ONLY, LATIN1_STAND_IN)
-    (lines.select(plain.alias(line)).write.mode("overwrite")
-     .options(encoding="ISO-8859-1", quote="", sep="\x01", lineSep="\r\n", emptyValue="",
-              ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))
+    lacking = F.col(line).rlike(rf"[^\x00-\x7F\xA0-\xFF{CP1252_ONLY}]")
+    checked = F.when(lacking, F.raise_error(F.concat(F.lit("not in cp1252: "), F.col(line))).cast("string")).otherwise(F.col(line))
+    conf = lines.sparkSession.conf
+    before = conf.get(ANY_CHARSET, "false")
+    conf.set(ANY_CHARSET, "true")
+    try:
+        (lines.select(checked.alias(line)).write.mode("overwrite")
+         .options(encoding="windows-1252", quote="", sep="\x01", lineSep="\r\n", emptyValue="",
+                  ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))
+    finally:
+        conf.set(ANY_CHARSET, before)

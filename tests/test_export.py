@@ -106,7 +106,9 @@ def test_blank_rows_are_dropped(spark):
     assert X.drop_blank_rows(df).count() == 1
 
 
-def test_latin1_text(spark, tmp_path):
-    write_fixed_width(spark.createDataFrame([("año “x” ",)], "line string"), str(tmp_path / "t"), "latin-1")
-    text = b"".join(open(f, "rb").read() for f in glob.glob(str(tmp_path / "t" / "part-*")))
-    assert text == 'año "x" \r\n'.encode("latin-1")
+def test_cp1252_text(spark, tmp_path):
+    write_fixed_width(spark.createDataFrame([("año “x” 5 € ",)], "line string"), str(tmp_path / "t"), "cp1252")
+    text = b"".join(p.read_bytes() for p in (tmp_path / "t").glob("part-*"))
+    assert text == "año “x” 5 € \r\n".encode("cp1252")
+    with pytest.raises(Exception, match="not in cp1252"):
+        write_fixed_width(spark.createDataFrame([("日本",)], "line string"), str(tmp_path / "u"), "cp1252")
