@@ -18,35 +18,108 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import TwoAges, components, kept, query, stored, table
+from tallyworks.llm.common import components, kept, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, bloom_places, merged, mix, pieces
 
 #: Cells of the bucket counts (4 bytes each on the driver, 1 in the tasks), and bits of the Bloom filter.
 BUCKETS, BITS = 1 << 22, 1 << 26
 
 
-class WordHashes(TwoAges):
-    def work(self, word: bytes) -> int:
-        return xxhash.xxh3_64_intdigest(word)
+#: Bytes that are worked on at once; a longer word makes a longer piece.
+STEP = 1 << 19
+#: Space, and tab to carriage return.
+BLANKS = np.zeros(256, bool)
+BLANKS[[32, *range(9, 14)]] = True
+#: A 64-bit number for each byte, the same for a letter A-Z and its small one; odd factor and its inverse modulo 2^64.
+VALUES = mix(np.arange(256, dtype=np.uint64), 77)
+VALUES[65:91] = VALUES[97:123]
+FACTOR = 0x9E3779B97F4A7C15
 
 
-def shingles(text: bytes, words: int, hashes: dict[bytes, int]) -> np.ndarray:
-    """Distinct 64-bit hashes of all runs of `words` words, A-Z lower-cased; of the whole sequence if it has fewer."""
-    parts = text.lower().split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, parts), np.uint64, len(parts))
-    width = min(words, len(h))
+def powers(factor: int, n: int) -> np.ndarray:
+    out = np.full(n, factor, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(piece: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words in a piece of bytes; `first` are places where a text begins.
+
+    A word's hash is the sum of its bytes' values times powers of the factor, taken from running sums over the piece.
+    """
+    up, down = kept(f"powers {len(piece) >> 19}", lambda: tuple(
+        powers(f, ((len(piece) >> 19) + 1) << 19) for f in (FACTOR, pow(FACTOR, -1, 1 << 64))))
+    blank = BLANKS[piece]
+    begins, ends = ~blank, ~blank
+    after = blank[:-1].copy()
+    edge = first[(first > 0) & (first < len(piece))]
+    after[edge - 1] = True  # a text's first byte follows nothing
+    begins[1:] &= after
+    after = blank[1:].copy()
+    after[edge - 1] = True
+    ends[:-1] &= after
+    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
+    with np.errstate(over="ignore"):
+        terms = VALUES[piece] * up[: len(piece)]
+        sums = np.cumsum(terms)
+        return begins, (sums[ends] - sums[begins] + terms[begins]) * down[begins]
+
+
+def pieces_of(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """A text in pieces that end where a word ends."""
+    at = 0
+    while at < len(data):
+        end = at + STEP
+        while end < len(data) and not BLANKS[data[end]]:
+            near = np.flatnonzero(BLANKS[data[end:end + STEP]])
+            end += int(near[0]) if len(near) else STEP
+        yield at, data[at:end]
+        at = end
+
+
+def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    """For each text (data between bounds) the sorted distinct hashes of all runs of `words` words, A-Z lower-cased; of
+    the whole sequence if it has fewer."""
+    parts = [(at, *word_hashes(p, bounds[:-1] - at)) for at, p in pieces_of(data)] if len(bounds) == 2 else [
+        (0, *word_hashes(data, bounds[:-1]))]
+    places = np.concatenate([at + b for at, b, _ in parts]) if parts else np.zeros(0, np.int64)
+    h = np.concatenate([x for *_, x in parts]) if parts else np.zeros(0, np.uint64)
+    owner = np.searchsorted(bounds, places, side="right") - 1
+    n_words = np.bincount(owner, minlength=len(bounds) - 1)
+    whole = runs(h, words)[owner[words - 1:] == owner[:len(owner) - words + 1]] if len(h) >= words else np.zeros(0, np.uint64)
+    at = word_at = 0
+    for n in n_words.tolist():
+        if n >= words:
+            s = np.sort(whole[at:at + n - words + 1])
+            yield s[np.append(True, s[1:] != s[:-1])]
+            at += n - words + 1
+        else:
+            yield runs(h[word_at:word_at + n], n) if n else np.zeros(0, np.uint64)
+        word_at += n
+
+
+def runs(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of `width` words."""
     n = len(h) - width + 1
     out = np.full(n, width, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(width):
-            out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n]
-    return np.unique(mix(out, 1))
+            out = (out ^ (out >> np.uint64(29))) * np.uint64(FACTOR) + h[i:i + n]
+    return mix(out, 1)
+
+
+def sets_of(words: int, column: pa.Array) -> Iterator[np.ndarray]:
+    """The sets of a batch's texts (binary); a null text has the empty one."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + STEP, side="right")) - 1)
+        yield from shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
+        i = j
 
 
 def least_share(n: int | np.ndarray, percent: int):
@@ -54,22 +127,29 @@ def least_share(n: int | np.ndarray, percent: int):
     return (percent * n + 99) // 100
 
 
-def prefix(tokens: np.ndarray, percent: int, order: int, classes: np.ndarray | None = None) -> np.ndarray:
-    """The first tokens under an order: order 0 by class of frequency and then by hash, the others by another hash."""
+def rank(tokens: np.ndarray, order: int, classes: np.ndarray | None = None) -> np.ndarray:
+    """Places of tokens in an order: order 0 by class of frequency and then by hash, the others by another hash."""
+    if classes is None:
+        return mix(tokens, 11 + order)
+    return (classes[tokens & np.uint64(len(classes) - 1)].astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
+
+
+def prefix(tokens: np.ndarray, percent: int, order: int, classes: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """The first tokens of a set under an order, and the place of the last of them."""
     n = len(tokens)
     size = n - least_share(n, percent) + 1
-    if classes is not None:
-        rank = (classes[tokens & np.uint64(len(classes) - 1)].astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
-    else:
-        rank = mix(tokens, 11 + order)
-    return tokens[np.argpartition(rank, size - 1)[:size]] if size < n else tokens
+    places = rank(tokens, order, classes)
+    if size >= n:
+        return tokens, int(places.max())
+    at = np.argpartition(places, size - 1)
+    return tokens[at[:size]], int(places[at[size - 1]])
 
 
 def frequency_classes(counts: np.ndarray) -> np.ndarray:
     """0 for buckets about as full as the mean, then growing with the logarithm of what they hold above that."""
     mean = max(1.0, counts.mean())
     above = np.maximum(0.0, (counts - mean) / (4 * np.sqrt(mean)))
-    return np.minimum(255, np.floor(4 * np.log2(1 + above))).astype(np.uint8)
+    return np.minimum(127, np.floor(4 * np.log2(1 + above))).astype(np.uint8)
 
 
 def required(c: Column, n: Column, m: Column, percent: int) -> Column:
@@ -87,20 +167,13 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int, orders: int) -> bool:
     n, m = len(a), len(b)
     rest = max(least_share(n, percent), least_share(m, percent)) - 1
     for order in range(1, orders):
-        both = len(np.intersect1d(prefix(a, percent, order), prefix(b, percent, order), assume_unique=True))
+        both = len(np.intersect1d(prefix(a, percent, order)[0], prefix(b, percent, order)[0], assume_unique=True))
         if not both or (both + rest) * (100 + percent) < (n + m) * percent:
             return False
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (n + m - common)
 
 
-def sets_of(words: int, b: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """The sets of a batch's texts; a null text has the empty one."""
-    hashes = kept("word hashes", lambda: WordHashes(500_000))
-    for t in b.column("t"):
-        yield shingles(t.as_py() or b"", words, hashes)
-
-
 class Join:
     """One run over a table of documents."""
 
@@ -119,7 +192,7 @@ class Join:
             counts = np.zeros(BUCKETS, np.int64)
             for b in batches:
                 nodes, sizes = [], []
-                for s in sets(b):
+                for s in sets(b.column("t")):
                     nodes.append(node_of(s))
                     sizes.append(len(s))
                     np.add.at(counts, s & np.uint64(BUCKETS - 1), 1)
@@ -135,57 +208,62 @@ class Join:
         return both.where("piece is null").select("id", "node", "n"), counts
 
     def shared_tokens(self, classes: np.ndarray) -> DataFrame:
-        """(token, node, n, hub, hub_n): prefix tokens of the first order that several nodes have."""
+        """(token, node, n, last, hub, hub_n): prefix tokens of the first order that several nodes have.
+
+        `last` is the upper half of the place of the node's last prefix token.
+        """
         known, percent, sets = self.spark.sparkContext.broadcast(classes), self.percent, self.sets
 
         def post(batches):
             done = set()  # nodes of this task: copies need not be sent again
             for b in batches:
-                tokens, nodes, sizes = [], [], []
-                for s in sets(b):
+                tokens, nodes, sizes, ends = [], [], [], []
+                for s in sets(b.column("t")):
                     if len(s) and (node := node_of(s)) not in done:
                         done.add(node)
-                        p = prefix(s, percent, 0, known.value)
+                        p, end = prefix(s, percent, 0, known.value)
                         tokens.append(p)
                         nodes.append(np.full(len(p), node))
                         sizes.append(np.full(len(p), len(s)))
+                        ends.append(np.full(len(p), end >> 32))
                 if tokens:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes)),
-                                                      pa.array(np.concatenate(sizes).astype(np.int32))], names=["token", "node", "n"])
+                                                      pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(ends).astype(np.int32))],
+                                                     names=["token", "node", "n", "last"])
 
-        def runs(batches):
+        def shared(batches):
             """Sorted by token and node: rows of tokens with at least two nodes, with the token's first node as its hub."""
             held = None  # the last row with its hub, and whether it is known to be shared
             for b in batches:
-                token, node, n = (b.column(c).to_numpy() for c in ("token", "node", "n"))
+                token, node, n, last = (b.column(c).to_numpy() for c in ("token", "node", "n", "last"))
                 if held is not None:
-                    token, node, n = np.append(held[0], token), np.append(held[1], node), np.append(held[2], n)
+                    token, node, n, last = (np.append(h, c) for h, c in zip(held, (token, node, n, last)))
                 if not len(token):
                     continue
                 new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
-                token, node, n = token[new], node[new], n[new]
+                token, node, n, last = token[new], node[new], n[new], last[new]
                 start = np.append(True, token[1:] != token[:-1])
                 first = np.maximum.accumulate(np.where(start, np.arange(len(token)), 0))
                 hub, hub_n = node[first], n[first]
                 if held is not None:
                     old = token == held[0]
-                    hub, hub_n = np.where(old, held[3], hub), np.where(old, held[4], hub_n)
-                shared = ~start
-                shared[:-1] |= token[1:] == token[:-1]
-                if held is not None and held[5]:
-                    shared[0] = True
-                held = (token[-1], node[-1], n[-1], hub[-1], hub_n[-1], bool(shared[-1]))
-                out = shared[:-1]
-                yield rows(token[:-1][out], node[:-1][out], n[:-1][out], hub[:-1][out], hub_n[:-1][out])
-            if held is not None and held[5]:
-                yield rows(*[np.array([x]) for x in held[:5]])
+                    hub, hub_n = np.where(old, held[4], hub), np.where(old, held[5], hub_n)
+                several = ~start
+                several[:-1] |= token[1:] == token[:-1]
+                if held is not None and held[6]:
+                    several[0] = True
+                held = (token[-1], node[-1], n[-1], last[-1], hub[-1], hub_n[-1], bool(several[-1]))
+                out = several[:-1]
+                yield rows(*[c[:-1][out] for c in (token, node, n, last, hub, hub_n)])
+            if held is not None and held[6]:
+                yield rows(*[np.array([x]) for x in held[:6]])
 
         def rows(*columns):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
-                                              names=["token", "node", "n", "hub", "hub_n"])
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["token", "node", "n", "last", "hub", "hub_n"])
 
-        posts = self.docs.mapInArrow(post, "token long, node long, n int").repartition("token").sortWithinPartitions("token", "node")
-        return stored(posts.mapInArrow(runs, "token long, node long, n int, hub long, hub_n int"), "shared")
+        posts = self.docs.mapInArrow(post, "token long, node long, n int, last int").repartition("token").sortWithinPartitions("token", "node")
+        return stored(posts.mapInArrow(shared, "token long, node long, n int, last int, hub long, hub_n int"), "shared")
 
     def alike_pairs(self, pairs: DataFrame, summaries: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes whose sets are alike, read once more from the texts that are needed."""
@@ -200,7 +278,7 @@ class Join:
 
         def emit(batches):
             for b in batches:
-                sets = list(read(b))
+                sets = list(read(b.column("t")))
                 node = np.array([node_of(s) for s in sets], np.int64)
                 wanted = np.flatnonzero(holds(known.value, place_of(node, b.column("h").to_numpy())))
                 yield pa.RecordBatch.from_arrays([pa.array(node[wanted]), pa.array([sets[i].tobytes() for i in wanted], pa.binary())],
@@ -232,15 +310,22 @@ class Join:
                 .groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best")))
         first = self.alike_pairs(hubs.select(F.col("node").alias("a"), F.col("best.hub").alias("b")), summaries)
         known = components(first)
-        part = (shared.select("token", "node", "n").join(known.withColumnRenamed("id", "node"), "node", "left")
-                .select("token", "node", "n", F.coalesce("root", "node").alias("part")))
+        # Prefix tokens that no other prefix holds. Of two nodes, the one whose prefix ends first shares none of its own
+        # with the other: the tokens up to there are in the other's prefix if they are in the other at all.
+        nodes = shared.groupBy("node", "n").agg(F.count("*").alias("live")).select("node", (F.col("n") - own + F.col("live")).alias("most"))
+        nodes = nodes.join(known.withColumnRenamed("id", "node"), "node", "left").select("node", "most", F.coalesce("root", "node").alias("part"))
+        part = shared.select("token", "node", "n", "last").join(nodes, "node")
         # Tokens whose nodes are not all in one component yet, with the component that most of them are in.
         several = (part.groupBy("token", "part").agg(F.count("*").alias("m")).groupBy("token")
                    .agg(F.count("*").alias("parts"), F.max_by("part", F.struct("m", "part")).alias("main")).where("parts > 1").select("token", "main"))
         open_ = part.join(several, "token")
-        few = open_.where("part <> main").select("token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("part").alias("ap"))
+        few = open_.where("part <> main").select("token", *[F.col(c).alias(x) for c, x in
+                                                            (("node", "a"), ("n", "an"), ("part", "ap"), ("last", "al"), ("most", "am"))])
+        common = (F.when(F.col("al") < F.col("last"), F.col("am")).when(F.col("al") > F.col("last"), F.col("most"))
+                  .otherwise(F.greatest("am", "most")))
         cross = few.join(open_, "token").where((F.col("ap") != F.col("part")) & ((F.col("part") == F.col("main")) | (F.col("a") < F.col("node")))
-                                              & (F.least("n", "an") * 100 >= F.greatest("n", "an") * self.percent))
+                                              & (F.least("n", "an") * 100 >= F.greatest("n", "an") * self.percent)
+                                              & (common * (100 + self.percent) >= (F.col("n") + F.col("an")) * self.percent))
         a, b = F.least("a", "node"), F.greatest("a", "node")
         pairs = (cross.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("an").alias("m"))
                  .where(required(F.col("c"), F.col("n"), F.col("m"), self.percent)))
