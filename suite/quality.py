@@ -13,6 +13,7 @@ from tallyworks.functions.numbers import half_up
 from tallyworks.operators.ranking import sort_rows, top_and_bottom
 from tallyworks.operators.sets import stack
 from tallyworks.plans import profiling as PF
+from tallyworks.plans import quality_job as QJ
 from tallyworks.plans import report as R
 from tallyworks.plans import scoring as SC
 from tallyworks.plans.rules import CATEGORIES, CODES, CRITERIA, RULES, TOTAL_WEIGHT
@@ -215,17 +216,18 @@ def profile_names(spark, folder):
 # Cells of a sheet: the lines of a document, cut at ", "; leading, inner and some trailing rows are blank.
 CELL_VALUE = """CASE WHEN r < doc_id % 4 OR r % 7 = 6 OR (doc_id % 13 = 0) THEN NULL WHEN c = 1 AND r > doc_id % 4 THEN CASE WHEN r % 11 = 9 THEN 'n/d' ELSE CAST(r * 10 + c AS STRING) END
   WHEN c = 2 AND r % 3 = 2 THEN CAST(r AS STRING) WHEN c = 3 THEN concat('2024-01-', lpad(CAST(1 + r % 28 AS STRING), 2, '0')) ELSE nullif(trim(v), '') END"""
-CELLS_SQL = f"""lines AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+CELLS_ONLY_SQL = f"""lines AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 rws AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS r FROM lines),
 prt AS (SELECT doc_id, r, string_split(line, ', ') AS vs FROM rws),
 cls0 AS (SELECT doc_id, r, unnest(vs) AS v, unnest(range(len(vs))) AS c FROM prt),
-cells AS (SELECT doc_id AS file, 'datos' AS sheet, r AS "row", c AS col, {CELL_VALUE} AS value FROM cls0),
-pos AS (SELECT file, sheet, min(CASE WHEN value IS NOT NULL THEN "row" END) AS header_row,
+cells AS (SELECT doc_id AS file, 'datos' AS sheet, r AS "row", c AS col, {CELL_VALUE} AS value FROM cls0)"""
+POSITIONS_SQL = """pos AS (SELECT file, sheet, min(CASE WHEN value IS NOT NULL THEN "row" END) AS header_row,
     max(CASE WHEN value IS NOT NULL THEN "row" END) AS last_row, max("row") + 1 AS rows_raw, max(col) + 1 AS width FROM cells GROUP BY ALL),
 wid AS (SELECT file, sheet, header_row, unnest(range(width)) AS col FROM pos WHERE header_row IS NOT NULL),
 nam AS (SELECT wid.file, wid.sheet, wid.col, coalesce(nullif(trim(cells.value), ''), concat('Col_', wid.col)) AS name
   FROM wid LEFT JOIN cells ON cells.file = wid.file AND cells.sheet = wid.sheet AND cells."row" = wid.header_row AND cells.col = wid.col),
 hdr AS (SELECT file, sheet, string_agg(name, ' | ' ORDER BY col) AS names FROM nam GROUP BY ALL)"""
+CELLS_SQL = f"{CELLS_ONLY_SQL},\n{POSITIONS_SQL}"
 
 
 def _cells(spark, folder):
@@ -244,14 +246,15 @@ def header_detect(spark, folder):
     return sheets.withColumn("names", F.array_join("names", " | "))
 
 
-SHEET_SQL = f"""{CELLS_SQL},
-sh AS (SELECT *, coalesce(last_row - header_row, 0) AS rows_total, coalesce(last_row - header_row, 0) = 0 AS is_blank FROM pos),
+def _sheet_sql(infer: bool) -> str:
+    """From cells and header positions to a profile of each column."""
+    return f"""sh AS (SELECT *, coalesce(last_row - header_row, 0) AS rows_total, coalesce(last_row - header_row, 0) = 0 AS is_blank FROM pos),
 bod AS (SELECT cells.* FROM cells JOIN sh USING (file, sheet) WHERE "row" > header_row AND "row" <= last_row),
 cnt AS (SELECT file, sheet, col, count(value) AS present, count(*) FILTER (WHERE {NUMBER_SQL.format(c='value')}) AS numbers,
   count(*) FILTER (WHERE regexp_matches(value, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')) AS dates FROM bod GROUP BY ALL),
 prf AS (SELECT nam.file, nam.sheet, nam.col, name, rows_total, coalesce(present, 0) AS present, coalesce(numbers, 0) AS numbers, coalesce(dates, 0) AS dates
   FROM nam JOIN sh USING (file, sheet) LEFT JOIN cnt ON cnt.file = nam.file AND cnt.sheet = nam.sheet AND cnt.col = nam.col WHERE NOT is_blank),
-typ0 AS (SELECT *, CASE WHEN present = 0 THEN 'vacío' WHEN numbers / present > 0.8 THEN 'numérico' WHEN dates / present > 0.8 THEN 'fecha'
+typ0 AS (SELECT *, CASE WHEN present = 0 THEN 'vacío' {'' if not infer else "WHEN numbers / present > 0.8 THEN 'numérico' WHEN dates / present > 0.8 THEN 'fecha'"}
   WHEN numbers > 0 THEN 'mixto' ELSE 'texto' END AS type FROM prf),
 typ1 AS (SELECT *, CASE type WHEN 'numérico' THEN numbers WHEN 'fecha' THEN dates ELSE present END AS remaining FROM typ0),
 typ AS (SELECT *, {columnar_round_sql('(rows_total - remaining) / rows_total * 100.0::DOUBLE')} AS pct_null FROM typ1),
@@ -263,6 +266,9 @@ agg AS (SELECT file, sheet, string_agg(CASE WHEN type = 'mixto' THEN name END, '
     AND NOT regexp_matches(name, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑüÜ _./()-]')) AS clean, count(*) AS n FROM typ GROUP BY ALL)"""
 
 
+SHEET_SQL = f"{CELLS_SQL},\n{_sheet_sql(True)}"
+
+
 @query("sheet_summary", f"""
 WITH {SHEET_SQL}
 SELECT sh.file, sh.sheet, is_blank, CAST(coalesce(header_row, 0) AS BIGINT) AS header_row, coalesce(header_row, 0) = 0 AS header_in_row1,
@@ -276,9 +282,7 @@ def sheet_summary(spark, folder):
     return PF.sheet_summary(sheets, body).withColumn("mean_null", half_up(F.col("mean_null"), 4))
 
 
-@query("file_metrics", f"""
-WITH {SHEET_SQL},
-pc AS (SELECT *, coalesce({round_sql('clean / n * 100.0::DOUBLE', 1)}, 0) AS pct_clean FROM sh LEFT JOIN agg USING (file, sheet)),
+METRICS_SQL = f"""pc AS (SELECT *, coalesce({round_sql('clean / n * 100.0::DOUBLE', 1)}, 0) AS pct_clean FROM sh LEFT JOIN agg USING (file, sheet)),
 tf AS (SELECT file, CAST(count(*) AS INTEGER) AS total_columns, CAST(count(*) FILTER (WHERE type = 'mixto') AS INTEGER) AS mixed,
     floor(sum(pct_null) * 10 + 0.5) / 10.0::DOUBLE / count(*) AS mean_null,
     bool_or(type = 'fecha' AND regexp_matches(lower(name), 'fecha|date|period|mes|month')) AS dated,
@@ -288,7 +292,12 @@ sf AS (SELECT file, CAST(count(*) AS INTEGER) AS sheets, CAST(count(*) FILTER (W
     CAST(count(*) FILTER (WHERE NOT is_blank AND coalesce(header_row, 0) = 0) AS INTEGER) AS header_ok,
     CAST(max(coalesce(header_row, 0)) AS INTEGER) AS leading_blank,
     coalesce(floor(sum(CASE WHEN NOT is_blank THEN pct_clean END) * 10 + 0.5) / 10.0::DOUBLE / nullif(count(*) FILTER (WHERE NOT is_blank), 0), 0) AS mean_clean
-  FROM pc GROUP BY file)
+  FROM pc GROUP BY file)"""
+
+
+@query("file_metrics", f"""
+WITH {SHEET_SQL},
+{METRICS_SQL}
 SELECT sf.*, coalesce(total_columns, 0) AS total_columns, coalesce(mixed, 0) AS mixed, {H('mean_null', 4)} AS mean_null,
   coalesce(dated, false) AS has_date_column, coalesce(names, '') AS columns FROM sf LEFT JOIN tf USING (file)""")
 def file_metrics(spark, folder):
@@ -443,8 +452,7 @@ CAPS = sorted([r for r in RULES if r.ceiling is not None], key=lambda r: r.ceili
 GAPS = {"B": "doc_id % 5 = 2", "K": "doc_id % 7 = 3"}
 GAP_CTE = "gl AS (SELECT * REPLACE (" + ", ".join(
     f"CASE WHEN doc_id % 100 = 7 OR {GAPS.get(c, 'false')} THEN NULL ELSE level_{c} END AS level_{c}" for c in CODES) + ") FROM lv)"
-SCORE_CTE = f"""{LEVELS_CTE}, {GAP_CTE},
-pt AS (SELECT *, {', '.join(f"CASE WHEN level_{r.code} IS NULL THEN NULL WHEN {_blocked_sql(r, 'level_' + r.code)} THEN 0 ELSE {round_sql(_points_sql(r, 'level_' + r.code), 2)} END AS points_{r.code}" for r in RULES)},
+SCORE_TAIL = f"""pt AS (SELECT *, {', '.join(f"CASE WHEN level_{r.code} IS NULL THEN NULL WHEN {_blocked_sql(r, 'level_' + r.code)} THEN 0 ELSE {round_sql(_points_sql(r, 'level_' + r.code), 2)} END AS points_{r.code}" for r in RULES)},
   {' + '.join(f"CASE WHEN level_{r.code} IS NULL THEN 0 ELSE {r.weight} END" for r in RULES)} AS used_weight,
   CASE {' '.join(f'WHEN level_{r.code} = 10 THEN {r.ceiling}' for r in CAPS)} ELSE 100 END AS cap,
   CASE {' '.join(f"WHEN level_{r.code} = 10 THEN '{r.code}'" for r in CAPS)} END AS blocker FROM gl),
@@ -452,6 +460,7 @@ sm AS (SELECT *, {H(' + '.join(f'coalesce(points_{c}, 0.0::DOUBLE)' for c in COD
 sc0 AS (SELECT *, CASE WHEN used_weight > 0 THEN CAST(least(least({round_sql(f'total * ({TOTAL_WEIGHT}.0::DOUBLE / greatest(used_weight, 1))', 1)}, 100), cap) AS DOUBLE) ELSE 0 END AS score FROM sm),
 sc AS (SELECT * EXCLUDE (blocker), CASE WHEN used_weight = 0 THEN '⛔ No evaluable' {' '.join(f"WHEN score >= {b} THEN '{t}'" for b, t in CATEGORIES[:-1])} ELSE '{CATEGORIES[-1][1]}' END AS category,
   CASE WHEN used_weight > 0 THEN blocker END AS blocked_by FROM sc0)"""
+SCORE_CTE = f"{LEVELS_CTE}, {GAP_CTE},\n{SCORE_TAIL}"
 
 
 def _gapped(files):
@@ -607,3 +616,69 @@ def report_tables(spark, folder):
     paths = sinks.write_report(tables, f"{shared_folder(spark)}/report_tables-{uuid.uuid4().hex}")
     return stack([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("report", F.lit(n))
                   for n, p in paths.items()]).select("report", "rows")
+
+
+# The whole job, from contents to scores: a file is a document, its bytes in one of two encodings.
+JOB_FILE = [
+    "concat('carpeta/', CAST(doc_id AS STRING), '_', lang, CASE doc_id % 3 WHEN 0 THEN ' ventas 2024-03-15.csv' WHEN 1 THEN ' stock.txt' ELSE '.csv' END) AS path",
+    "concat(CAST(doc_id AS STRING), '_', lang, CASE doc_id % 3 WHEN 0 THEN ' ventas 2024-03-15.csv' WHEN 1 THEN ' stock.txt' ELSE '.csv' END) AS name",
+    "CASE WHEN doc_id % 4 = 0 THEN '.' ELSE source END AS subfolder",
+    "CASE WHEN doc_id % 7 = 0 THEN 'pedido del customer' ELSE '' END AS subject",
+    "CASE WHEN doc_id % 5 = 0 THEN 'ana@example.org' ELSE '' END AS sender",
+    "CASE WHEN doc_id % 8 = 0 THEN '2024-01-05' ELSE NULL END AS message_date",
+    "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '2024-01-01 10:00' END AS mtime",
+    "CASE WHEN doc_id % 8 = 0 THEN 'adjunto' ELSE 'directo' END AS origin",
+    "CASE WHEN doc_id % 3 = 1 THEN 'txt' ELSE 'csv' END AS format",
+]
+JOB_BODY = """CASE WHEN doc_id % 29 = 0 THEN '' ELSE concat(CASE doc_id % 5 WHEN 0 THEN concat('fecha;cliente;qty;valor;', lang, chr(10)) WHEN 1 THEN concat('sku,unidades,precio,', lang, chr(10)) ELSE '' END,
+  CASE doc_id % 5 WHEN 0 THEN concat('2024-01-05;uno;3;NA;z', chr(10), chr(10), '2024-01-06;dos;x;4;', chr(10), '1;2;3;4;5;6', chr(10)) ELSE '' END, replace(replace(text, '"', ''), ', ', CASE doc_id % 5 WHEN 0 THEN ';' ELSE ',' END)) END"""
+SEPARATOR_SQL = f"""l AS (SELECT *, list_filter(list_slice(string_split_regex(body, '\\r\\n|[\\n\\r]'), 1, 5), lambda x: regexp_matches(x, '\\S')) AS head FROM b),
+c AS (SELECT *, {', '.join(f"list_transform(head, lambda x: length(x) - length(replace(x, {q}, '')) + 1) AS c{i}" for i, q in enumerate(["','", "chr(9)", "';'", "'|'"]))} FROM l),
+k AS (SELECT *, {', '.join(f"CASE WHEN list_min(c{i}) = list_max(c{i}) THEN list_max(c{i}) ELSE 0 END AS k{i}" for i in range(4))} FROM c),
+sp AS (SELECT *, CASE WHEN greatest(k0, k1, k2, k3) = 0 OR k0 >= greatest(k1, k2, k3) THEN ',' WHEN k1 >= greatest(k2, k3) THEN chr(9)
+       WHEN k2 >= k3 THEN ';' ELSE '|' END AS separator FROM k)"""
+MISSING_SQL = ", ".join(f"'{t}'" for t in delimited.MISSING_TEXTS)
+JOB_CTE = f"""fi AS (SELECT doc_id, {', '.join(JOB_FILE)}, {JOB_BODY} AS body0 FROM documents),
+b AS (SELECT path, CASE WHEN doc_id % 6 = 1 THEN concat(body0, chr(233)) ELSE body0 END AS body FROM fi),
+{SEPARATOR_SQL},
+rc AS (SELECT path, list_transform(list_filter(string_split_regex(body, '\\r\\n|[\\n\\r]'), lambda x: regexp_matches(x, '\\S')), lambda x: string_split(x, separator)) AS recs FROM sp),
+gd AS (SELECT path, list_filter(recs, lambda x: len(x) <= len(recs[1])) AS recs FROM rc),
+rw AS (SELECT path, unnest(recs) AS f, unnest(range(len(recs))) AS r FROM gd),
+cx AS (SELECT path, r, unnest(f) AS v, unnest(range(len(f))) AS c FROM rw),
+cells AS (SELECT path AS file, 'datos' AS sheet, r AS "row", c AS col, CASE WHEN r > 0 AND v IN ({MISSING_SQL}) THEN NULL ELSE v END AS value FROM cx),
+{POSITIONS_SQL},
+{_sheet_sql(False)},
+{METRICS_SQL},
+me AS (SELECT sf.*, total_columns, mixed, mean_null, dated, names FROM sf LEFT JOIN tf USING (file)),
+nl AS (SELECT file, list(name ORDER BY sheet, col) AS cols FROM typ GROUP BY file),
+g0 AS (SELECT fi.*, me.*, nl.cols, me.file IS NULL AS unread, CASE WHEN subfolder <> '.' THEN upper(split_part(subfolder, '/', 1))
+    ELSE coalesce(nullif(substr(upper(regexp_replace(trim(regexp_replace(regexp_replace(name, '\\.[^.]*$', ''),
+      '[\\s_\\-]?[0-9]{{4}}[-_]?[0-9]{{0,2}}[-_]?[0-9]{{0,2}}', '', 'g')), '[\\s_\\-]+', '_', 'g')), 1, 30), ''), 'SIN_GRUPO') END AS grp
+  FROM fi LEFT JOIN me ON me.file = fi.path LEFT JOIN nl ON nl.file = fi.path),
+rf AS (SELECT grp, arg_min(cols, path) AS ref FROM g0 WHERE len(cols) > 0 GROUP BY grp),
+sm0 AS (SELECT grp, avg(len(list_intersect(cols, ref)) / greatest(len(list_distinct(list_concat(cols, ref))), 1)) AS similarity FROM g0 JOIN rf USING (grp) WHERE len(cols) > 0 GROUP BY grp),
+gn AS (SELECT grp, CAST(count(*) AS INTEGER) AS group_files FROM g0 GROUP BY grp),
+fl AS (SELECT path, name, subfolder, subject, sender, message_date, mtime, origin, format, g0.grp, group_files, similarity, origin = 'adjunto' AS from_mail,
+    coalesce(cols, []) AS cols, coalesce(array_to_string(cols, ' '), '') AS every, coalesce(dated, false) AS has_date_column, coalesce(mean_clean, 0) AS mean_clean,
+    false AS has_password, CASE WHEN unread THEN 'sin registros' END AS error, coalesce(sheets, 0) AS sheets, coalesce(sheets, 0) AS num_sheets,
+    coalesce(sheets_with_data, 0) AS sheets_with_data, false AS has_pivot, false AS has_table, 0 AS merged, coalesce(mixed, 0) AS mixed,
+    coalesce(leading_blank, 0) AS leading_blank, coalesce(header_ok, 0) AS header_ok, mean_null
+  FROM g0 JOIN gn USING (grp) LEFT JOIN sm0 USING (grp)),
+lv AS (SELECT * EXCLUDE (cols, every), {', '.join(f'CAST({q} AS INTEGER) AS level_{c}' for c, q in LEVEL_SQL.items())} FROM fl),
+gl AS (SELECT * FROM lv),
+{SCORE_TAIL}"""
+
+
+@query("quality_job", f"""
+WITH {JOB_CTE} SELECT path, grp AS "group", sheets, sheets_with_data, mixed, {H('similarity')} AS similarity, error, {', '.join(LEVEL_NAMES)}, score, category, blocked_by FROM sc""")
+def quality_job(spark, folder):
+    return _job(spark, folder).select("path", "group", "sheets", "sheets_with_data", "mixed", half_up(F.col("similarity"), 6).alias("similarity"), "error",
+                                      *LEVEL_NAMES, "score", "category", "blocked_by")
+
+
+def _job(spark, folder):
+    files = table(spark, folder, "documents").selectExpr("doc_id", *JOB_FILE, f"{JOB_BODY} AS body")
+    plain = F.encode("body", "UTF-8")
+    # A byte that is no UTF-8 makes a file Latin-1; its other bytes are then read one by one, so such files are plain.
+    content = F.when(F.col("doc_id") % 6 == 1, F.encode(F.concat("body", F.lit("é")), "ISO-8859-1")).otherwise(plain)
+    return QJ.scored_files(files.withColumn("content", content).drop("body", "doc_id"))

@@ -156,8 +156,10 @@ def promote_header(cells: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFram
     return sheets.drop("_group_rows"), body
 
 
-def typed_columns(sheets: DataFrame, body: DataFrame) -> DataFrame:
-    """One row per sheet and column: values present, type class after inference, and values the type leaves.
+def typed_columns(sheets: DataFrame, body: DataFrame, infer: bool = True) -> DataFrame:
+    """One row per sheet and column: values present, type class, and values the type leaves.
+
+    Without `infer` (delimited files are read as texts) a column is empty, mixed or text and keeps its values.
 
     A column that becomes numeric or a date keeps only the values that parse; the others count as missing from then on.
     """
@@ -169,20 +171,21 @@ def typed_columns(sheets: DataFrame, body: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     filled = listed.join(counted, [*SHEET, "col"], "left").withColumns(
         {c: F.coalesce(F.col(c), zero) for c in ("present", "numbers", "dates")})
-    typed = filled.withColumn("type", inferred_type(F.col("present"), F.col("numbers"), F.col("dates")))
-    left = F.when(F.col("type") == NUMERIC, F.col("numbers")).when(F.col("type") == DATE, F.col("dates")).otherwise(F.col("present"))
+    present, numbers, dates = F.col("present"), F.col("numbers"), F.col("dates")
+    typed = filled.withColumn("type", inferred_type(present, numbers, dates) if infer else text_type(present, numbers))
+    left = F.when(F.col("type") == NUMERIC, numbers).when(F.col("type") == DATE, dates).otherwise(present)
     return typed.withColumn("left", left)
 
 
-def column_profile(sheets: DataFrame, body: DataFrame) -> DataFrame:
+def column_profile(sheets: DataFrame, body: DataFrame, infer: bool = True) -> DataFrame:
     """One row per sheet and column: type class after inference and null percentage of the typed column."""
-    return typed_columns(sheets, body).select(*SHEET, "col", "column", "type",
+    return typed_columns(sheets, body, infer).select(*SHEET, "col", "column", "type",
                                               null_percent(F.col("left"), F.col("rows_total")).alias("pct_null"))
 
 
-def rows_with_data(sheets: DataFrame, body: DataFrame) -> DataFrame:
+def rows_with_data(sheets: DataFrame, body: DataFrame, infer: bool = True) -> DataFrame:
     """Per sheet the rows that hold a value once the columns have their types."""
-    losing = typed_columns(sheets, body).filter(F.col("left") < F.col("present")).select(
+    losing = typed_columns(sheets, body, infer).filter(F.col("left") < F.col("present")).select(
         *SHEET, "col", F.col("type").alias("_type"))
     value = F.col("value")
     stays = F.when(F.col("_type") == NUMERIC, is_number(value)).when(F.col("_type") == DATE, is_date(value)).otherwise(F.lit(True))
@@ -190,11 +193,11 @@ def rows_with_data(sheets: DataFrame, body: DataFrame) -> DataFrame:
             .groupBy(*SHEET).agg(F.count(F.lit(1)).alias("rows_with_data")))
 
 
-def sheet_summary(sheets: DataFrame, body: DataFrame) -> DataFrame:
+def sheet_summary(sheets: DataFrame, body: DataFrame, infer: bool = True) -> DataFrame:
     """One row per sheet: blank flag, header position, columns, row counts, clean names, mixed columns."""
-    filled = rows_with_data(sheets, body)
+    filled = rows_with_data(sheets, body, infer)
     mixed = F.sort_array(F.collect_list(F.when(F.col("type") == MIXED, F.struct("col", "column"))))
-    columns = column_profile(sheets, body).groupBy(*SHEET).agg(
+    columns = column_profile(sheets, body, infer).groupBy(*SHEET).agg(
         F.transform(mixed, lambda m: m["column"]).alias("_mixed"), (half_up(F.sum("pct_null"), 1) / F.count("pct_null")).alias("mean_null"))
     joined_up = sheets.join(filled, SHEET, "left").join(columns, SHEET, "left")
     data, total = F.coalesce("rows_with_data", F.lit(0)), F.col("rows_total")

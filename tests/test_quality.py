@@ -8,6 +8,7 @@ from tallyworks.plans import profiling as PF
 from tallyworks.plans import report as R
 from tallyworks.plans import scoring as SC
 from tallyworks.plans.rules import CODES, RULES, TOTAL_WEIGHT
+from tallyworks.sources.cells import fields_of, file_cells, records_of
 from tallyworks.sources import delimited, files, messages, sinks
 
 
@@ -170,3 +171,17 @@ def test_file_metrics_feed_both_scores(spark):
     assert (r.sheets, r.blank_sheets, r.sheets_with_data, r.header_ok, r.leading_blank) == (2, 1, 1, 0, 2)
     assert (r.total_columns, r.mixed, r.has_date_column, r.columns) == (3, 1, True, ["fecha", "qty", "x"])
     assert abs(r.mean_null - 33.3 / 3) < 1e-9 and r.mean_clean == 100.0
+
+
+def test_cells_of_mixed_files(spark):
+    files = [("b", "año,b\n,\n1,2".encode("latin-1")), ("c", b""), ("d", None), ("e", b"q" * 50000 + b'\n"open'),
+             ("f", b'"' * 3001)]
+    df = spark.createDataFrame([(n, None if c is None else bytearray(c), 1) for n, c in files], "path string, content binary, value int")
+    got = {}
+    for r in file_cells(df).collect():
+        got.setdefault(r["file"], {})[r["row"], r["col"]] = r["value"]
+    assert got["b"] == {(0, 0): "año", (0, 1): "b", (1, 0): None, (1, 1): None, (2, 0): "1", (2, 1): "2"}
+    assert "c" not in got and "d" not in got and got["e"][0, 0] == "q" * 50000 and got["e"][1, 0] == "open"
+    even = spark.createDataFrame([("g", bytearray(b'x;"n""o;m"\n;1\n2;NA;9\n3;"l1\nl2"\r\nz'))], "path string, content binary")
+    fields = even.select(F.transform(records_of(F.col("content").cast("string")), lambda r: fields_of(r, F.lit(";")))).first()[0]
+    assert fields == [["x", 'n"o;m'], ["", "1"], ["2", "NA", "9"], ["3", "l1\nl2"], ["z"]]
