@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from suite import bindings as B
 from suite.registry import half_up_sql as H
 from suite.registry import query
+from suite.relational import CORRECTIONS
 from tallyworks.functions.numbers import half_up
 from tallyworks.functions.nullsafe import with_keys
 from tallyworks.operators.joins import append_rows
@@ -14,7 +15,7 @@ from tallyworks.operators.joins import lookup
 from tallyworks.operators.sets import stack
 from tallyworks.plans.costing import distribute as D
 from tallyworks.plans.costing import downtime as T
-from tallyworks.plans.costing import masters, movements, quantities, rates
+from tallyworks.plans.costing import job, masters, movements, quantities, rates
 from tallyworks.plans.costing import standard_hours as S
 from tallyworks.plans.costing.movements import GROUP_KEYS
 from tallyworks.sources.staging import staged
@@ -500,3 +501,47 @@ FROM p LEFT JOIN s ON p.order_id = s.order_id AND p.day = s.bucket""")
 def asof_reject_assignment(spark, folder):
     return quantities.rejects_by_productive_day(B.entries(spark, folder)).select(
         "row_id", "order_id", F.col("day").cast("string").alias("day"), "day_rejected", "day_scrap")
+
+
+# The whole job: what is typed in above as classified entries is worked out here from the raw ones.
+
+GROUPS_SQL = """SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS STRING) END AS order_id, concat('G', CAST(o_custkey AS STRING)) AS group_id,
+  concat('M', o_orderstatus) AS mount_order FROM orders"""
+CENTRES_SQL = """SELECT concat('0', CAST(s_suppkey % 6 AS STRING), '-', CAST(s_nationkey % 4 AS STRING)) AS centre_code,
+  CAST(301000 + s_suppkey % 25 AS STRING) AS cost_centre, s_suppkey FROM supplier"""
+CLASSIFIED_CTE = f"""{B.TB_SQL}, {B.PROCESSES_SQL}, {B.SPECIFICS_SQL.replace("sp(", "spx(", 1)}, cr AS ({CORRECTIONS}), gr AS ({GROUPS_SQL}), ce AS ({CENTRES_SQL}),
+eq AS (SELECT centre_code, arg_max(cost_centre, s_suppkey) AS cost_centre FROM ce GROUP BY 1),
+t1 AS (SELECT tb.* EXCLUDE (order_id, op_code, op_text, centre), CAST(order_id AS VARCHAR) AS order_id, coalesce(right('0' || new_code, 2), op_code) AS op_code,
+    coalesce(new_text, op_text) AS op_text, coalesce(new_centre, centre) AS centre
+  FROM tb LEFT JOIN cr ON CAST(order_id AS VARCHAR) = substr(order_ref, 5) AND op_code = right('0' || old_code, 2)),
+pr0 AS (SELECT t1.*, substr(op_text, 1, 12) AS prefix12, process, CAST(rank AS INTEGER) AS process_rank FROM t1 LEFT JOIN pd ON substr(op_text, 1, 5) = pd.prefix5),
+mn AS (SELECT order_id, process AS parent0, row_number() OVER (PARTITION BY order_id ORDER BY process_rank NULLS LAST, process NULLS LAST, row_id) AS place FROM pr0),
+cl0 AS (SELECT pr0.*, parent0, specific_process, CASE WHEN centre IS NULL THEN 'OPERACION EXTERNA' WHEN centre = 'ACTIVIDADES SUPLEMENTARIAS' THEN centre
+    WHEN substr(specific_process, 1, 12) = 'ALISTAMIENTO' THEN 'ALISTAMIENTO' ELSE 'OPERACION' END AS op_class
+  FROM pr0 JOIN mn ON pr0.order_id = mn.order_id AND place = 1 LEFT JOIN spx ON pr0.prefix12 = spx.prefix12),
+te AS (SELECT cl0.*, coalesce(parent0, op_class) AS parent_process, group_id, mount_order, cost_centre
+  FROM cl0 LEFT JOIN gr ON cl0.order_id = gr.order_id LEFT JOIN eq ON cl0.centre_code = eq.centre_code)"""
+JOB_RATES = f"""{RATES_CTE}, p AS (SELECT period, cost_centre, {PIVOT_SQL} FROM rt GROUP BY ALL)"""
+
+
+@query("costing_job", f"""
+WITH {CLASSIFIED_CTE}, {OPERATION_CTE}, {MOUNTING_CTE}, {TUNING_CTE}, {CHANGE_CTE},
+u AS (SELECT row_id, std_hours FROM h_mt UNION SELECT row_id, std_hours FROM h_tu UNION SELECT row_id, std_hours FROM h_cd
+      UNION SELECT row_id, std_hours FROM h_io UNION SELECT row_id, std_hours FROM h_op), {JOB_RATES}
+SELECT te.row_id, te.order_id, te.process, te.parent_process, te.op_class, te.group_id, te.cost_centre, {H('u.std_hours')} AS std_hours,
+  {', '.join(f'{H(chr(34) + c + chr(34) + " * hours", 4)} AS "{c}"' for c in REAL_LABELS)},
+  {', '.join(f'{H(chr(34) + c + chr(34) + " * u.std_hours", 4)} AS "{c}"' for c in STANDARD_LABELS)},
+  {', '.join(f'{H(chr(34) + c + chr(34) + " * hours", 4)} AS "{c} APLICADO"' for c in STANDARD_LABELS)}
+FROM te LEFT JOIN u ON te.row_id = u.row_id LEFT JOIN p ON te.period = p.period AND te.cost_centre = p.cost_centre""")
+def costing_job(spark, folder):
+    views = {n: B.table(spark, folder, n) for n in ("orders", "supplier")}
+    entries = B.base_entries(spark, folder).withColumn("order_id", F.col("order_id").cast("string"))
+    given = job.Masters(
+        spark.sql(CORRECTIONS.replace("FROM orders", "FROM {orders}"), orders=views["orders"]), B.processes(spark), B.specifics(spark),
+        spark.sql(GROUPS_SQL.replace("FROM orders", "FROM {orders}"), orders=views["orders"]),
+        spark.sql(CENTRES_SQL.replace("FROM supplier", "FROM {supplier}"), supplier=views["supplier"]), F.col("s_suppkey"),
+        B.ledger(spark, folder), B.allocation_rules(spark))
+    out = job.costed_entries(entries, given)
+    cost = [c for c in out.columns if c.startswith("COSTO ")]
+    return _hours(out, "order_id", "process", "parent_process", "op_class", "group_id", "cost_centre",
+                  *[half_up(F.col(f"`{c}`"), 4).alias(c) for c in cost])
