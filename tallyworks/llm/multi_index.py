@@ -57,7 +57,7 @@ def cells_in_order(short_u: np.ndarray, short_v: np.ndarray) -> Iterator[tuple[i
             heapq.heappush(heap, (du[a + 1] + dv[0], a + 1, 0))
 
 
-def search(df: DataFrame, is_query: Column, k: int = 20, share: float = 0.5, centroids: int = CENTROIDS, fit: int = FIT,
+def search(df: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, centroids: int = CENTROIDS, fit: int = FIT,
            key: str = "vec_id", vec: str = "embedding", chunk: int = CHUNK) -> DataFrame:
     """(query_id, rank, key, score): for each query row the k rows of largest inner product found, but its own.
 
