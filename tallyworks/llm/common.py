@@ -114,7 +114,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.union(links.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-        large = large.union(links.join(least, "a").where("m = b").select("a", "b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         links = stored(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -268,6 +268,8 @@ class Join:
     def alike_pairs(self, pairs: DataFrame, summaries: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes whose sets are alike, read once more from the texts that are needed."""
         pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+        if pairs.isEmpty():
+            return pairs
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         # One document of each node; a Bloom filter over them spares the sets of all other documents the way.
         chosen = summaries.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
@@ -329,7 +331,21 @@ class Join:
         a, b = F.least("a", "node"), F.greatest("a", "node")
         pairs = (cross.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("an").alias("m"))
                  .where(required(F.col("c"), F.col("n"), F.col("m"), self.percent)))
-        return summaries, first.union(self.alike_pairs(pairs, summaries))
+        pairs = stored(pairs.select("a", "b", "c"), "candidates")
+        # Each node tries the partner it shares most tokens with and two others. In a large group that joins nearly all
+        # of its nodes, and only pairs that are still in different components are compared after that.
+        both = pairs.select("a", "b", "c").union(pairs.select("b", "a", "c"))
+        tried = both.groupBy("a").agg(F.array_distinct(F.array(F.max_by("b", F.struct("c", "b")), *[
+            F.max_by("b", F.xxhash64("a", "b", F.lit(i))) for i in (1, 2)])).alias("others"))
+        tried = tried.select("a", F.explode("others").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        tried = stored(tried, "tried")
+        second = self.alike_pairs(tried, summaries)
+        known = components(first.union(second))
+        rest = (pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
+                .join(known.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
+                .join(known.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
+                .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")))
+        return summaries, first.union(second).union(self.alike_pairs(rest, summaries))
 
 
 def place_of(node: np.ndarray, h: np.ndarray) -> np.ndarray:
