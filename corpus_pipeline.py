@@ -25,10 +25,10 @@ def without(docs: DataFrame, drop: DataFrame, on: list[str | Column]) -> DataFra
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score under 0.5; the scores come from labels of rows that are not held out."""
-    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    scored = toxicity.score_documents(marked, common.table(spark, sf_dir, "labels"), keys=("text_hash",))
-    rejected = scored.where("predicted = 1").select("text_hash").distinct()
-    return without(docs.withColumn("text_hash", F.xxhash64("text")), rejected, ["text_hash"]).select(docs.columns)
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("__text_hash"))
+    scored = toxicity.score_documents(marked, common.table(spark, sf_dir, "labels"), keys=("__text_hash",))
+    rejected = scored.where("predicted = 1").select("__text_hash").distinct()
+    return without(docs.withColumn("__text_hash", F.xxhash64("text")), rejected, ["__text_hash"]).select(docs.columns)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes."""
     times = F.slice(F.sequence(F.lit(0), F.col("copies")), 1, F.col("copies"))
-    return mixing.mix(docs).withColumn("copy", F.explode(times)).select(docs.columns)
+    return mixing.mix(docs).withColumn("__copy", F.explode(times)).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,14 +60,14 @@ def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", key:
           .select("row_key", "x.at", "x.line"))
     gone = (at.join(drop.where(F.col("first").isNotNull()), "line")
             .where(~F.col("row_key.id").eqNullSafe(F.col("first")))
-            .groupBy("row_key").agg(F.collect_set("at").alias("gone")))
-    rows = docs.withColumn("row_key", mine)
-    rows = rows.join(gone, rows["row_key"].eqNullSafe(gone["row_key"]), "left").drop("row_key")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda v, i: ~F.array_contains("gone", i)), "\n")
+            .groupBy(F.col("row_key").alias("__of")).agg(F.collect_set("at").alias("__gone")))
+    rows = docs.withColumn("__row_key", mine)
+    rows = rows.join(gone, F.col("__row_key").eqNullSafe(F.col("__of")), "left").drop("__row_key", "__of")
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda v, i: ~F.array_contains("__gone", i)), "\n")
     n_lines = F.coalesce(F.when(F.col(text).isNotNull(), F.size(F.split(F.col(text), "\n"))), F.lit(0))
-    return (rows.withColumn("kept_text", F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept))
+    return (rows.withColumn("kept_text", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
             .withColumn("n_lines", n_lines.cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("long")).drop("gone"))
+            .withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).drop("__gone"))
 
 
 @query("op4_line_dedup", """

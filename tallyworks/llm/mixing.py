@@ -107,7 +107,10 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     made = ["size", "source_size", "target", "rate", "copies", "taken"]
     docs = docs.drop(*[c for c in docs.columns if c in made])
     rows = docs.withColumn("size", n_words(F.col(text)))
-    sizes = stored(rows.groupBy(F.col(source).alias("source"), "size").agg(F.count("*").alias("n")), "sizes")
+    turn = F.xxhash64(F.lit("turn"), F.col(key))
+    # Words are counted once for all that follows but the final rows.
+    slim = stored(rows.select(F.col(source).alias("of"), F.col("size").alias("words"), turn.alias("h")), "words")
+    sizes = stored(slim.groupBy(F.col("of").alias("source"), F.col("words").alias("size")).agg(F.count("*").alias("n")), "sizes")
     goals = targets(sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("total")), weights, float(most))
     found = tilts(sizes, goals.select("source", "total", "target"), float(most))
     state = found.select(F.col("source").alias("of"), "total", "target", "tilt", "mean")
@@ -137,9 +140,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     rates = stored(rates.select(F.col("source").alias("of"), F.col("size").alias("words"), "n", F.col("total").alias("source_size"),
                                 "target", "rate", "group_copies"), "rates")
     # Which documents of a group get one more copy: those whose hash is at most the hash of the last one that does.
-    turn = F.xxhash64(F.lit("turn"), F.col(key))
-    slim = (rows.select(F.col(source).alias("of"), F.col("size").alias("words"), turn.alias("h"))
-            .withColumn("range", F.shiftright("h", 54)))
+    slim = slim.withColumn("range", F.shiftright("h", 54))
     extra = rates.where(F.col("group_copies") % F.col("n") > 0).select(
         F.col("of").alias("o"), F.col("words").alias("w"), (F.col("group_copies") % F.col("n")).alias("extra"))
     # Equal sizes of a source may be a third of all rows: only the one of 1024 hash ranges that holds the last is ranked.
@@ -152,12 +153,14 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     place = F.row_number().over(Window.partitionBy("of", "words", "range").orderBy("h"))
     last = ranked_.withColumn("place", place).where(F.col("place") == F.col("at")).select("o", "w", F.col("h").alias("last"))
     plan = stored(rates.join(last, F.col("of").eqNullSafe(F.col("o")) & (F.col("words") == F.col("w")), "left").drop("o", "w"), "plan")
+    own = {"of": "__of", "words": "__words", "n": "__n", "group_copies": "__copies", "last": "__last"}
+    plan = plan.withColumnsRenamed(own)
     if plan.count() <= SMALL:
         plan = F.broadcast(plan)
-    copies = (F.floor(F.col("group_copies") / F.col("n")) + F.when(turn <= F.col("last"), 1).otherwise(0)).cast("int")
-    return (rows.join(plan, F.col(source).eqNullSafe(F.col("of")) & (F.col("size") == F.col("words")))
+    copies = (F.floor(F.col("__copies") / F.col("__n")) + F.when(turn <= F.col("__last"), 1).otherwise(0)).cast("int")
+    return (rows.join(plan, F.col(source).eqNullSafe(F.col("__of")) & (F.col("size") == F.col("__words")))
             .withColumn("copies", F.least(copies, F.lit(most))).withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("of", "words", "n", "group_copies", "last"))
+            .drop(*own.values()))
 
 
 @query("op6_source_mix")

@@ -9,6 +9,7 @@ from itertools import combinations
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyworks.llm import lines, mixing, ngram_join, secrets, toxicity
 from tests.llm.helpers import DOCS, documents, groups, prose
@@ -53,7 +54,7 @@ def test_boilerplate_lines_stay_once(spark):
     common, short, near = "This line stands on very many sites of all.", "short", "This line stands on four sites, one too few."
     rows = [(i, f"own line number {i} of this document\n{common}\n{short}", f"s{i % 7}") for i in range(14)]
     rows += [(100 + i, f"{near}\n{common}  ", f"s{i}") for i in range(4)] + [(200, None, "s1"), (201, "", None), (None, common, "s1"), (202, common, None), (202, common, None)]
-    got = lines.dedup_lines(documents(spark, rows).withColumnRenamed("lang", "n_removed")).collect()
+    got = lines.dedup_lines(documents(spark, rows).withColumnRenamed("lang", "n_removed").withColumn("line", F.lit(1)).withColumn("row_key", F.lit(2))).collect()
     assert len(got) == len(rows)
     for r in got:
         if r["doc_id"] == 0:
@@ -81,7 +82,7 @@ def test_mix_meets_its_targets(spark):
     rnd = random.Random(2)
     rows = [(i, prose(rnd, rnd.choice([1, 5, 40, rnd.randint(1, 300)])), rnd.choice(["a", "b", "b", "b", "c", "d", None])) for i in range(1500)]
     rows += [(5000, None, "a"), (5001, "", "b"), (None, "one two", "c")]
-    df = documents(spark, rows)
+    df = documents(spark, rows).withColumn("n", F.lit(0)).withColumn("words", F.lit("x")).withColumn("target", F.lit("y")).withColumn("of", F.lit(None))
     got = mixing.mix(df).select("doc_id", "source", "size", "source_size", "target", "taken", "copies").collect()
     assert len(got) == len(rows)
     sizes, taken, target = Counter(), Counter(), {}
