@@ -5,9 +5,9 @@ order of all tokens. The first order puts rare tokens first (by bucket counts ov
 hardly ever meet in a prefix. Documents that meet there are candidates if they share as many prefix tokens as their
 sizes ask for; before the sets are compared, the prefixes under the other orders must share as many, too.
 
-Not all pairs of a large group are made. Equal sets are one node. Each node is first compared with the best of the hubs
-of its tokens; what is alike is one component then, and afterwards only nodes of different components are paired, the
-few outside a token's largest component with the others. So components are exact, and links inside one are not repeated.
+Not all pairs of a large group are made. Equal sets are one node. In some rounds each node is compared with hubs of its
+tokens; what is alike is one component then, and afterwards only nodes of different components are paired, the few
+outside a token's largest component with the others. So components are exact, and links inside one are not repeated.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import components, kept, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, bloom_places, merged, mix, pieces
 
+#: Rounds in which nodes are compared with hubs before pairs are made: they only save work.
+ROUNDS = 3
 #: Cells of the bucket counts (4 bytes each on the driver, 1 in the tasks), and bits of the Bloom filter.
 BUCKETS, BITS = 1 << 22, 1 << 26
 
@@ -208,7 +210,7 @@ class Join:
         return both.where("piece is null").select("id", "node", "n"), counts
 
     def shared_tokens(self, classes: np.ndarray) -> DataFrame:
-        """(token, node, n, last, hub, hub_n): prefix tokens of the first order that several nodes have.
+        """(token, node, n, last): prefix tokens of the first order that several nodes have.
 
         `last` is the upper half of the place of the node's last prefix token.
         """
@@ -232,8 +234,8 @@ class Join:
                                                      names=["token", "node", "n", "last"])
 
         def shared(batches):
-            """Sorted by token and node: rows of tokens with at least two nodes, with the token's first node as its hub."""
-            held = None  # the last row with its hub, and whether it is known to be shared
+            """Sorted by token and node: rows of tokens with at least two nodes."""
+            held = None  # the last row, and whether it is known to be shared
             for b in batches:
                 token, node, n, last = (b.column(c).to_numpy() for c in ("token", "node", "n", "last"))
                 if held is not None:
@@ -243,27 +245,22 @@ class Join:
                 new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
                 token, node, n, last = token[new], node[new], n[new], last[new]
                 start = np.append(True, token[1:] != token[:-1])
-                first = np.maximum.accumulate(np.where(start, np.arange(len(token)), 0))
-                hub, hub_n = node[first], n[first]
-                if held is not None:
-                    old = token == held[0]
-                    hub, hub_n = np.where(old, held[4], hub), np.where(old, held[5], hub_n)
                 several = ~start
                 several[:-1] |= token[1:] == token[:-1]
-                if held is not None and held[6]:
+                if held is not None and held[4]:
                     several[0] = True
-                held = (token[-1], node[-1], n[-1], last[-1], hub[-1], hub_n[-1], bool(several[-1]))
+                held = (token[-1], node[-1], n[-1], last[-1], bool(several[-1]))
                 out = several[:-1]
-                yield rows(*[c[:-1][out] for c in (token, node, n, last, hub, hub_n)])
-            if held is not None and held[6]:
-                yield rows(*[np.array([x]) for x in held[:6]])
+                yield rows(*[c[:-1][out] for c in (token, node, n, last)])
+            if held is not None and held[4]:
+                yield rows(*[np.array([x]) for x in held[:4]])
 
         def rows(*columns):
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["token", "node", "n", "last", "hub", "hub_n"])
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["token", "node", "n", "last"])
 
         posts = self.docs.mapInArrow(post, "token long, node long, n int, last int").repartition("token").sortWithinPartitions("token", "node")
-        return stored(posts.mapInArrow(shared, "token long, node long, n int, last int, hub long, hub_n int"), "shared")
+        return stored(posts.mapInArrow(shared, "token long, node long, n int, last int"), "shared")
 
     def alike_pairs(self, pairs: DataFrame, summaries: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes whose sets are alike, read once more from the texts that are needed."""
@@ -301,22 +298,49 @@ class Join:
 
         return stored(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "alike")
 
+    def hub_pairs(self, part: DataFrame, seed: int, first: bool) -> DataFrame:
+        """Pairs (a, b) of nodes and likely partners: for each node its best hub under three hash orders.
+
+        A token's hub is the least of its nodes under a hash order; after the first round, of those in the component
+        that most of the token's nodes are in, and only for nodes outside it. All joins are by token and linear.
+        """
+        if first:
+            offered = part
+        else:
+            main = (part.groupBy("token", "part").agg(F.count("*").alias("m")).groupBy("token")
+                    .agg(F.count("*").alias("parts"), F.max_by("part", F.struct("m", "part")).alias("main")).where("parts > 1").select("token", "main"))
+            part = part.join(main, "token")
+            offered = part.where("part = main")
+        hubs = offered.groupBy("token").agg(F.array(*[
+            F.min(F.struct(F.xxhash64("node", F.lit(seed + i)).alias("h"), F.lit(i).alias("i"), F.col("node").alias("hub"), F.col("n").alias("hub_n")))
+            for i in range(3)]).alias("hubs"))
+        part = part if first else part.where("part <> main")
+        own = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        met = (part.join(hubs, "token").select("node", "n", F.explode("hubs").alias("x")).select("node", "n", "x.i", "x.hub", "x.hub_n")
+               .where("node <> hub").groupBy("node", "hub", "n", "hub_n", "i").agg(F.count("*").alias("c"))
+               # A quarter of the prefix is a guess that spares comparisons; what it misses comes up in the end.
+               .where((F.col("c") * 4 >= own) & (F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * self.percent))
+               .groupBy("node", "i").agg(F.max(F.struct("c", "hub")).alias("best")))
+        return met.select(F.least("node", "best.hub").alias("a"), F.greatest("node", "best.hub").alias("b"))
+
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Summaries, and links (a, b) between nodes that connect the same nodes as all links do."""
         summaries, counts = self.summaries()
         shared = self.shared_tokens(frequency_classes(counts))
-        own = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
-        hubs = (shared.where("node <> hub").groupBy("node", "hub", "n", "hub_n").agg(F.count("*").alias("c"))
-                # A quarter of the prefix is a guess that spares comparisons; what it misses comes up below.
-                .where((F.col("c") * 4 >= own) & (F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * self.percent))
-                .groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best")))
-        first = self.alike_pairs(hubs.select(F.col("node").alias("a"), F.col("best.hub").alias("b")), summaries)
-        known = components(first)
         # Prefix tokens that no other prefix holds. Of two nodes, the one whose prefix ends first shares none of its own
         # with the other: the tokens up to there are in the other's prefix if they are in the other at all.
+        own = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
         nodes = shared.groupBy("node", "n").agg(F.count("*").alias("live")).select("node", (F.col("n") - own + F.col("live")).alias("most"))
-        nodes = nodes.join(known.withColumnRenamed("id", "node"), "node", "left").select("node", "most", F.coalesce("root", "node").alias("part"))
-        part = shared.select("token", "node", "n", "last").join(nodes, "node")
+        part = shared.join(nodes, "node").withColumn("part", F.col("node"))
+        links = None
+        for round_ in range(ROUNDS):
+            found = self.alike_pairs(self.hub_pairs(part, 10 * round_, first=round_ == 0), summaries)
+            if found.isEmpty():
+                break
+            links = found if links is None else links.union(found)
+            known = components(links)
+            part = (shared.join(nodes, "node").join(known.withColumnRenamed("id", "node"), "node", "left")
+                    .select(*shared.columns, "most", F.coalesce("root", "node").alias("part")))
         # Tokens whose nodes are not all in one component yet, with the component that most of them are in.
         several = (part.groupBy("token", "part").agg(F.count("*").alias("m")).groupBy("token")
                    .agg(F.count("*").alias("parts"), F.max_by("part", F.struct("m", "part")).alias("main")).where("parts > 1").select("token", "main"))
@@ -331,21 +355,8 @@ class Join:
         a, b = F.least("a", "node"), F.greatest("a", "node")
         pairs = (cross.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("an").alias("m"))
                  .where(required(F.col("c"), F.col("n"), F.col("m"), self.percent)))
-        pairs = stored(pairs.select("a", "b", "c"), "candidates")
-        # Each node tries the partner it shares most tokens with and two others. In a large group that joins nearly all
-        # of its nodes, and only pairs that are still in different components are compared after that.
-        both = pairs.select("a", "b", "c").union(pairs.select("b", "a", "c"))
-        tried = both.groupBy("a").agg(F.array_distinct(F.array(F.max_by("b", F.struct("c", "b")), *[
-            F.max_by("b", F.xxhash64("a", "b", F.lit(i))) for i in (1, 2)])).alias("others"))
-        tried = tried.select("a", F.explode("others").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        tried = stored(tried, "tried")
-        second = self.alike_pairs(tried, summaries)
-        known = components(first.union(second))
-        rest = (pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
-                .join(known.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
-                .join(known.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
-                .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")))
-        return summaries, first.union(second).union(self.alike_pairs(rest, summaries))
+        last = self.alike_pairs(pairs, summaries)
+        return summaries, last if links is None else links.union(last)
 
 
 def place_of(node: np.ndarray, h: np.ndarray) -> np.ndarray:
