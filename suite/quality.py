@@ -34,9 +34,19 @@ def columnar_round_sql(expr: str) -> str:
 
 # Sources
 
-@query("file_inventory")
+TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
+
+
+@query("file_inventory", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '.parquet' AS extension, 'datos' AS kind, count(*) AS rows_found FROM {t}" for t in TABLE_NAMES))
 def file_inventory(spark, folder):
-    return FL.file_inventory(spark, folder, data=(".parquet",))
+    """The folder's files as the inventory lists them, with the rows that are read from each."""
+    def owner(path):
+        return F.regexp_extract(path, r"([^/]+)\.parquet(/[^/]*)?$", 1)
+
+    listed = FL.file_inventory(spark, folder, data=(".parquet",)).select(owner(F.col("path")).alias("table_name"), "extension", "kind").distinct()
+    rows = stack([table(spark, folder, t).select(owner(F.col("_metadata.file_path")).alias("table_name")) for t in TABLE_NAMES])
+    return listed.join(rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows_found")), "table_name")
 
 
 # A file of the group tests: its path ends in a name with dates and separators.
@@ -275,7 +285,7 @@ SELECT sh.file, sh.sheet, is_blank, CAST(coalesce(header_row, 0) AS BIGINT) AS h
   CASE WHEN is_blank THEN 0 ELSE width END AS num_columns, coalesce(filled, 0) AS rows_with_data,
   CASE WHEN is_blank THEN 0 ELSE rows_total - coalesce(filled, 0) END AS rows_blank,
   coalesce({round_sql('clean / n * 100.0::DOUBLE', 1)}, 0) AS pct_clean, coalesce(mixed, '') AS mixed_columns,
-  CASE WHEN is_blank THEN '' ELSE substr(names, 1, 500) END AS columns, {H('mean_null', 4)} AS mean_null
+  CASE WHEN is_blank THEN '' ELSE substr(names, 1, 500) END AS columns, CASE WHEN is_blank THEN '' ELSE names END AS columns_all, {H('mean_null', 4)} AS mean_null
 FROM sh LEFT JOIN hdr USING (file, sheet) LEFT JOIN fil USING (file, sheet) LEFT JOIN agg USING (file, sheet)""")
 def sheet_summary(spark, folder):
     sheets, body = PF.promote_header(_cells(spark, folder))
@@ -508,7 +518,8 @@ def rule_reference(spark, folder):
 
 
 @query("score_report", f"""
-WITH {SCORE_CTE} SELECT path, substr(name, 1, 40) AS name, grp AS "group", format, origin, {', '.join(LEVEL_NAMES)}, score, category,
+WITH {SCORE_CTE} SELECT path, substr(name, 1, 40) AS name, name AS full_name, grp AS "group", format, origin, {', '.join(LEVEL_NAMES)},
+  {', '.join(f"{c in 'ACEGHIJKN'} AS measured_{c}" for c in CODES)}, score, category,
   coalesce(blocked_by, '') AS blocked_by FROM sc""")
 def score_report(spark, folder):
     return R.score_report(_scored(spark, folder))
@@ -542,12 +553,13 @@ def score_ranking(spark, folder):
 
 
 @query("top_bottom_k", f"""
-WITH {SCORE_CTE}, r AS (SELECT path, substr(name, 1, 40) AS name, score, category, row_number() OVER (ORDER BY score DESC, path) AS up,
+WITH {SCORE_CTE}, r AS (SELECT path, substr(name, 1, 40) AS name, grp AS "group", format, score, category, coalesce(blocked_by, '') AS blocked_by, row_number() OVER (ORDER BY score DESC, path) AS up,
   row_number() OVER (ORDER BY score, path DESC) AS down FROM sc)
-SELECT 'top' AS list, up AS place, path, name, score, category FROM r WHERE up <= 5
-UNION ALL SELECT 'bottom', down, path, name, score, category FROM r WHERE down <= 5""")
+SELECT 'top' AS list, up AS place, path, name, "group", format, score, category, blocked_by FROM r WHERE up <= 5
+UNION ALL SELECT 'bottom', down, path, name, "group", format, score, category, blocked_by FROM r WHERE down <= 5""")
 def top_bottom_k(spark, folder):
-    scored = _scored(spark, folder).select("path", F.left("name", F.lit(40)).alias("name"), "score", "category")
+    scored = _scored(spark, folder).select("path", F.left("name", F.lit(40)).alias("name"), "group", "format", "score", "category",
+                                          F.coalesce("blocked_by", F.lit("")).alias("blocked_by"))
     return top_and_bottom(scored, "score", "path")
 
 
@@ -602,20 +614,20 @@ def score_presence(spark, folder):
 
 
 @query("report_tables", f"""
-WITH {SCORE_CTE} SELECT 'scoring' AS report, count(*) AS "rows" FROM sc UNION ALL SELECT 'categorias', {len(CATEGORIES) + 1}
-UNION ALL SELECT 'kpis', 1 UNION ALL SELECT 'grupos', count(DISTINCT grp) FROM sc
-UNION ALL SELECT 'errores', count(*) FROM fl WHERE error IS NOT NULL AND num_sheets = 0
-UNION ALL SELECT 'nulos', {len(PROFILED_NAMES)} UNION ALL SELECT 'referencia', {sum(len(r.levels) for r in RULES)}""")
+WITH {SCORE_CTE}, ct(place, category) AS (VALUES {', '.join(f"({i}, '{t}')" for i, t in enumerate([t for _, t in CATEGORIES] + ['⛔ No evaluable']))})
+SELECT 'scoring' AS report, path AS item, CAST(score AS VARCHAR) AS value FROM sc
+UNION ALL SELECT 'categorias', category, CAST((SELECT count(*) FROM sc WHERE sc.category = ct.category) AS VARCHAR) FROM ct
+UNION ALL SELECT 'grupos', grp, CAST(count(*) AS VARCHAR) FROM sc GROUP BY grp
+UNION ALL SELECT 'errores', path, error FROM fl WHERE error IS NOT NULL AND num_sheets = 0""")
 def report_tables(spark, folder):
     scored = staged(_scored(spark, folder), "scored")
     _, errors = FL.split_errors(_files(spark, folder))
-    tables = {"scoring": R.score_report(scored), "categorias": R.category_distribution(scored), "kpis": R.score_kpis(scored),
-              "grupos": R.score_by_group(scored), "errores": errors.select("path", "name", "error"),
-              "nulos": PF.profile_nulls(_profiled(spark, folder)),
-              "referencia": SC.level_usage(_levels(spark, folder), SC.rule_table(spark))}
+    tables = {"scoring": R.score_report(scored), "categorias": R.category_distribution(scored), "grupos": R.score_by_group(scored),
+              "errores": errors.select("path", "name", "error")}
     paths = sinks.write_report(tables, f"{shared_folder(spark)}/report_tables-{uuid.uuid4().hex}")
-    return stack([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("report", F.lit(n))
-                  for n, p in paths.items()]).select("report", "rows")
+    shown = {"scoring": ("path", "score"), "categorias": ("category", "files"), "grupos": ("group", "files"), "errores": ("path", "error")}
+    return stack([spark.read.parquet(paths[n]).select(F.lit(n).alias("report"), F.col(item).alias("item"), F.col(value).cast("string").alias("value"))
+                  for n, (item, value) in shown.items()])
 
 
 # The whole job, from contents to scores: a file is a document, its bytes in one of two encodings.

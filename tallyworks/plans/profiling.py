@@ -209,7 +209,8 @@ def sheet_summary(sheets: DataFrame, body: DataFrame, infer: bool = True) -> Dat
         F.when(blank, F.lit(0)).otherwise(total - data).cast("long").alias("rows_blank"),
         F.coalesce(F.when(~blank, clean_percent(F.col("names"))), F.lit(0.0)).alias("pct_clean"),
         F.coalesce(joined(F.col("_mixed")), F.lit("")).alias("mixed_columns"),
-        F.coalesce(joined(shown, NAMES_WIDTH), F.lit("")).alias("columns"), F.col("mean_null"))
+        F.coalesce(joined(shown, NAMES_WIDTH), F.lit("")).alias("columns"),
+        F.coalesce(joined(shown), F.lit("")).alias("columns_all"), F.col("mean_null"))
 
 
 def file_metrics(summary: DataFrame, columns: DataFrame) -> DataFrame:
@@ -236,13 +237,18 @@ def file_metrics(summary: DataFrame, columns: DataFrame) -> DataFrame:
         F.coalesce(F.transform("_names", lambda n: n["column"]), F.array().cast("array<string>")).alias("columns"))
 
 
-def infer_group(path: Column, subfolder: Column, prefixes: Sequence[tuple[str, str]] = ()) -> Column:
-    """Group of a file: a listed folder prefix, else its first folder, else its name without dates."""
+def infer_group(path: Column, subfolder: Column, prefixes: Sequence[tuple[str, str]] = (), width: int | None = GROUP_WIDTH) -> Column:
+    """Group of a file: a listed folder prefix, else its first folder, else its name without dates.
+
+    A group named after a file is cut to `width` characters, so longer names that begin alike are one group; without
+    a width they stay apart.
+    """
     folder = F.replace(F.coalesce(subfolder, F.lit("")), F.lit("\\"), F.lit("/"))
     name = F.substring_index(F.replace(F.coalesce(path, F.lit("archivo")), F.lit("\\"), F.lit("/")), "/", -1)
     stem = F.regexp_replace(name, r"(?<=[^.])\.[^.]*$", "")
     bare = strip(F.regexp_replace(stem, FULL_DATE_IN_NAME, ""))
-    plain = F.left(F.upper(F.regexp_replace(bare, r"[\s_\-]+", "_")), F.lit(GROUP_WIDTH))
+    whole = F.upper(F.regexp_replace(bare, r"[\s_\-]+", "_"))
+    plain = whole if width is None else F.left(whole, F.lit(width))
     own = F.when(~folder.isin("", "."), F.upper(F.substring_index(folder, "/", 1))).otherwise(
         F.coalesce(F.nullif(plain, F.lit("")), F.lit(NO_GROUP)))
     out = own

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.numbers import half_up, round_exact
-from tallyworks.plans.rules import CATEGORIES, CODES, NOT_EVALUABLE
+from tallyworks.plans.rules import CATEGORIES, CODES, NOT_EVALUABLE, RULES
 
 # Fixed value: width of a file name in the rankings.
 NAME_WIDTH = 40
@@ -47,10 +47,10 @@ def score_by_group(scores: DataFrame, group: str = "group", score: str = "score"
             .orderBy(F.col("_exact").desc(), group).drop("_exact"))
 
 
-def score_report(scored: DataFrame) -> DataFrame:
-    """The report row of a file: identity, levels, score, category, block."""
-    return scored.select("path", F.left("name", F.lit(NAME_WIDTH)).alias("name"), "group", "format", "origin",
-                         *[f"level_{c}" for c in CODES], "score", "category",
+def score_report(scored: DataFrame, name_width: int = NAME_WIDTH) -> DataFrame:
+    """The report row of a file: identity, levels and whether each is measured or an estimate, score, category, block."""
+    return scored.select("path", F.left("name", F.lit(name_width)).alias("name"), F.col("name").alias("full_name"), "group", "format", "origin",
+                         *[f"level_{c}" for c in CODES], *[F.lit(r.measured).alias(f"measured_{r.code}") for r in RULES], "score", "category",
                          F.coalesce("blocked_by", F.lit("")).alias("blocked_by"))
 
 
