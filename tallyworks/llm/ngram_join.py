@@ -2,8 +2,9 @@
 
 Two sets of n1 and n2 tokens that share enough must share a token among the first n - ceil(0.8 n) + 1 of each, under any
 order of all tokens. The first order puts rare tokens first (by bucket counts over all documents), so common passages
-hardly ever meet in a prefix. Documents that meet there are candidates if they share as many prefix tokens as their
-sizes ask for; before the sets are compared, the prefixes under the other orders must share as many, too.
+hardly ever meet in a prefix. Documents that meet there are candidates if they can share as many prefix tokens as their
+sizes ask for: up to the end of the prefix that ends first all common tokens are in both prefixes, and the rest of that
+set has ceil(0.8 n) - 1 tokens. Before the sets are compared, the prefixes under the other orders must share as many, too.
 
 Not all pairs of a large group are made. Equal sets are one node. In some rounds each node is compared with hubs of its
 tokens; what is alike is one component then, and afterwards only nodes of different components are paired, the few
@@ -14,11 +15,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import components, kept, query, stored, table
@@ -154,14 +155,8 @@ def frequency_classes(counts: np.ndarray) -> np.ndarray:
     return np.minimum(127, np.floor(4 * np.log2(1 + above))).astype(np.uint8)
 
 
-def required(c: Column, n: Column, m: Column, percent: int) -> Column:
-    """Whether c common prefix tokens leave room for enough common tokens.
-
-    Up to the smaller one of the last prefix tokens all common tokens are counted in c; the set with that one has
-    ceil(0.8 n) - 1 tokens left. Sizes must fit, too.
-    """
-    share = F.greatest(F.ceil(n * percent / 100), F.ceil(m * percent / 100)) - 1
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & ((c + share) * (100 + percent) >= (n + m) * percent)
+def sum_of(columns) -> Column:
+    return reduce(lambda a, b: a + b, columns)
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int, orders: int) -> bool:
@@ -344,17 +339,32 @@ class Join:
         # Tokens whose nodes are not all in one component yet, with the component that most of them are in.
         several = (part.groupBy("token", "part").agg(F.count("*").alias("m")).groupBy("token")
                    .agg(F.count("*").alias("parts"), F.max_by("part", F.struct("m", "part")).alias("main")).where("parts > 1").select("token", "main"))
-        open_ = part.join(several, "token")
-        few = open_.where("part <> main").select("token", *[F.col(c).alias(x) for c, x in
-                                                            (("node", "a"), ("n", "an"), ("part", "ap"), ("last", "al"), ("most", "am"))])
-        common = (F.when(F.col("al") < F.col("last"), F.col("am")).when(F.col("al") > F.col("last"), F.col("most"))
-                  .otherwise(F.greatest("am", "most")))
-        cross = few.join(open_, "token").where((F.col("ap") != F.col("part")) & ((F.col("part") == F.col("main")) | (F.col("a") < F.col("node")))
-                                              & (F.least("n", "an") * 100 >= F.greatest("n", "an") * self.percent)
-                                              & (common * (100 + self.percent) >= (F.col("n") + F.col("an")) * self.percent))
-        a, b = F.least("a", "node"), F.greatest("a", "node")
-        pairs = (cross.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("an").alias("m"))
-                 .where(required(F.col("c"), F.col("n"), F.col("m"), self.percent)))
+        # Nodes of different components can only share such tokens, so they are all that has to be looked at now: how
+        # many a node has, the place of each among them, and a bitmap of 256 bits of them all.
+        by_node = Window.partitionBy("node")
+        bit = F.expr("shiftleft(1L, CAST(pmod(shiftright(xxhash64(token), 8), 64) AS INT))")
+        word = F.pmod(F.xxhash64("token"), F.lit(4))
+        maps = {f"b{i}": F.coalesce(F.bit_or(F.when(word == i, bit)).over(by_node), F.lit(0).cast("long")) for i in range(4)}
+        open_ = part.join(several, "token").withColumns({
+            "open": F.count("*").over(by_node), "at": F.row_number().over(by_node.orderBy("token")), **maps})
+        open_ = stored(open_, "open")
+        few = open_.where("part <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "part", "last", "most", "open", "at", *maps)])
+        n, m = F.col("n"), F.col("x_n")
+        common = (F.when(F.col("x_last") < F.col("last"), F.col("x_most")).when(F.col("x_last") > F.col("last"), F.col("most"))
+                  .otherwise(F.greatest("x_most", "most")))
+        # A similar pair has at least `least` such tokens in common. Then the first of them, by any order of tokens, has
+        # that many less one behind it in either node; and the bitmaps have that many bits in common, but for tokens
+        # that fell on a bit together.
+        least = F.greatest(F.lit(1), F.ceil((n + m) * self.percent / (100 + self.percent))
+                           - F.greatest(F.ceil(n * self.percent / 100), F.ceil(m * self.percent / 100)) + 1)
+        shared_bits = sum_of(F.bit_count(F.col(b).bitwiseAND(F.col(f"x_{b}"))) for b in maps)
+        fell = F.least(F.col("open") - sum_of(F.bit_count(b) for b in maps), F.col("x_open") - sum_of(F.bit_count(f"x_{b}") for b in maps))
+        cross = few.join(open_, "token").where((F.col("x_part") != F.col("part")) & ((F.col("part") == F.col("main")) | (F.col("x_node") < F.col("node")))
+                                              & (F.least(n, m) * 100 >= F.greatest(n, m) * self.percent)
+                                              & (common * (100 + self.percent) >= (n + m) * self.percent)
+                                              & (F.col("at") <= F.col("open") - least + 1) & (F.col("x_at") <= F.col("x_open") - least + 1)
+                                              & (shared_bits + fell >= least))
+        pairs = cross.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
         last = self.alike_pairs(pairs, summaries)
         return summaries, last if links is None else links.union(last)
 
