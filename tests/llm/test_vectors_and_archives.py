@@ -138,7 +138,7 @@ def test_archives_come_back(spark, tmp_path):
             (plain / p.name.removesuffix(".gz")).write_bytes(gzip.decompress(p.read_bytes()))
         back = warc.read_archives(spark, folder).collect()
         done = warc.resolved(warc.read_archives(spark, folder, payloads=False)).collect()
-        again = warc.read_archives(spark, str(plain)).collect()
+        in_blocks = warc.read_archives(spark, str(plain)).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     first = {}
@@ -154,7 +154,7 @@ def test_archives_come_back(spark, tmp_path):
     texts = {(i, (h or "").encode()) for i, _, h in rows}
     assert all((r["page_id"], r["payload"]) in texts for r in back if r["record_type"] == "response")
     assert {r["url"] for r in back} == {u or "" for _, u, _ in rows}
-    assert sorted([tuple(r)[1:] for r in again], key=str) == sorted([tuple(r)[1:] for r in back], key=str)
+    assert sorted([tuple(r)[1:] for r in in_blocks], key=str) == sorted([tuple(r)[1:] for r in back], key=str)
 
 
 def test_small_payloads_are_never_revisits(spark, tmp_path):
