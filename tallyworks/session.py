@@ -5,8 +5,11 @@ The operators never build a session: they use the one their input frames belong
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +32,14 @@ def local_session(cores: str | int = "*", app: str = "tallyworks", shuffle_parti
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    """One folder for the process; it goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="tallyworks-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
 
@@ -39,4 +50,4 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tallyworks-")
+    return _local_folder()
