@@ -106,6 +106,18 @@ def read_delimited(spark, folder):
     return delimited.parse_delimited(lines, "line", ["id", "kind", "person"], ",")
 
 
+@query("delimited_files", """
+SELECT CAST(event_id AS VARCHAR) AS id, CASE event_id % 4 WHEN 0 THEN 'dos, con coma' WHEN 1 THEN NULL WHEN 2 THEN 'con "comillas"' ELSE event_type END AS kind,
+  CAST(user_id AS VARCHAR) AS person, 'año' AS note FROM events""")
+def delimited_files(spark, folder):
+    """Files written by many tasks, each with the header, read back with everything detected."""
+    kind = F.expr("CASE event_id % 4 WHEN 0 THEN 'dos, con coma' WHEN 1 THEN 'NA' WHEN 2 THEN 'con \"comillas\"' ELSE event_type END")
+    rows = table(spark, folder, "events").select(F.col("event_id").alias("id"), kind.alias("kind"), F.col("user_id").alias("person"), F.lit("año").alias("note"))
+    path = f"{shared_folder(spark)}/delimited-{uuid.uuid4().hex}"
+    rows.write.options(header="true", sep=";", escape='"').csv(path)
+    return delimited.read_delimited(spark, path)
+
+
 @query("error_split", """
 SELECT doc_id, source, CASE WHEN quality IS NULL AND n_chars % 3 = 0 THEN 'error' ELSE 'scored' END AS outcome,
   CASE WHEN quality IS NULL THEN 'sin etiqueta' END AS error FROM documents LEFT JOIN labels USING (doc_id)""")
@@ -563,6 +575,16 @@ def top_bottom_k(spark, folder):
     return top_and_bottom(scored, "score", "path")
 
 
+@query("error_listing", f"""
+WITH {LEVELS_CTE}, e AS (SELECT path, error, row_number() OVER (ORDER BY path) AS i FROM fl WHERE error IS NOT NULL)
+SELECT 'row' AS kind, path, error, NULL::BIGINT AS beyond FROM e WHERE i <= 50 UNION ALL SELECT 'beyond', NULL, NULL, greatest(count(*) - 50, 0) FROM e""")
+def error_listing(spark, folder):
+    """The first 50 errors as the report lists them, and how many more there are."""
+    errors = _files(spark, folder).filter("error IS NOT NULL").select("path", "error")
+    first, beyond = R.excerpt(errors, ["path"], 50)
+    return stack([first.withColumn("kind", F.lit("row")), beyond.withColumn("kind", F.lit("beyond"))]).select("kind", "path", "error", F.col("beyond").cast("long"))
+
+
 EIGHT = """doc_id, CAST(doc_id % 6 AS INT) AS sheets, CAST(CASE WHEN doc_id % 4 = 0 THEN doc_id % 6 ELSE floor(doc_id % 6 / 2) END AS INT) AS blank_sheets,
   CAST(doc_id % 6 AS INT) AS num_sheets, CAST(doc_id % 3 AS INT) AS header_raw, CAST(n_chars % 33 AS INT) AS merged,
   CAST(n_chars % 77 AS INT) AS formulas, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE CAST(n_chars % 101 AS DOUBLE) END AS mean_null,
