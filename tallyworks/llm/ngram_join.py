@@ -26,7 +26,7 @@ from tallyworks.llm.common import components, kept, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, bloom_places, merged, mix, pieces
 
 #: Rounds in which nodes are compared with hubs before pairs are made: they only save work.
-ROUNDS = 3
+ROUNDS = 2
 #: Cells of the bucket counts (4 bytes each on the driver, 1 in the tasks), and bits of the Bloom filter.
 BUCKETS, BITS = 1 << 22, 1 << 26
 
@@ -262,9 +262,9 @@ class Join:
         pairs = stored(pairs.select("a", "b").distinct(), "pairs")
         if pairs.isEmpty():
             return pairs
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        # One document of each node; a Bloom filter over them spares the sets of all other documents the way.
-        chosen = summaries.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+        # One document of each node; a Bloom filter over them spares the sets of (nearly) all other documents the way.
+        chosen = summaries.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
         marks = chosen.select("node", F.xxhash64("id").alias("h")).mapInArrow(fill, SCHEMA)
         known = self.spark.sparkContext.broadcast(merged(marks, BITS // 8, np.uint8, np.bitwise_or, np.uint8))
 
@@ -279,7 +279,7 @@ class Join:
                                                  names=["node", "tokens"])
 
         docs = self.docs.select("t", F.xxhash64("id").alias("h"))
-        sets = stored(docs.mapInArrow(emit, "node long, tokens binary").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+        sets = stored(docs.mapInArrow(emit, "node long, tokens binary").dropDuplicates(["node"]), "sets")
         both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b"))
         percent, orders = self.percent, self.orders
