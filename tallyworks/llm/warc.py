@@ -34,11 +34,10 @@ SMALL, PER_FILE = 1_000_000, 50_000
 LENGTH, HEADER_END = re.compile(rb"(?:^|\r\n)Content-Length: (\d+)\r\n", re.I), b"\r\n\r\n"
 
 
-def sha1_base32(payload: Column) -> Column:
-    """Base32 of the SHA-1 of a text or binary column, from the hexadecimal form: five bits a letter."""
-    bits = F.concat(*[F.lpad(F.conv(F.substring(F.sha1(payload.cast("binary")), i * 10 + 1, 10), 16, 2), 40, "0") for i in range(4)])
-    letters = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)))
-    return F.array_join(letters, "")
+def base32(sha1: Column) -> Column:
+    """Base32 of a SHA-1 given in hexadecimal: ten digits are eight letters; the other alphabet's digits are replaced."""
+    parts = [F.lpad(F.conv(F.substring(sha1, i * 10 + 1, 10), 16, 32), 8, "0") for i in range(4)]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
 def header_safe(value: Column) -> Column:
@@ -53,13 +52,13 @@ def records(pages: DataFrame, key: str, url: str, html: str, least: int) -> Data
     """(line) of each page: its record without the last CRLF."""
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
     rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", sha1_base32(F.col("payload"))).withColumn("bytes", F.octet_length("payload").cast("long"))
+    rows = rows.withColumn("sha1", F.sha1(F.col("payload").cast("binary"))).withColumn("bytes", F.octet_length("payload").cast("long"))
     # Only payloads that stand more than once are joined; where they are too many to broadcast, the join can split a hot
     # payload's rows, as its side is read from a table.
-    firsts = stored(rows.groupBy("digest", "bytes").agg(F.min("id").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "firsts")
+    firsts = stored(rows.groupBy("sha1", "bytes").agg(F.min("id").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "firsts")
     if firsts.count() <= SMALL:
         firsts = F.broadcast(firsts)
-    rows = rows.join(firsts, ["digest", "bytes"], "left")
+    rows = rows.join(firsts, ["sha1", "bytes"], "left")
     revisit = (F.col("bytes") >= least) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     kind = F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
 
@@ -71,7 +70,7 @@ def records(pages: DataFrame, key: str, url: str, html: str, least: int) -> Data
 
     head = F.concat(F.lit(MAGIC), line("WARC-Type", kind), F.coalesce(line("WARC-Record-ID", urn(F.col("id"))), F.lit("")),
                     line("WARC-Date", F.lit(DATE)), line("WARC-Target-URI", header_safe(F.col("url"))),
-                    line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+                    line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("sha1")))),
                     F.when(revisit, line("WARC-Refers-To", urn(F.col("first")))).otherwise(F.lit("")),
                     line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("bytes").cast("string"))), F.lit("\r\n"))
     return rows.select(F.concat(head, F.when(revisit, F.lit("")).otherwise(F.col("payload")), F.lit("\r\n")).alias("value"))
@@ -84,7 +83,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     repeat it are one page), the others revisits without a payload. A null payload is empty, a null url an empty header;
     a null key has no record id, never is the smallest, and its page is a response where no other key is known.
     """
-    (records(pages, key, url, html, least).write.option("lineSep", "\r\n").option("compression", "gzip")
+    (records(pages, key, url, html, least).write.option("lineSep", "\r\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
      .option("maxRecordsPerFile", PER_FILE).text(folder))
 
 
