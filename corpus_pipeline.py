@@ -32,8 +32,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that another document holds first; one left without any text goes."""
-    done = lines.dedup_lines(docs)
+    """Documents without the lines that another document holds first, of any length; one left without any text goes."""
+    done = lines.dedup_lines(docs, min_chars=1)
     blank = F.length(F.trim(F.coalesce("kept_text", F.lit("")))) == 0
     done = done.where((F.col("n_removed") == 0) | ~blank)
     changed = F.col("n_removed") > 0
