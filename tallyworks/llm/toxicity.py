@@ -1,15 +1,17 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max index, votes, calibration.
-
-Terms are words and the beginnings of words. The ones that stand for a label are chosen from a bounded sample of
-labelled rows; their document frequencies are counted over all documents. An example or a document is the vector of its
-chosen terms. The index holds the labelled examples in blocks, and for each term the largest weight in each block; a
-search adds up these bounds, opens blocks from the best bound down, and stops when no bound can reach the k-th best
-cosine any more, so its neighbours are exactly the nearest. Their labels, weighted by cosine, give a vote, and the votes
-that examples get from the others give the calibration from votes to scores.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over whole texts, votes, calibration.
+
+The labelled examples are a bounded sample. A text is the vector of all its words, with document frequencies over all
+documents; its neighbours are exactly the examples nearest by cosine, and they are the evidence. Their labels, weighted
+by cosine, give a vote. A second vote comes from the terms that stand for a label (words and beginnings of words), by a
+block-max search over the vectors of these terms alone: it opens blocks from the best bound down and stops when no bound
+can reach the k-th best cosine any more. The votes that examples get from the others give the weights of the two votes
+and the calibration from them to scores.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import TwoAges, over_texts, query, stored, table
+from tallyworks.llm.sketch import SCHEMA, merged, pieces
 
 #: Examples in a block of the index; words whose terms a task remembers.
 BLOCK, KEPT = 64, 400_000
+#: Texts searched at once, and common words whose weights are held as a dense matrix.
+AT_ONCE, DENSE = 64, 256
 EDGE = ".,;:!?\"'()[]{}<>*$%&#-_/"
 
 
@@ -72,38 +77,186 @@ def choose_terms(sample: DataFrame, max_terms: int, least: float = 25.0, min_doc
             .where(F.col("chi") >= least).orderBy(F.desc("chi"), "term").limit(max_terms).select("term").collect()]
 
 
+class Vocabulary:
+    """Words in code point order; they travel packed, and their numbers are worked out once by each process."""
+
+    def __init__(self, words: list[str]) -> None:
+        # No word holds a blank.
+        self.size, self.packed, self.known = len(words), zlib.compress("\n".join(words).encode("utf-8", "surrogatepass"), 1), None
+
+    def numbers(self) -> dict[str, int]:
+        if self.known is None:
+            words = zlib.decompress(self.packed).decode("utf-8", "surrogatepass")
+            self.known = {w: i for i, w in enumerate(words.split("\n"))} if self.size else {}
+        return self.known
+
+
+def vocabulary(sample: DataFrame) -> Vocabulary:
+    """All words of the sample (fit_rows texts)."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = {w.strip(EDGE) for text in b.column("text").to_pylist() for w in text.lower().split()}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(words - {""}), pa.string())], names=["word"])
+
+    found = sample.select("text").mapInArrow(find, "word string").distinct().toArrow().column("word").to_pylist()
+    return Vocabulary(sorted(found))
+
+
 class Terms(TwoAges):
-    """Numbers of a word's chosen terms, worked out when first asked for."""
+    """A word without its edges, its number (-1: in no example), and the numbers of its chosen terms; worked out when first asked for."""
 
-    def __init__(self, terms: list[str]) -> None:
+    def __init__(self, terms: list[str], words: dict[str, int]) -> None:
         super().__init__(KEPT)
-        self.number = {t: i for i, t in enumerate(terms)}
+        self.number, self.words = {t: i for i, t in enumerate(terms)}, words
+
+    def work(self, word: str) -> tuple[str, int, tuple[int, ...]]:
+        bare = word.strip(EDGE)
+        return bare, self.words.get(bare, -1), tuple(self.number[t] for t in terms_of(word) if t in self.number)
+
 
-    def work(self, word: str) -> tuple[int, ...]:
-        return tuple(self.number[t] for t in terms_of(word) if t in self.number)
+def lists(rows: list, kind: pa.DataType) -> pa.Array:
+    """Rows of values as a column, by way of one flat array."""
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([x for r in rows for x in r], kind))
 
 
-def term_vectors(docs: DataFrame, terms: list[str], keys: tuple[str, ...]) -> DataFrame:
-    """Key columns, and the chosen terms of each whole text (numbers ascending) with their counts."""
+def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]) -> DataFrame:
+    """Key columns, and of each whole text the chosen terms, the words and the words of no example, all with their counts.
+
+    Numbers are ascending. `words` is the broadcast vocabulary; words outside it are given by their 64-bit hash.
+    """
     def make():
-        known = Terms(terms)
+        known = Terms(terms, words.value.numbers())
 
         def work(texts: list) -> dict:
-            each, times = [], []
+            made = [[] for _ in range(6)]
             for t in texts:
-                found: dict[int, int] = {}
-                if t:
-                    for w in t.lower().split():
-                        for i in known[w]:
-                            found[i] = found.get(i, 0) + 1
-                order = sorted(found)
-                each.append(order)
-                times.append([found[i] for i in order])
-            return {"terms": pa.array(each, pa.list_(pa.int32())), "times": pa.array(times, pa.list_(pa.int32()))}
+                chosen: dict[int, int] = {}
+                plain: dict[int, int] = {}
+                others: dict[str, int] = {}
+                for w, n in Counter(t.lower().split()).items() if t else ():
+                    bare, i, marks = known[w]
+                    if i >= 0:
+                        plain[i] = plain.get(i, 0) + n
+                    elif bare:
+                        others[bare] = others.get(bare, 0) + n
+                    for m in marks:
+                        chosen[m] = chosen.get(m, 0) + n
+                for at, found in enumerate((chosen, plain, others)):
+                    order = sorted(found)
+                    made[2 * at].append(order)
+                    made[2 * at + 1].append([found[x] for x in order])
+            return {name: lists(rows, pa.string() if name == "others" else pa.int32())
+                    for name, rows in zip(("terms", "times", "words", "counts", "others", "other_counts"), made)}
 
         return work
 
-    return over_texts(docs, keys, "text", "terms array<int>, times array<int>", make)
+    out = over_texts(docs, keys, "text", "terms array<int>, times array<int>, words array<int>, counts array<int>, others array<string>, other_counts array<int>", make)
+    return out.withColumn("others", F.transform("others", lambda w: F.xxhash64(w)))
+
+
+def frequencies(vectors: DataFrame, n_words: int, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of each word and of each chosen term, counted over all rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(n_words + n_terms, np.int32)
+        for b in batches:
+            for name, first in (("words", 0), ("terms", n_words)):
+                got = np.bincount(b.column(name).flatten().to_numpy(zero_copy_only=False))
+                seen[first:first + len(got)] += got.astype(np.int32)
+        for piece, cells in pieces(seen):
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([cells], pa.binary())], names=["piece", "cells"])
+
+    df = merged(vectors.select("words", "terms").mapInArrow(run, SCHEMA), n_words + n_terms, np.int64, np.add, np.int32)
+    return df[:n_words], df[n_words:]
+
+
+def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says, one after the other."""
+    before = np.cumsum(length) - length
+    return np.arange(int(length.sum())) + np.repeat(start - before, length)
+
+
+class TextIndex:
+    """Unit TF-IDF vectors of the examples over all their words, and the exact nearest ones of a text.
+
+    All cosines of some texts at once are worked out in single precision: the common words by a product of dense
+    matrices, the others by their postings. The rows that may be among the k nearest by more than the error of that are
+    worked out again in double precision.
+    """
+
+    #: More than twice the error of a sum of DENSE products in single precision.
+    ERROR = 1e-4
+
+    def __init__(self, idf: np.ndarray, ids: np.ndarray, y: np.ndarray, start: np.ndarray, words: np.ndarray, counts: np.ndarray) -> None:
+        """Examples in the order of their ids; `start` says where each one's words and counts begin, and the end."""
+        self.idf, self.ids, self.y, self.start = idf, ids, y, start
+        #: Words as steps from the one before, and counts: small when packed, as this travels to every executor.
+        self.packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (np.diff(words, prepend=0), counts)]
+        self.dense = None
+
+    def prepare(self) -> None:
+        """What a search needs besides; made where it is used."""
+        steps, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
+        self.words = np.cumsum(steps, dtype=np.int32)
+        n, row = len(self.ids), np.repeat(np.arange(len(self.ids)), np.diff(self.start))
+        self.weight = (1 + np.log(counts)) * self.idf[self.words]
+        self.weight /= np.sqrt(np.bincount(row, self.weight ** 2, n))[row]
+        held = np.bincount(self.words, minlength=len(self.idf))
+        common = np.argsort(-held, kind="stable")[:DENSE]
+        common = common[held[common] * 100 > n]
+        self.slot = np.full(len(self.idf), -1, np.int32)
+        self.slot[common] = np.arange(len(common))
+        at = self.slot[self.words]
+        self.dense = np.zeros((max(1, len(common)), n), np.float32)
+        self.dense[at[at >= 0], row[at >= 0]] = self.weight[at >= 0]
+        light = np.flatnonzero(at < 0)
+        light = light[np.argsort(self.words[light], kind="stable")]
+        self.light_row, self.light_weight = row[light], self.weight[light]
+        self.light_start = np.searchsorted(self.words[light], np.arange(len(self.idf) + 1))
+        self.of_word = np.zeros(len(self.idf))
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        """For each text (words, counts): rows and cosines of the k nearest examples with a positive cosine, ties to the smaller
+        id, and the squared length of its vector; the cosines are those of a text without other words. `but`: rows left out."""
+        if self.dense is None:
+            self.prepare()
+        for at in range(0, len(texts), AT_ONCE):
+            yield from self.some(texts[at:at + AT_ONCE], k, but[at:at + AT_ONCE] if but else None)
+
+    def some(self, texts: list, k: int, but: list[int] | None) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        n, sizes = len(self.ids), [len(t) for t, _ in texts]
+        words = np.concatenate([t for t, _ in texts])
+        weight = (1 + np.log(np.concatenate([c for _, c in texts]))) * self.idf[words]
+        of = np.repeat(np.arange(len(texts)), sizes)
+        length = np.bincount(of, weight ** 2, len(texts))
+        weight = weight / np.sqrt(length)[of]
+        slot = self.slot[words]
+        q = np.zeros((len(texts), len(self.dense)), np.float32)
+        q[of[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
+        about = q @ self.dense
+        ends = np.cumsum(sizes)
+        for i, near in enumerate(about):
+            mine = slice(ends[i] - sizes[i], ends[i])
+            # One text at a time: its sums stay in the processor's cache.
+            rare = slot[mine] < 0
+            first = self.light_start[words[mine][rare]]
+            many = self.light_start[words[mine][rare] + 1] - first
+            place = spans(first, many)
+            near = near + np.bincount(self.light_row[place], np.repeat(weight[mine][rare], many) * self.light_weight[place], n)
+            if but is not None and but[i] >= 0:
+                near[but[i]] = 0
+            least = np.partition(near, n - k)[n - k] - self.ERROR if n > k else 0.0
+            rows = np.flatnonzero(near >= least) if least > 0 else np.flatnonzero(near > 0)
+            cosines = np.zeros(0)
+            if len(rows):
+                self.of_word[words[mine]] = weight[mine]
+                lengths = self.start[rows + 1] - self.start[rows]
+                place = spans(self.start[rows], lengths)
+                cosines = np.add.reduceat(self.of_word[self.words[place]] * self.weight[place], np.cumsum(lengths) - lengths)
+                self.of_word[words[mine]] = 0
+                keep = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
+                rows, cosines = rows[keep], cosines[keep]
+            yield rows, cosines, float(length[i])
 
 
 class BlockMaxIndex:
@@ -187,31 +340,71 @@ def calibration(votes: np.ndarray, y: np.ndarray, least: int = 30) -> tuple[list
     return [0.0, *xs, 1.0], [ys[0] / 2, *ys, (1 + ys[-1]) / 2]
 
 
+def pull(weight, label_weight, prior: float):
+    """Share of label 1 by squared cosine, drawn a little towards the prior, the less so the nearer the examples are."""
+    return (label_weight + 0.05 * prior) / (weight + 0.05)
+
+
+def log_odds(votes: np.ndarray) -> np.ndarray:
+    votes = np.clip(votes, 1e-3, 1 - 1e-3)
+    return np.log(votes / (1 - votes))
+
+
+def blend(votes: np.ndarray, y: np.ndarray, steps: int = 30) -> np.ndarray:
+    """Constant and weights of the votes' log odds (a column each): logistic regression by Newton steps, held by a small ridge."""
+    x = np.column_stack([np.ones(len(y)), log_odds(votes)])
+    w, ridge = np.zeros(x.shape[1]), np.eye(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        move = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - w)
+        w = w + move
+        if np.abs(move).max() < 1e-10:
+            break
+    return w
+
+
 class Model:
-    """What scoring needs; its size is bounded by the sample's rows and the number of terms."""
-
-    def __init__(self, terms: list[str], idf: np.ndarray, rows: list[tuple], k: int) -> None:
-        self.terms, self.k = terms, k
-        self.index = BlockMaxIndex(idf, rows)
-        self.prior = (sum(r[3] for r in rows) + 0.5) / (len(rows) + 1) if rows else 0.5
-        plain = [r[3] for r in rows if not r[1]]
-        #: Score of texts without any chosen term.
-        self.none = min((sum(plain) + 0.5) / (len(plain) + 1), 0.49) if plain else min(self.prior, 0.49)
-        n = len(self.index.ids)
-        votes = np.zeros(n)
-        at = {i: r for r, i in enumerate(self.index.ids.tolist())}
-        for i, t, c, _ in rows:
-            if t:
-                votes[at[i]] = self.index.vote(*self.index.nearest(t, c, k, but=at[i]), self.prior)
-        self.points = calibration(votes, self.index.y) if n else ([0.0, 1.0], [self.none, self.none])
-
-    def score(self, terms: list[int], times: list[int]) -> tuple[float, list[int], list[float]]:
-        """Score, and the evidence: ids of the nearest examples with their cosines."""
+    """What searching needs; its size is bounded by the sample's rows and their words."""
+
+    def __init__(self, term_idf: np.ndarray, rows: list[tuple], index: TextIndex, k: int) -> None:
+        self.k, self.texts = k, index
+        self.terms = BlockMaxIndex(term_idf, rows)
+        self.term_row = {i: r for r, i in enumerate(self.terms.ids.tolist())}
+        self.text_row = {i: r for r, i in enumerate(index.ids.tolist())}
+        self.prior = (sum(r[3] for r in rows) + 0.5) / (len(rows) + 1)
+
+    def term_vote(self, terms: list[int], times: list[int], but: int | None = None) -> float:
+        """Vote by the chosen terms; a text without any gets the prior."""
         if not terms:
-            return self.none, [], []
-        rows, cosines = self.index.nearest(terms, times, self.k)
-        vote = self.index.vote(rows, cosines, self.prior)
-        return float(np.interp(vote, *self.points)), self.index.ids[rows].tolist(), cosines.tolist()
+            return self.prior
+        return self.terms.vote(*self.terms.nearest(terms, times, self.k, but=self.term_row.get(but)), self.prior)
+
+    def search(self, b: pa.RecordBatch, known: dict, but: list[int] | None = None) -> dict[str, pa.Array]:
+        """For each row its vote by chosen terms, nearest examples, their cosines, squared length, and the sums of squared
+        cosines of all of them and of those with label 1. `but`: the example to leave out of each search."""
+        votes = []
+        for i, (t, n) in enumerate(zip(b.column("terms").to_pylist(), b.column("times").to_pylist())):
+            q = (tuple(t), tuple(n), but[i] if but else None)
+            if q not in known:
+                if len(known) > KEPT // 10:
+                    known.clear()
+                known[q] = self.term_vote(*q)
+            votes.append(known[q])
+        words, counts = b.column("words"), b.column("counts")
+        cut = words.offsets.to_numpy()
+        cut = cut - cut[0]
+        words, counts = words.flatten().to_numpy(), counts.flatten().to_numpy()
+        full = np.flatnonzero(np.diff(cut)) if len(self.texts.ids) else []
+        texts = [(words[cut[i]:cut[i + 1]], counts[cut[i]:cut[i + 1]]) for i in full]
+        out = [((), (), 0.0, 0.0, 0.0)] * len(votes)
+        for i, (rows, cosines, length) in zip(full, self.texts.nearest(texts, self.k, [self.text_row.get(but[i], -1) for i in full] if but else None)):
+            w = cosines * cosines
+            out[i] = self.texts.ids[rows], cosines, length, float(w.sum()), float((w * self.texts.y[rows]).sum())
+        return {"vote": pa.array(votes, pa.float64()), "nearest": lists([o[0] for o in out], pa.int64()), "cosines": lists([o[1] for o in out], pa.float64()),
+                **{name: pa.array([o[i] for o in out], pa.float64()) for i, name in ((2, "length"), (3, "near"), (4, "near_1"))}}
+
+
+FOUND = "vote double, nearest array<long>, cosines array<double>, length double, near double, near_1 double"
 
 
 def held_out_rows(key: str = "doc_id", folds: int = 5) -> Column:
@@ -223,44 +416,78 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
                     keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Key columns, `held_out`, `score`, `predicted`, and the evidence: `nearest` example ids with their `cosines`.
 
-    Bounds: the model is fitted on at most `fit_rows` labelled rows that are not held out and keeps at most `max_terms`
-    terms; frequencies are counted over all documents. Null and empty texts, and texts without chosen terms, get the
-    share of label 1 among examples without chosen terms (always under 0.5) and no evidence. Without labels of both
-    kinds all documents get the prior. Ties in cosine go to the smaller example id. Repeated rows are scored alike.
+    Bounds: the model is fitted on at most `fit_rows` labelled rows that are not held out; it holds all their words, and
+    at most `max_terms` terms for the second vote; frequencies are counted over all documents. Every text with a word is
+    searched; one that has no word in common with any example, and null and empty texts, have no evidence and two votes
+    equal to the prior. Without any labelled row all scores are 0. Ties in cosine go to the smaller example id. Repeated
+    rows are scored alike.
     """
     spark = docs.sparkSession
     keys = tuple(dict.fromkeys((*keys, "doc_id")))
     sample = stored(fit_sample(docs, labels, held_out_rows(), fit_rows), "sample")
+    if sample.isEmpty():
+        none = F.array().cast("array<long>"), F.array().cast("array<double>")
+        return docs.select(*keys, held_out_rows().alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
+                           none[0].alias("nearest"), none[1].alias("cosines"))
     terms = choose_terms(sample, max_terms)
-    # The only pass over all texts; what it leaves is small.
-    vectors = stored(term_vectors(docs, terms, keys), "vectors")
+    words = spark.sparkContext.broadcast(vocabulary(sample))
+    # The only pass over all texts.
+    vectors = stored(term_vectors(docs.withColumn("__row", F.monotonically_increasing_id()), terms, words, (*keys, "__row")), "vectors")
     n_docs = vectors.count()
-    seen = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()  # max_terms rows
-    df = np.zeros(len(terms))
-    for r in seen:
-        df[r["t"]] = r["n"]
-    idf = np.log((1 + n_docs) / (1 + df)) + 1
-    examples = term_vectors(sample, terms, ("id", "y")).collect()  # fit_rows rows
-    rows = sorted((r["id"], list(r["terms"]), list(r["times"]), r["y"]) for r in examples)
-    model = spark.sparkContext.broadcast(Model(terms, idf, rows, k))
+    word_df, term_df = frequencies(vectors, words.value.size, len(terms))
+    idf, term_idf = np.log((1 + n_docs) / (1 + word_df)) + 1, np.log((1 + n_docs) / (1 + term_df)) + 1
+    examples = stored(term_vectors(sample, terms, words, ("id", "y")), "examples").drop("others", "other_counts")
+    got = examples.toArrow().sort_by("id").combine_chunks()  # fit_rows rows
+    rows = list(zip(*[got.column(c).to_pylist() for c in ("id", "terms", "times", "y")]))
+    start = np.cumsum([0, *(got.column("words").combine_chunks().value_lengths().to_pylist())])
+    index = TextIndex(idf, got.column("id").to_numpy(), got.column("y").to_numpy().astype(float), start,
+                      got.column("words").combine_chunks().flatten().to_numpy(), got.column("counts").combine_chunks().flatten().to_numpy())
+    model = spark.sparkContext.broadcast(Model(term_idf, rows, index, k))
+    prior = model.value.prior
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = model.value.search(b, {}, b.column("id").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("y"), *[made[c] for c in ("vote", "near", "near_1")]], names=["y", "vote", "near", "near_1"])
+
+    # The votes of each example by the others: fit_rows rows of four numbers, in an order that does not depend on the tasks.
+    parts = max(1, min(len(rows) // 500, spark.sparkContext.defaultParallelism))
+    own = examples.repartition(parts).mapInArrow(left_out, "y int, vote double, near double, near_1 double").toArrow()
+    own = np.column_stack([own.column(c).to_numpy().astype(float) for c in ("y", "vote", "near", "near_1")])
+    own = own[np.lexsort(own.T)]
+    y, votes = own[:, 0], np.column_stack([own[:, 1], pull(own[:, 2], own[:, 3], prior)])
+    weights = blend(votes, y)
+
+    def joint(votes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(weights[0] + log_odds(votes) @ weights[1:], -30, 30)))
+
+    points = calibration(joint(votes), y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple] = {}
+        known: dict[tuple, float] = {}
         for b in batches:
-            out = []
-            for t, n in zip(b.column("terms").to_pylist(), b.column("times").to_pylist()):
-                q = (tuple(t), tuple(n))
-                if q not in known:
-                    if len(known) > KEPT // 10:
-                        known.clear()
-                    known[q] = model.value.score(t, n)
-                out.append(known[q])
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keys))] + [
-                pa.array([o[0] for o in out], pa.float64()), pa.array([o[1] for o in out], pa.list_(pa.int64())),
-                pa.array([o[2] for o in out], pa.list_(pa.float64()))], names=[*keys, "score", "nearest", "cosines"])
+            made = model.value.search(b, known)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keys) + 1)], *made.values()], names=[*keys, "__row", *made])
 
     kinds = ", ".join(f"`{k_}` {vectors.schema[k_].dataType.simpleString()}" for k_ in keys)
-    scored = vectors.mapInArrow(run, f"{kinds}, score double, nearest array<long>, cosines array<double>")
+    found = vectors.drop("others", "other_counts").mapInArrow(run, f"{kinds}, __row long, {FOUND}")
+    # The words of no example lengthen a text's vector; they change its cosines, not their order.
+    others = vectors.select("__row", F.explode(F.arrays_zip("others", "other_counts")).alias("x")).select("__row", "x.others", "x.other_counts")
+    df = others.groupBy("others").agg(F.count("*").alias("df"))
+    w = (1 + F.log("other_counts")) * (F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1)
+    rest = others.join(df, "others").groupBy("__row").agg(F.sum(w * w).alias("rest"))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            length, rest, near, near_1, vote = (b.column(c).to_numpy() for c in ("length", "rest", "near", "near_1", "vote"))
+            shorter = length / np.maximum(length + rest, 1e-300)  # squared
+            votes = np.column_stack([vote, pull(near * shorter, near_1 * shorter, prior)])
+            cosines = [[c * f for c in found] for found, f in zip(b.column("cosines").to_pylist(), np.sqrt(shorter).tolist())]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keys))], pa.array(np.interp(joint(votes), *points)), b.column("nearest"), lists(cosines, pa.float64())],
+                                             names=[*keys, "score", "nearest", "cosines"])
+
+    whole = found.join(rest, "__row", "left").withColumn("rest", F.coalesce("rest", F.lit(0.0))).drop("__row")
+    scored = whole.mapInArrow(score, f"{kinds}, score double, nearest array<long>, cosines array<double>")
     return scored.select(*keys, held_out_rows().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "nearest", "cosines")
 
 
