@@ -43,16 +43,24 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike, the one with the least id; rows that repeat an id count as one document.
+    """Of documents that are alike, the one with the least id, null last; rows of one id and text count as one document.
 
-    Documents without words are like no other, so they stay, and so do rows without an id.
+    Different texts under one id are documents of their own, told apart by a hash of id and text. Documents without words
+    are like no other, so they stay; rows that repeat one of them under the same id go, those without an id stay.
     """
-    classes = common.stored(ngram_join.jaccard_classes(docs), "classes")
-    kept = without(docs, classes.where("doc_id <> component_id").select("doc_id").distinct(), ["doc_id"])
-    again = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    alike = common.stored(ngram_join.jaccard_classes(keyed.select("__key", "text"), key="__key"), "classes")
+    ids = common.stored(keyed.groupBy("__key").agg(F.first("doc_id").alias("id"), F.count("*").alias("rows")), "ids")
+    places = alike.where("n_shingles > 0").select("__key", "component_id").distinct().join(ids, "__key")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "__key")
+    least = places.groupBy("component_id").agg(F.min(order)["__key"].alias("kept"))
+    kept = without(keyed, places.join(least, "component_id").where("__key <> kept").select("__key"), ["__key"])
+    empty = alike.where("n_shingles = 0").select("__key").distinct().join(ids.where("id is null"), "__key", "left_semi")
+    again = common.stored(ids.where("rows > 1").join(empty, "__key", "left_anti").select("__key"), "again")
     if again.isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+        return kept.select(docs.columns)
+    once = kept.join(again, "__key", "left_semi").dropDuplicates(["__key"])
+    return kept.join(again, "__key", "left_anti").union(once).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
