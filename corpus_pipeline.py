@@ -64,9 +64,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes."""
+    """As many copies of each document as the mix takes; columns named like the mix's own keep their values."""
+    aside = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "source")}
     times = F.slice(F.sequence(F.lit(0), F.col("copies")), 1, F.col("copies"))
-    return mixing.mix(docs).withColumn("__copy", F.explode(times)).select(docs.columns)
+    taken = mixing.mix(docs.withColumnsRenamed(aside)).withColumn("__copy", F.explode(times))
+    return taken.select([F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Stages of the pipeline on rows that they must not cut short."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.helpers import documents
 
@@ -17,3 +19,13 @@ def test_texts_under_one_id_are_told_apart(spark):
     got = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "").collect()
     want = [rows[i] for i in (0, 2, 3, 4, 6, 9, 10, 11, 12)]
     assert sorted([(r["doc_id"], r["text"], r["source"]) for r in got], key=str) == sorted(want, key=str)
+
+
+def test_columns_named_like_those_of_the_mix_stay(spark):
+    docs = documents(spark, [(i, "some words here", f"s{i % 2}") for i in range(20)])
+    for i, c in enumerate(["size", "source_size", "target", "rate", "copies", "taken", "Words"]):
+        docs = docs.withColumn(c, F.col("doc_id") * 100 + i)
+    got = corpus_pipeline.mixed(spark, docs, "")
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows and set(rows) <= set(docs.collect())
