@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-#: Cells of a sketch that travel as one row.
-PIECE = 1 << 16
+#: Cells of a sketch that travel as one row; groups that the tasks' sketches are merged in first.
+PIECE, GROUPS = 1 << 16, 64
 SCHEMA = "piece int, cells binary"
 
 
@@ -20,17 +21,29 @@ def pieces(cells: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield i // PIECE, cells[i:i + PIECE].tobytes()
 
 
+def gathered(rows: DataFrame, into: np.dtype, add: Callable[[np.ndarray, np.ndarray], np.ndarray], held: np.dtype) -> DataFrame:
+    """One row a piece, cells of type `into`: first merged by piece and task number modulo GROUPS, then by piece.
+
+    A group has one array of every GROUPS-th task, and then at most GROUPS arrays.
+    """
+    def put(kind: np.dtype) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def work(pdf: pd.DataFrame) -> pd.DataFrame:
+            out = np.zeros(PIECE, into)
+            for cells in pdf["cells"]:
+                part = np.frombuffer(cells, kind)
+                out[: len(part)] = add(out[: len(part)], part)
+            return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "cells": [out.tobytes()]})
+
+        return work
+
+    some = rows.select("piece", "cells", (F.spark_partition_id() % GROUPS).alias("task"))
+    return some.groupBy("piece", "task").applyInPandas(put(held), SCHEMA).groupBy("piece").applyInPandas(put(into), SCHEMA)
+
+
 def merged(rows: DataFrame, size: int, into: np.dtype, add: Callable[[np.ndarray, np.ndarray], np.ndarray], held: np.dtype) -> np.ndarray:
     """The sketches of all tasks (rows piece, cells of type `held`) put together; `size` cells come to the driver."""
-    def put(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(PIECE, into)
-        for cells in pdf["cells"]:
-            part = np.frombuffer(cells, held)
-            out[: len(part)] = add(out[: len(part)], part)
-        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "cells": [out.tobytes()]})
-
     out = np.zeros(max(size, PIECE), into)
-    for r in rows.groupBy("piece").applyInPandas(put, SCHEMA).collect():
+    for r in gathered(rows, into, add, held).collect():
         out[r["piece"] * PIECE:(r["piece"] + 1) * PIECE] = np.frombuffer(r["cells"], into)[: len(out) - r["piece"] * PIECE]
     return out[:size]
 
