@@ -32,9 +32,13 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that another document holds first, of any length; one left without any text goes."""
-    done = lines.dedup_lines(docs, min_chars=1)
-    blank = F.length(F.trim(F.coalesce("kept_text", F.lit("")))) == 0
+    """Documents without the lines that another document holds first, of any length; one left without any text goes.
+
+    Lines are compared without outer spaces, tabs and carriage returns.
+    """
+    blanks = " \t\r"
+    done = lines.dedup_lines(docs, min_chars=1, blanks=blanks)
+    blank = F.length(F.trim(F.coalesce("kept_text", F.lit("")), F.lit(blanks))) == 0
     done = done.where((F.col("n_removed") == 0) | ~blank)
     changed = F.col("n_removed") > 0
     return done.select(*[F.col("kept_text").alias(c) if c == "text" else

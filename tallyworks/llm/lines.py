@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import query, stored, table
 
 
-def line_key(line: Column) -> Column:
-    """What equal lines share: a 64-bit hash of the line without outer blanks, and its length."""
-    return F.struct(F.xxhash64(F.trim(line)).alias("h"), F.length(F.trim(line)).alias("n"))
+def line_key(line: Column, blanks: str = " ") -> Column:
+    """What equal lines share: a 64-bit hash of the line without the outer characters of `blanks`, and its length."""
+    bare = F.trim(line, F.lit(blanks))
+    return F.struct(F.xxhash64(bare).alias("h"), F.length(bare).alias("n"))
 
 
 def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key: str = "doc_id", min_sites: int = 5,
-                min_chars: int = 20, lg_k: int = 12) -> DataFrame:
+                min_chars: int = 20, lg_k: int = 12, blanks: str = " ") -> DataFrame:
     """Lines of at least `min_chars` on at least `min_sites` distinct sites: (line key, first: least key of a carrier).
 
     A null site counts as one more site. The sketch's relative error is about 1.04 / sqrt(2 ** lg_k); estimates within
@@ -26,8 +27,7 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key:
     """
     place = F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("null"))
     lines = (docs.select(F.col(key).alias("id"), place.alias("site"), F.explode(F.split(F.col(text), "\n")).alias("line"))
-             .where(F.length(F.trim("line")) >= min_chars)
-             .select("id", "site", line_key(F.col("line")).alias("line")))
+             .select("id", "site", line_key(F.col("line"), blanks).alias("line")).where(F.col("line.n") >= min_chars))
     seen = lines.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.count("*").alias("n"),
                                      F.min("id").alias("first"))
     around = max(1.0, min_sites * 5 * 1.04 / 2 ** (lg_k / 2))
@@ -43,19 +43,19 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key:
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", key: str = "doc_id", min_sites: int = 5,
-                min_chars: int = 20, lg_k: int = 12) -> DataFrame:
+                min_chars: int = 20, lg_k: int = 12, blanks: str = " ") -> DataFrame:
     """The input rows and columns, and `kept_text`, `n_lines`, `n_removed` (replaced if present).
 
     Boilerplate lines stay in the document with the least key that carries them and go from all others, so nothing is
-    lost from the corpus. Lines are cut at newline characters only. Null texts stay null with 0 lines; empty texts have
-    one empty line. Rows with the same key and text are treated alike; a row with a null key never is the first one,
+    lost from the corpus. Lines are cut at newline characters only and compared without the outer characters of `blanks`.
+    Null texts stay null with 0 lines; empty texts have one empty line. Rows with the same key and text are treated alike; a row with a null key never is the first one,
     and lines that only such rows carry stay.
     """
     cold = {"kept_text", "n_lines", "n_removed"}
     docs = docs.drop(*[c for c in docs.columns if c in cold])
-    drop = boilerplate(docs, text, site, key, min_sites, min_chars, lg_k)
+    drop = boilerplate(docs, text, site, key, min_sites, min_chars, lg_k, blanks)
     mine = F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("n"))
-    lines = F.transform(F.split(F.col(text), "\n"), lambda v, i: F.struct(i.alias("at"), line_key(v).alias("line")))
+    lines = F.transform(F.split(F.col(text), "\n"), lambda v, i: F.struct(i.alias("at"), line_key(v, blanks).alias("line")))
     at = (docs.select(mine.alias("row_key"), F.explode(F.filter(lines, lambda x: x["line"]["n"] >= min_chars)).alias("x"))
           .select("row_key", "x.at", "x.line"))
     gone = (at.join(drop.where(F.col("first").isNotNull()), "line")

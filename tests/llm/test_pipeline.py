@@ -29,3 +29,9 @@ def test_columns_named_like_those_of_the_mix_stay(spark):
     assert got.columns == docs.columns
     rows = got.collect()
     assert rows and set(rows) <= set(docs.collect())
+
+
+def test_line_ends_of_either_kind_are_one_line(spark):
+    rows = [(i, f"own {i}\n" + ["a common line", "a common line\r", "\ta common line "][i % 3] + f"\nend {i}", f"s{i}") for i in range(6)] + [(9, "a common line\r", "s1")]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.without_boilerplate(spark, documents(spark, rows), "").collect()}
+    assert got == {0: rows[0][1]} | {i: f"own {i}\nend {i}" for i in range(1, 6)}
