@@ -51,6 +51,10 @@ ENTRY_CLASSIFIED = [
     "CASE WHEN l_suppkey % 19 = 0 THEN NULL ELSE CAST(301000 + l_suppkey % 25 AS STRING) END AS cost_centre",
     "CASE WHEN l_discount = 0.02 THEN NULL ELSE CAST(floor(l_quantity * (l_partkey % 3) / 2) AS DOUBLE) END AS std_hours",
 ]
+# The raw entries of the whole job: some without an order, some without a day.
+JOB_ENTRY = [{"order_id": "CASE WHEN l_suppkey % 23 = 11 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS order_id",
+              "day": "CASE WHEN l_partkey % 29 = 3 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS day"}.get(e.rsplit(" AS ", 1)[1], e)
+             for e in ENTRY_BASE]
 # An inventory movement belongs to the main operation of a line's order, up to two days around the line.
 MOVEMENT = [
     "l_orderkey AS order_id",
@@ -71,6 +75,9 @@ MOVEMENT = [
     "CAST(l_quantity AS DOUBLE) AS kg_in",
     "CAST(l_partkey % 50 AS DOUBLE) AS kg_out",
 ]
+# The same movements before they know the process and operation of their order.
+JOB_MOVEMENT = ["CAST(l_orderkey AS STRING) AS order_id",
+                *[e for e in MOVEMENT if e.rsplit(" AS ", 1)[1] not in ("order_id", "parent_process", "op_text")]]
 LEDGER = [
     "o_orderkey AS ledger_id",
     "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING) AS period",
@@ -126,6 +133,14 @@ def rule_entries(spark: SparkSession, folder: str) -> DataFrame:
     return entries(spark, folder).selectExpr("*", "substr(centre_code, 1, 2) AS centre2")
 
 
+def job_entries(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").selectExpr(*JOB_ENTRY)
+
+
+def job_movements(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").selectExpr(*JOB_MOVEMENT)
+
+
 def movements(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").selectExpr(*MOVEMENT)
 
@@ -160,6 +175,8 @@ def select_sql(name: str, columns: list[str], source: str) -> str:
 
 TB_SQL = select_sql("tb", ENTRY_BASE, "lineitem")
 TE_SQL = select_sql("te", [*ENTRY_BASE, *ENTRY_CLASSIFIED], "lineitem")
+JB_SQL = select_sql("tb", JOB_ENTRY, "lineitem")
+JM_SQL = select_sql("mv0", JOB_MOVEMENT, "lineitem")
 MV_SQL = select_sql("mv", MOVEMENT, "lineitem")
 LG_SQL = select_sql("lg", LEDGER, "orders")
 DT_SQL = select_sql("dt", DOWNTIME, "events")

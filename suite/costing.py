@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+import re
+
 from pyspark.sql import functions as F
 
 from suite import bindings as B
@@ -15,7 +18,7 @@ from tallyworks.operators.joins import lookup
 from tallyworks.operators.sets import stack
 from tallyworks.plans.costing import distribute as D
 from tallyworks.plans.costing import downtime as T
-from tallyworks.plans.costing import job, masters, movements, quantities, rates
+from tallyworks.plans.costing import fact, job, masters, movements, quantities, rates
 from tallyworks.plans.costing import standard_hours as S
 from tallyworks.plans.costing.movements import GROUP_KEYS
 from tallyworks.sources.staging import staged
@@ -515,8 +518,8 @@ t1 AS (SELECT tb.* EXCLUDE (order_id, op_code, op_text, centre), CAST(order_id A
     coalesce(new_text, op_text) AS op_text, coalesce(new_centre, centre) AS centre
   FROM tb LEFT JOIN cr ON CAST(order_id AS VARCHAR) = substr(order_ref, 5) AND op_code = right('0' || old_code, 2)),
 pr0 AS (SELECT t1.*, substr(op_text, 1, 12) AS prefix12, process, CAST(rank AS INTEGER) AS process_rank FROM t1 LEFT JOIN pd ON substr(op_text, 1, 5) = pd.prefix5),
-mn AS (SELECT order_id, process AS parent0, row_number() OVER (PARTITION BY order_id ORDER BY process_rank NULLS LAST, process NULLS LAST, row_id) AS place FROM pr0),
-cl0 AS (SELECT pr0.*, parent0, specific_process, CASE WHEN centre IS NULL THEN 'OPERACION EXTERNA' WHEN centre = 'ACTIVIDADES SUPLEMENTARIAS' THEN centre
+mn AS (SELECT order_id, process AS parent0, op_text AS op0, row_number() OVER (PARTITION BY order_id ORDER BY process_rank NULLS LAST, process NULLS LAST, row_id) AS place FROM pr0),
+cl0 AS (SELECT pr0.*, parent0, CASE WHEN parent0 IS NOT NULL THEN op0 END AS main_operation, specific_process, CASE WHEN centre IS NULL THEN 'OPERACION EXTERNA' WHEN centre = 'ACTIVIDADES SUPLEMENTARIAS' THEN centre
     WHEN substr(specific_process, 1, 12) = 'ALISTAMIENTO' THEN 'ALISTAMIENTO' ELSE 'OPERACION' END AS op_class
   FROM pr0 JOIN mn ON pr0.order_id = mn.order_id AND place = 1 LEFT JOIN spx ON pr0.prefix12 = spx.prefix12),
 te AS (SELECT cl0.*, coalesce(parent0, op_class) AS parent_process, group_id, mount_order, cost_centre
@@ -534,14 +537,96 @@ SELECT te.row_id, te.order_id, te.process, te.parent_process, te.op_class, te.gr
   {', '.join(f'{H(chr(34) + c + chr(34) + " * hours", 4)} AS "{c} APLICADO"' for c in STANDARD_LABELS)}
 FROM te LEFT JOIN u ON te.row_id = u.row_id LEFT JOIN p ON te.period = p.period AND te.cost_centre = p.cost_centre""")
 def costing_job(spark, folder):
-    views = {n: B.table(spark, folder, n) for n in ("orders", "supplier")}
     entries = B.base_entries(spark, folder).withColumn("order_id", F.col("order_id").cast("string"))
-    given = job.Masters(
+    out = job.costed_entries(entries, _masters(spark, folder))
+    cost = [c for c in out.columns if c.startswith("COSTO ")]
+    return _hours(out, "order_id", "process", "parent_process", "op_class", "group_id", "cost_centre",
+                  *[half_up(F.col(f"`{c}`"), 4).alias(c) for c in cost])
+
+
+def _fact_masters(spark, folder):
+    """As the whole job's, without the code rows that name no order: keys are unique, and missing ones would all be one key."""
+    given = _masters(spark, folder)
+    return dataclasses.replace(given, groups=given.groups.filter(F.col("order_id").isNotNull()),
+                               corrections=given.corrections.filter(F.col("order_ref").isNotNull()))
+
+
+def _masters(spark, folder):
+    views = {n: B.table(spark, folder, n) for n in ("orders", "supplier")}
+    return job.Masters(
         spark.sql(CORRECTIONS.replace("FROM orders", "FROM {orders}"), orders=views["orders"]), B.processes(spark), B.specifics(spark),
         spark.sql(GROUPS_SQL.replace("FROM orders", "FROM {orders}"), orders=views["orders"]),
         spark.sql(CENTRES_SQL.replace("FROM supplier", "FROM {supplier}"), supplier=views["supplier"]), F.col("s_suppkey"),
         B.ledger(spark, folder), B.allocation_rules(spark))
-    out = job.costed_entries(entries, given)
+
+
+# The fact: raw entries, some without an order or a day, meet movements that take their order's process.
+
+FACT_TE = CLASSIFIED_CTE.replace(B.TB_SQL, B.JB_SQL).replace("FROM pr0 JOIN mn ON", "FROM pr0 LEFT JOIN mn ON")
+FACT_SEGMENTS = re.sub(r"\bnear(?=[01]?\b)", "seg_near", PARTS_CTE)
+FACT_CTE = f"""{FACT_TE}, {B.JM_SQL},
+mains AS (SELECT DISTINCT order_id, parent0 AS parent_process, main_operation AS op_text FROM te WHERE main_operation IS NOT NULL),
+mv AS (SELECT mv0.*, parent_process, op_text FROM mv0 LEFT JOIN mains USING (order_id)),
+{MEASURE_CTES.removeprefix(B.MV_SQL + ", ")}, {TOTALS_CTE}, {re.sub(r"\bdr\b", "nc_rejected", NC_CTE)}, {FACT_SEGMENTS},
+copied AS (SELECT row_id, day FROM near UNION ALL SELECT row_id, day FROM seg_near),
+tx AS (SELECT row_id, order_id, group_id, mount_order, day, hours, abs_base_hours, prefix12 FROM te
+  UNION ALL SELECT copied.row_id, order_id, group_id, mount_order, copied.day, NULL, NULL, prefix12 FROM copied
+    JOIN te ON te.row_id = regexp_replace(copied.row_id, '_[01]_[0-9]+$', '')),
+{OPERATION_CTE}, {MOUNTING_CTE.replace("FROM te WHERE", "FROM tx WHERE")}, {TUNING_CTE}, {CHANGE_CTE},
+u AS (SELECT row_id, std_hours FROM h_mt UNION SELECT row_id, std_hours FROM h_tu UNION SELECT row_id, std_hours FROM h_cd
+      UNION SELECT row_id, std_hours FROM h_io UNION SELECT row_id, std_hours FROM h_op), {JOB_RATES},
+kgs AS (SELECT row_id, order_id, parent_process, day, entry_day, {_min_count('share * scrap_other', 'share * scrap_shaped')} AS kg_scrap,
+    {_min_count('share * used_extrusion', 'share * used_recycled', 'share * used_other')} AS kg_used, share * cake AS kg_cake FROM parts),
+znc AS (SELECT row_id, order_id, parent_process, day, entry_day, CASE WHEN {SHAPED} THEN CASE WHEN order_done > 0 THEN {UNIT_LOSS} * qty_rejected ELSE 0 END
+       WHEN kg_nc > 0 AND day_rejected = 0 THEN kg_nc * factor
+       WHEN kg_nc > 0 AND day_rejected > 0 THEN qty_rejected / nullif(day_rejected, 0) * kg_nc END AS nc_kg FROM z),
+fx AS (SELECT te.row_id, te.order_id, te.parent_process, te.day, NULL AS mark, te.hours, u.std_hours, nc_kg, kg_scrap, kg_used, kg_cake, te.cost_centre, te.base_hours,
+    te.centre_code, te.method FROM te LEFT JOIN u ON u.row_id = te.row_id LEFT JOIN znc ON znc.row_id = te.row_id AND znc.entry_day IS NULL
+    LEFT JOIN kgs ON kgs.row_id = te.row_id AND kgs.entry_day IS NULL
+  UNION ALL SELECT row_id, order_id, parent_process, day, CASE WHEN row_id IS NOT NULL THEN '1' END, NULL, NULL, nc_kg, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM znc
+    WHERE row_id IS NULL OR entry_day IS NOT NULL
+  UNION ALL SELECT row_id, order_id, parent_process, day, '0', NULL, NULL, NULL, kg_scrap, kg_used, kg_cake, NULL, NULL, NULL, NULL FROM kgs WHERE entry_day IS NOT NULL)"""
+
+
+@query("costing_fact", f"""
+WITH {FACT_CTE}
+SELECT row_id, order_id, parent_process, CAST(day AS VARCHAR) AS day, strftime(day, '%Y%m') AS period, mark, fx.hours, {H('std_hours')} AS std_hours,
+  {', '.join(f'{H(c)} AS {c}' for c in ('nc_kg', 'kg_scrap', 'kg_used', 'kg_cake'))},
+  {', '.join(f'{H(chr(34) + c + chr(34) + " * fx.hours", 4)} AS "{c}"' for c in REAL_LABELS)},
+  {', '.join(f'{H(chr(34) + c + chr(34) + " * std_hours", 4)} AS "{c}"' for c in STANDARD_LABELS)},
+  {', '.join(f'{H(chr(34) + c + chr(34) + " * fx.hours", 4)} AS "{c} APLICADO"' for c in STANDARD_LABELS)}
+FROM fx LEFT JOIN p ON strftime(day, '%Y%m') = p.period AND fx.cost_centre = p.cost_centre""")
+def costing_fact(spark, folder):
+    out = fact.costing_fact(B.job_entries(spark, folder), B.job_movements(spark, folder), _fact_masters(spark, folder))
     cost = [c for c in out.columns if c.startswith("COSTO ")]
-    return _hours(out, "order_id", "process", "parent_process", "op_class", "group_id", "cost_centre",
-                  *[half_up(F.col(f"`{c}`"), 4).alias(c) for c in cost])
+    return out.select("row_id", "order_id", "parent_process", F.col("day").cast("string").alias("day"), "period", "mark", "hours",
+                      *[half_up(F.col(c), 6).alias(c) for c in ("std_hours", "nc_kg", "kg_scrap", "kg_used", "kg_cake")],
+                      *[half_up(F.col(f"`{c}`"), 4).alias(c) for c in cost])
+
+
+FACT_DOWNTIME = (DOWNTIME_CTE.replace("substr(centre_code, 1, 2) AS centre2", "substr(centre_code, 1, 2) AS centre2, strftime(day, '%Y%m') AS period")
+                 .replace("FROM te WHERE base_hours IS NOT NULL", "FROM fx WHERE mark IS NULL AND row_id IS NOT NULL AND base_hours IS NOT NULL")
+                 .replace(B.DT_SQL, B.DT_SQL.replace("CAST(floor(event_id / 3) AS BIGINT) AS order_id", "CAST(CAST(floor(event_id / 3) AS BIGINT) AS VARCHAR) AS order_id")))
+
+
+@query("costing_concepts", f"""
+WITH {FACT_CTE}, {FACT_DOWNTIME},
+lk AS (SELECT row_id, day, cost_centre FROM te),
+g AS (SELECT row_id, arg_min(hours, coalesce(code, '~') || lpad(coalesce(CAST(downtime_id AS VARCHAR), '0'), 12, '0')) AS h,
+    arg_min(std_hours, coalesce(code, '~') || lpad(coalesce(CAST(downtime_id AS VARCHAR), '0'), 12, '0')) AS s,
+    arg_min(downtime_group, coalesce(code, '~') || lpad(coalesce(CAST(downtime_id AS VARCHAR), '0'), 12, '0')) AS grp,
+    coalesce(sum(allocated_hours), 0) AS d FROM alc GROUP BY row_id),
+c AS (SELECT row_id, 'ESTANDAR' AS downtime_group, '000-HORAS ESTANDAR' AS concept, s AS v FROM g
+  UNION ALL SELECT row_id, 'INCREMENTO DE EFICIENCIA', '998-INCREMENTO DE EFICIENCIA O ESTANDAR INCORRECTO', h - s FROM g WHERE h < s OR h - s < d
+  UNION ALL SELECT row_id, 'AJUSTES', '997-AJUSTE REGISTRO DE PAROS SUP A LA DIFERENCIA EST VS REAL', -d FROM g WHERE h < s OR h - s < d
+  UNION ALL SELECT row_id, 'INEFICIENCIA NO JUSTIFICADA', '999-INEFICIENCIA NO JUSTIFICADA', h - s - d FROM g WHERE NOT (h < s OR h - s < d)
+  UNION ALL SELECT row_id, grp, downtime, allocated_hours FROM alc JOIN g USING (row_id) WHERE downtime IS NOT NULL)
+SELECT c.row_id, downtime_group, concept, {H('v')} AS concept_hours, {', '.join(f'{H(chr(34) + n + chr(34) + " * v", 4)} AS "{n}"' for n in REAL_LABELS)}
+FROM c JOIN lk USING (row_id) LEFT JOIN p ON strftime(lk.day, '%Y%m') = p.period AND lk.cost_centre = p.cost_centre""")
+def costing_concepts(spark, folder):
+    rows = fact.costing_fact(B.job_entries(spark, folder), B.job_movements(spark, folder), _fact_masters(spark, folder), ["base_hours", "centre_code", "method"])
+    rules = masters.downtime_rules(B.downtime_classes(spark))
+    records = masters.downtime_records(B.downtime(spark, folder).withColumn("order_id", F.col("order_id").cast("string")), rules)
+    out = fact.costing_concepts(rows.withColumn("centre2", F.substring("centre_code", 1, 2)), records, B.RULE_NAMES)
+    return out.select("row_id", "downtime_group", "concept", half_up(F.col("concept_hours"), 6).alias("concept_hours"),
+                      *[half_up(F.col(f"`{c}`"), 4).alias(c) for c in out.columns if c.startswith("COSTO ")])
