@@ -18,7 +18,7 @@ from tallyworks.plans import report as R
 from tallyworks.plans import scoring as SC
 from tallyworks.plans.rules import CATEGORIES, CODES, CRITERIA, RULES, TOTAL_WEIGHT
 from tallyworks.session import shared_folder
-from tallyworks.sources import delimited, messages, sinks
+from tallyworks.sources import delimited, messages, sinks, split_records
 from tallyworks.sources import files as FL
 from tallyworks.sources.staging import staged
 
@@ -161,6 +161,22 @@ def attachment_explode(spark, folder):
     return rows.withColumn("becomes_input", F.col("is_data") & F.col("size_kb").isNotNull())
 
 
+# Quoted records with breaks inside, written as one folder of files and read back in splits.
+SAID = "concat(replace(replace(coalesce(text, ''), '. ', concat('.\"', chr(10), '\"')), ', ', ',\"\",'), CASE doc_id % 5 WHEN 0 THEN '\"' WHEN 1 THEN concat(chr(13), chr(10)) ELSE '' END)"
+
+
+@query("quoted_files", f"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(lang, '') AS lang, length({SAID}) AS n_chars, md5({SAID}) AS said FROM documents""")
+def quoted_files(spark, folder):
+    docs = table(spark, folder, "documents").selectExpr("doc_id", "coalesce(lang, '') AS lang", f"{SAID} AS said")
+    quoted = F.concat(F.lit('"'), F.replace("said", F.lit('"'), F.lit('""')), F.lit('"'))
+    path = f"{shared_folder(spark)}/quoted-{uuid.uuid4().hex}"
+    docs.select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted, "lang")).write.text(path)
+    fields = split_records.split_cells(split_records.split_records(spark, path, ",")).select("fields")
+    return fields.select(F.col("fields")[0].alias("doc_id"), F.col("fields")[2].alias("lang"), F.length(F.col("fields")[1]).alias("n_chars"),
+                         F.md5(F.col("fields")[1]).alias("said"))
+
+
 # Profiles of a wide table: events as text with gaps, next to typed columns.
 PROFILED = [
     "CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS person",
