@@ -13,6 +13,7 @@ from tallyworks.functions.numbers import half_up
 from tallyworks.operators.ranking import sort_rows, top_and_bottom
 from tallyworks.operators.sets import stack
 from tallyworks.plans import profiling as PF
+from tallyworks.plans import mail_job as MJ
 from tallyworks.plans import quality_job as QJ
 from tallyworks.plans import report as R
 from tallyworks.plans import scoring as SC
@@ -732,3 +733,46 @@ def _job(spark, folder):
     # A byte that is no UTF-8 makes a file Latin-1; its other bytes are then read one by one, so such files are plain.
     content = F.when(F.col("doc_id") % 6 == 1, F.encode(F.concat("body", F.lit("é")), "ISO-8859-1")).otherwise(plain)
     return QJ.scored_files(files.withColumn("content", content).drop("body", "doc_id"))
+
+
+# The mail job: files of a folder together with the data attachments of its messages, errors apart.
+MAIL_FILE = [{"subject": "'' AS subject", "sender": "'' AS sender", "message_date": "CAST(NULL AS STRING) AS message_date", "origin": "'directo' AS origin"}.get(
+    e.rsplit(" AS ", 1)[1], e) for e in JOB_FILE]
+MAIL = {
+    "message": "concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING), '.msg')",
+    "subfolder": "CASE WHEN conv_id % 2 = 0 THEN '.' ELSE 'correos' END",
+    "subject": "CASE WHEN role = 'system' THEN NULL WHEN turn % 3 = 0 THEN '' ELSE concat('pedido ', role) END",
+    "sender": "CASE WHEN conv_id % 3 <> 0 THEN concat('u', CAST(conv_id AS STRING), '@correo.example') END",
+    "date": "CASE WHEN turn % 2 <> 0 THEN CAST(turn AS STRING) END",
+}
+# Name and content of a message's attachments; the third is the same in every message.
+ATTACHED = [("concat('datos ', CAST(turn AS STRING), ' 2024-01-05.CSV')",
+             "CASE WHEN conv_id % 10 = 4 THEN chr(10) ELSE concat('fecha;cliente;valor', chr(10), replace(replace(coalesce(text, ''), '\"', ''), ', ', ';')) END"),
+            ("''", "text"), ("'copia.txt'", "concat('sku,cliente', chr(10), '1,2', chr(10))"), ("'vacio.csv'", "''")]
+MAIL_SQL = " UNION ALL ".join(
+    f"""SELECT NULL AS doc_id, concat('correo/', {MAIL['message']}, '#{i}') AS path, {name} AS name, {MAIL['subfolder']} AS subfolder,
+  coalesce(nullif({MAIL['subject']}, ''), '(sin asunto)') AS subject, coalesce({MAIL['sender']}, '?') AS sender, coalesce({MAIL['date']}, '?') AS message_date,
+  NULL AS mtime, 'adjunto' AS origin, '{('csv', '', 'txt')[i]}' AS format, {body} AS body0, {MAIL['message']} AS parent_message FROM conversations"""
+    for i, (name, body) in enumerate(ATTACHED) if i in (0, 2))
+MAIL_CTE = (JOB_CTE.replace(f"fi AS (SELECT doc_id, {', '.join(JOB_FILE)}, {JOB_BODY} AS body0 FROM documents)",
+                            f"fi AS (SELECT doc_id, {', '.join(MAIL_FILE)}, {JOB_BODY} AS body0, NULL AS parent_message FROM documents UNION ALL {MAIL_SQL})")
+            .replace("gn AS (SELECT grp, CAST(count(*) AS INTEGER) AS group_files FROM g0 GROUP BY grp)",
+                     "gn AS (SELECT grp, count(*) FILTER (origin = 'directo') AS direct_files, count(*) FILTER (NOT unread) AS group_results FROM g0 GROUP BY grp)")
+            .replace("origin, format, g0.grp, group_files,", "origin, format, parent_message, g0.grp, CASE WHEN origin = 'directo' THEN direct_files ELSE 0 END AS group_files, group_results,")
+            .replace(f"CAST({LEVEL_SQL['E']} AS INTEGER)", f"CAST({LEVEL_SQL['E'].replace('group_files', 'group_results')} AS INTEGER)"))
+
+
+@query("mail_job", f"""
+WITH {MAIL_CTE} SELECT 'file' AS kind, path AS input_id, name, parent_message, origin, grp AS "group", sheets, {H('similarity')} AS similarity, NULL AS error,
+  {', '.join(LEVEL_NAMES)}, score, category FROM sc WHERE error IS NULL
+UNION ALL SELECT 'error', path, name, parent_message, origin, grp, NULL, NULL, error, {', '.join('NULL' for _ in LEVEL_NAMES)}, NULL, NULL FROM sc WHERE error IS NOT NULL""")
+def mail_job(spark, folder):
+    files = table(spark, folder, "documents").selectExpr("doc_id", *MAIL_FILE, f"{JOB_BODY} AS body")
+    content = F.when(F.col("doc_id") % 6 == 1, F.encode(F.concat("body", F.lit("é")), "ISO-8859-1")).otherwise(F.encode("body", "UTF-8"))
+    attachments = ", ".join(f"struct({name} AS name, CAST({body} AS BINARY) AS data)" for name, body in ATTACHED)
+    mails = table(spark, folder, "conversations").selectExpr(
+        *[f"{v} AS {k}" for k, v in MAIL.items()], f"concat('correo/', {MAIL['message']}) AS path", f"array({attachments}) AS attachments")
+    scored, errors = MJ.mail_job(files.withColumn("content", content).drop("body", "doc_id"), mails)
+    rows = scored.select(F.lit("file").alias("kind"), "input_id", "name", "parent_message", "origin", "group", "sheets", half_up(F.col("similarity"), 6).alias("similarity"),
+                         *LEVEL_NAMES, "score", "category")
+    return stack([rows, errors.select(F.lit("error").alias("kind"), "input_id", "name", "parent_message", "origin", "group", "error")])

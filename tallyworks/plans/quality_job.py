@@ -23,24 +23,33 @@ def file_facts(files: DataFrame, prefixes: Sequence[tuple[str, str]] = ()) -> Da
     and content (bytes of a delimited file). A file without any record counts as unreadable. Workbook features that
     delimited files cannot have (formulas, merges, tables, pivots, passwords) are absent.
     """
-    cells = staged(file_cells(files), "cells")
+    metrics = content_metrics(files, "path")
+    known = with_metrics(files.drop("content"), metrics, "path").withColumn("group", PF.infer_group(F.col("path"), F.col("subfolder"), prefixes))
+    facts = staged(known, "facts")
+    alike = PF.schema_consistency(facts.filter(F.size("columns") > 0), "group", ["path"]).select("group", "similarity")
+    groups = sized_groups(facts, ["group"], [F.count(F.lit(1)).cast("int").alias("group_files")]).join(alike, "group", "left")
+    return attach(facts, groups, ["group"], slot_by=["path"])
+
+
+def content_metrics(contents: DataFrame, key: str) -> DataFrame:
+    """What the rules ask of each content, by its key; contents without any record have no row."""
+    cells = staged(file_cells(contents, key), "cells")
     sheets, body = PF.promote_header(cells)
     sheets, body = staged(sheets, "sheets"), staged(body, "body")
     metrics = PF.file_metrics(PF.sheet_summary(sheets, body, infer=False), PF.column_profile(sheets, body, infer=False))
-    metrics = metrics.withColumnRenamed("file", "path")
-    known = files.drop("content").join(metrics, "path", "left")
+    return metrics.withColumnRenamed("file", key)
+
+
+def with_metrics(files: DataFrame, metrics: DataFrame, key: str) -> DataFrame:
+    """Files with the metrics of their content; a file without metrics is unreadable, workbook features are absent."""
+    known = files.join(metrics, key, "left")
     counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in
               ("sheets", "sheets_with_data", "blank_sheets", "header_ok", "leading_blank", "total_columns", "mixed")}
     absent = {"merged": F.lit(0), "formulas": F.lit(0), "has_pivot": F.lit(False), "has_table": F.lit(False), "has_password": F.lit(False)}
-    known = known.withColumns({
+    return known.withColumns({
         **counts, **absent, "error": F.when(F.col("sheets").isNull(), F.lit(UNREADABLE)), "num_sheets": counts["sheets"],
         "mean_clean": F.coalesce("mean_clean", F.lit(0.0)), "has_date_column": F.coalesce("has_date_column", F.lit(False)),
-        "columns": F.coalesce("columns", F.array().cast("array<string>")), "from_mail": F.col("origin") == "adjunto",
-        "group": PF.infer_group(F.col("path"), F.col("subfolder"), prefixes)})
-    facts = staged(known, "facts")
-    alike = PF.schema_consistency(facts.filter(F.size("columns") > 0), "group", ["path"]).select("group", "similarity")
-    groups = sized_groups(facts, ["group"], [F.count(F.lit(1)).cast("int").alias("group_files")]).join(alike, "group", "left")
-    return attach(facts, groups, ["group"], slot_by=["path"])
+        "columns": F.coalesce("columns", F.array().cast("array<string>")), "from_mail": F.col("origin") == "adjunto"})
 
 
 def scored_files(files: DataFrame, prefixes: Sequence[tuple[str, str]] = ()) -> DataFrame:

@@ -75,8 +75,11 @@ def text_features() -> dict[str, Column]:
     }
 
 
-def level_columns() -> dict[str, Column]:
-    """Level of each rule from a file row and its text features; the first case that holds counts."""
+def level_columns(compared: str = "group_files") -> dict[str, Column]:
+    """Level of each rule from a file row and its text features; the first case that holds counts.
+
+    `compared` is the column with the number of files of the group whose columns were compared.
+    """
     merged, mixed, blank = F.col("merged"), F.col("mixed"), F.col("leading_blank")
     pivot, table = F.col("has_pivot"), F.col("has_table")
     with_data, n_sheets = F.col("sheets_with_data"), F.col("num_sheets")
@@ -92,7 +95,7 @@ def level_columns() -> dict[str, Column]:
         "C": _first((F.col("has_date_column"), 0), (F.col("_period_column"), 1), (dated & F.col("_mostly_date"), 3),
                     (dated, 4), otherwise=5),
         "D": _first((F.col("group_files") >= 3, 0), (F.col("from_mail"), 2), otherwise=1),
-        "E": F.when((F.col("group_files") > 1) & F.col("similarity").isNotNull(),
+        "E": F.when((F.col(compared) > 1) & F.col("similarity").isNotNull(),
                     graded(F.col("similarity"), SIMILARITY_LEVELS, UNUSABLE)).otherwise(clean_level),
         "F": _first((F.col("from_mail"), 2), (F.col("subfolder") != ".", 1), otherwise=3),
         "G": _first((F.col("has_password"), 0), (_given("error") & (F.col("sheets") == 0), 10), (_given("error"), 2),
@@ -111,7 +114,7 @@ def level_columns() -> dict[str, Column]:
     }
 
 
-def rule_levels(files: DataFrame) -> DataFrame:
+def rule_levels(files: DataFrame, compared: str = "group_files") -> DataFrame:
     """The file rows with one level column per rule.
 
     Columns used: name, subject, sender, message_date, mtime, subfolder, group, group_files,
@@ -120,7 +123,7 @@ def rule_levels(files: DataFrame) -> DataFrame:
     header_ok, mean_null.
     """
     texts, features = lowered_texts(), text_features()
-    levels = {f"level_{c}": level.cast("int") for c, level in level_columns().items()}
+    levels = {f"level_{c}": level.cast("int") for c, level in level_columns(compared).items()}
     return (files.withColumns(texts).withColumns(features).drop(*texts)
             .withColumns(levels).drop(*features))
 

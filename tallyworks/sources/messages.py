@@ -36,3 +36,20 @@ def attachment_inputs(attachments: DataFrame) -> DataFrame:
         F.lit("(en correo)").alias("path"), F.col("attachment").alias("name"), "extension", "size_kb",
         F.lit("adjunto").alias("origin"), F.col("message").alias("parent_message"), "subject", "sender",
         F.col("date").alias("message_date"))
+
+
+def attachment_contents(messages: DataFrame, data: Sequence[str] = DATA_EXTENSIONS) -> DataFrame:
+    """Data attachments with content as inputs of their own: what `attachment_inputs` lists, with bytes and lineage.
+
+    `messages` also holds `subfolder`. `input_id` names the message's path and the attachment's place in it.
+    """
+    rows = messages.select("message", "path", "subfolder", "subject", "sender", "date", F.posexplode("attachments").alias("_at", "_a"))
+    name = F.coalesce(F.nullif(F.col("_a.name"), F.lit("")), F.lit(NO_NAME))
+    taken = rows.filter(extension(name).isin(*data) & (F.octet_length("_a.data") > 0))
+    return taken.select(
+        F.concat("path", F.lit("#"), F.col("_at").cast("string")).alias("input_id"), F.lit("(en correo)").alias("path"), name.alias("name"), "subfolder",
+        F.coalesce(F.nullif(F.col("subject"), F.lit("")), F.lit(NO_SUBJECT)).alias("subject"),
+        F.coalesce(F.nullif(F.col("sender"), F.lit("")), F.lit(NO_SENDER)).alias("sender"),
+        F.coalesce(F.col("date").cast("string"), F.lit(NO_DATE)).alias("message_date"), F.lit(None).cast("string").alias("mtime"),
+        F.lit("adjunto").alias("origin"), F.col("message").alias("parent_message"), F.ltrim(extension(name), F.lit(".")).alias("format"),
+        F.col("_a.data").alias("content"))
