@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from suite.registry import query, table
+from suite.registry import SQL, query, table
 from tallyworks.operators.ranking import number_records
 from tallyworks.operators.sets import stack
 from tallyworks.plans import fixedwidth as X
 from tallyworks.plans import matrix as M
 from tallyworks.plans.matrix import MATRIX
+from tallyworks.session import shared_folder
+from tallyworks.sources import sinks
 
 # Customer columns in the roles of the record fields; faults are spread over the customers.
 FIELDS = {
@@ -213,3 +217,28 @@ def fixed_width_render(spark, folder):
     keyed = X.drop_blank_rows(filled, [c for c in filled.columns if c != "c_custkey"])
     numbered = number_records(keyed, "c_custkey", "number")
     return X.render_records(numbered, places, "number").withColumn("warnings", F.array_join("warnings", "; "))
+
+
+ACCENTED_NAME = {n: e.replace("c_name", "replace(c_name, 'Customer', 'Cuñtóme€')") for n, e in PLACED.items()}
+
+
+def _accented(sql: str) -> str:
+    for n, e in PLACED.items():
+        sql = sql.replace(f"{e} AS {n}", f"{ACCENTED_NAME[n]} AS {n}")
+    return sql
+
+
+@query("fixed_width_file", f"""
+WITH r AS ({_accented(SQL["fixed_width_render"])}), {LAYOUT_CTE}
+SELECT r.number, ly.name, substr(r.line, ly.start::INT, ly.size::INT) AS value FROM r, ly""")
+def fixed_width_file(spark, folder):
+    """The rendered records written in cp1252, read back by their places."""
+    places = X.read_layout(measured_layout(spark, folder))
+    rows = table(spark, folder, "customer").selectExpr("c_custkey", *[f"{e} AS `{n.capitalize()}`" for n, e in ACCENTED_NAME.items()])
+    numbered = number_records(rows.filter("c_custkey % 13 <> 0"), "c_custkey", "number")
+    path = f"{shared_folder(spark)}/fixed-{uuid.uuid4().hex}"
+    sinks.write_fixed_width(X.render_records(numbered, places, "number"), path, "cp1252")
+    length = max(p.start + p.width - 1 for p in places)
+    back = sinks.read_fixed_width(spark, path, [(p.name, p.start, p.width) for p in places], length)
+    fields = F.array(*[F.struct(F.lit(p.name).alias("name"), F.col(f"`{p.name}`").alias("value")) for p in places])
+    return back.select(F.col("F_NUMERO_REG").cast("long").alias("number"), F.explode(fields).alias("_f")).select("number", "_f.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from suite import bindings as B
@@ -11,10 +13,11 @@ from tallyworks.functions.numbers import half_up
 from tallyworks.functions.strings import prefix
 from tallyworks.operators.groups import attach, attach_group_values, group_sum, sized_groups
 from tallyworks.operators.joins import prefix_lookup
-from tallyworks.operators.ranking import number_records, sort_rows
+from tallyworks.operators.ranking import number_in_input_order, number_records, sort_rows
 from tallyworks.operators.sets import common_keys, distinct_values, stack, with_partner
 from tallyworks.plans.costing import classify, masters
 from tallyworks.plans.costing.rates import hours_by_period_centre
+from tallyworks.session import shared_folder
 from tallyworks.sources.tables import cast_columns
 
 
@@ -239,6 +242,19 @@ def record_numbering(spark, folder):
     return number_records(rows, "id").withColumn("source_row", F.col("record_number") + 1)
 
 
+@query("input_order_numbering", """
+SELECT c_custkey AS id, row_number() OVER (ORDER BY c_custkey % 5, md5(CAST(c_custkey AS VARCHAR))) AS record_number,
+       row_number() OVER (ORDER BY c_custkey % 5, md5(CAST(c_custkey AS VARCHAR))) + 1 AS source_row FROM customer""")
+def input_order_numbering(spark, folder):
+    """Five files whose rows stand in an order that no key shows, numbered as they stand."""
+    path = f"{shared_folder(spark)}/numbered-{uuid.uuid4().hex}"
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 5).cast("int").alias("file"))
+    order = F.md5(F.col("id").cast("string"))
+    rows.repartition(5, "file").sortWithinPartitions("file", order).write.partitionBy("file").parquet(path)
+    numbered = number_in_input_order(spark.read.parquet(path))
+    return numbered.select("id", "record_number", (F.col("record_number") + 1).alias("source_row"))
+
+
 @query("multi_key_sort", f"""
 WITH {B.TB_SQL} SELECT order_id, method, row_id, hours FROM tb ORDER BY order_id, method DESC NULLS LAST, row_id""")
 def multi_key_sort(spark, folder):

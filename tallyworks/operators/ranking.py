@@ -58,3 +58,18 @@ def number_records(df: DataFrame, key: str, name: str = "record_number", start:
     return (blocked.withColumn("_inside", inside).join(offsets, "_block")
             .withColumn(name, (F.col("_offset") + F.col("_inside") + (start - 1)).cast("long"))
             .select(*df.columns, name))
+
+
+def number_in_input_order(scan: DataFrame, name: str = "record_number", start: int = 1) -> DataFrame:
+    """Consecutive numbers in the order of the input: files by path, then rows as they stand in their file.
+
+    `scan` is a frame as a file reader gives it, without filters. Every task counts along its splits; a split's offset is
+    the number of rows in the splits before it (one small row a split), so no row is sorted or shuffled for its number.
+    """
+    placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+                         F.monotonically_increasing_id().alias("_place"))
+    splits = placed.groupBy("_file", "_split").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("_file", "_split", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return placed.join(offsets, ["_file", "_split"]).select(
+        *scan.columns, (F.col("_place") - F.col("_first") + F.col("_offset") + start).cast("long").alias(name))

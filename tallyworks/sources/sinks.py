@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The characters that cp1252 has besides ASCII and Latin-1.
@@ -37,3 +37,22 @@ def write_fixed_width(lines: DataFrame, path: str, encoding: str = "UTF-8", line
                   ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))
     finally:
         conf.set(ANY_CHARSET, before)
+
+
+def from_cp1252(content: Column) -> Column:
+    """The text of cp1252 bytes."""
+    return F.translate(F.decode(content, "ISO-8859-1"), CP1252_ONLY.encode("cp1252").decode("latin-1"), CP1252_ONLY)
+
+
+def read_fixed_width(spark: SparkSession, path: str, places: Sequence[tuple[str, int, int]], length: int, end: int = 2) -> DataFrame:
+    """Positional records as one text column for each (name, start from 1, width), read as they were written in cp1252.
+
+    A file is cut at multiples of the record's bytes (`length` and the line end), wherever its splits lie, and a field by
+    its byte place; so a line break inside a field does no harm. A file of another size is refused. Fields keep their blanks.
+    """
+    size = length + end
+    odd = spark.read.format("binaryFile").load(path).select("path", "length").filter(F.col("length") % size != 0).limit(1).collect()
+    if odd:
+        raise ValueError(f"{odd[0]['path']} has {odd[0]['length']} bytes, no multiple of {size}")
+    records = spark.sparkContext.binaryRecords(path, size).map(lambda record: (bytes(record),)).toDF("record binary")
+    return records.select(*[from_cp1252(F.substring("record", start, width)).alias(name) for name, start, width in places])
