@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.arrays import similarity
 from tallyworks.functions.numbers import half_up, is_number, round_exact, round_scaled
 from tallyworks.functions.patterns import DATE_COLUMN, FULL_DATE_IN_NAME, is_clean_name, mentions
 from tallyworks.functions.strings import joined, strip
@@ -270,11 +269,24 @@ def group_membership(files: DataFrame, group: str = "group", path: str = "path")
 
 def schema_consistency(sheets: DataFrame, group: str, order: Sequence[str], columns: str = "columns",
                        hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Per group the mean similarity of each sheet's column set to that of the group's first sheet."""
-    first = sheets.groupBy(group).agg(
-        F.min_by(F.col(columns), F.struct(*order)).alias("_reference"), F.count(F.lit(1)).alias("_group_rows"))
-    compared = attach(sheets, first.drop("_group_rows"), [group], hot_rows=hot_rows, sizes=first.select(group, "_group_rows"),
-                      slot_by=list(order))
-    return compared.groupBy(group).agg(
-        F.count(F.lit(1)).alias("sheets"),
-        F.avg(similarity(F.col(columns), F.col("_reference"))).alias("similarity"))
+    """Per group the mean similarity of each sheet's column set to that of the group's first sheet.
+
+    Equal sets of a group count once, with their number. Common columns are counted by joining the postings (group,
+    column) of the sets with those of the reference, so no sheet carries the reference's list.
+    """
+    reference = sheets.groupBy(group).agg(F.min(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.col(columns).alias("_columns")))["_columns"].alias("_reference"))
+    wanted = reference.select(group, F.explode(F.array_distinct("_reference")).alias("_column"), F.lit(True).alias("_hit"))
+    sizes = reference.select(group, F.size(F.array_distinct("_reference")).alias("_wanted"))
+    sets = sheets.groupBy(group, F.array_sort(F.array_distinct(F.col(columns))).alias("_set")).agg(F.count(F.lit(1)).alias("_sheets"))
+    sets = sets.withColumns({"_a": F.xxhash64("_set"), "_b": F.xxhash64(F.lit(1), "_set")})
+    postings = sets.select(group, "_a", "_b", F.explode("_set").alias("_column"))
+    busy = postings.groupBy(group, "_column").agg(F.count(F.lit(1)).alias("_group_rows"))
+    hits = attach(postings, wanted, [group, "_column"], "inner", null_safe=True, hot_rows=hot_rows, sizes=busy, slot_by=["_a", "_b"])
+    found = hits.groupBy(F.col(group).alias("_group"), F.col("_a").alias("_ha"), F.col("_b").alias("_hb")).agg(F.count(F.lit(1)).alias("_common"))
+    met = sets.select(group, "_a", "_b", "_sheets", F.size("_set").alias("_size"))
+    met = met.join(found, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_a") == F.col("_ha")) & (F.col("_b") == F.col("_hb")), "left")
+    sized = sizes.withColumnRenamed(group, "_of")
+    met = met.join(sized, F.col(group).eqNullSafe(F.col("_of")))
+    common = F.coalesce("_common", F.lit(0))
+    alike = common / F.greatest(F.col("_size") + F.col("_wanted") - common, F.lit(1))
+    return met.groupBy(group).agg(F.sum("_sheets").alias("sheets"), (F.sum(alike * F.col("_sheets")) / F.sum("_sheets")).alias("similarity"))

@@ -185,3 +185,20 @@ def test_cells_of_mixed_files(spark):
     even = spark.createDataFrame([("g", bytearray(b'x;"n""o;m"\n;1\n2;NA;9\n3;"l1\nl2"\r\nz'))], "path string, content binary")
     fields = even.select(F.transform(records_of(F.col("content").cast("string")), lambda r: fields_of(r, F.lit(";")))).first()[0]
     assert fields == [["x", 'n"o;m'], ["", "1"], ["2", "NA", "9"], ["3", "l1\nl2"], ["z"]]
+
+
+def test_schema_consistency_of_wide_sheets_as_sets(spark):
+    import random
+
+    from tallyworks.plans.profiling import schema_consistency
+
+    rnd = random.Random(8)
+    wide = [f"c{i}" for i in range(10_000)]
+    rows = [("a", i, rnd.sample(wide, rnd.choice([9_000, 10_000]))) for i in range(6)] + [("a", 9, ["x", "x", "c1"]), ("a", 10, ["x", "x", "c1"])]
+    rows += [("b", 2, []), ("b", 1, []), ("c", 1, ["q", None]), ("c", 2, [None]), (None, 1, ["z"])]
+    got = schema_consistency(spark.createDataFrame(rows, "g string, at int, columns array<string>"), "g", ["at"]).collect()
+    for r in got:
+        own = sorted(((at, set(c)) for g, at, c in rows if g == r["g"]), key=lambda x: x[0])
+        want = [len(c & own[0][1]) / max(len(c | own[0][1]), 1) for _, c in own]
+        assert r["sheets"] == len(own) and abs(r["similarity"] - sum(want) / len(want)) < 1e-12
+    assert {r["g"] for r in got} == {"a", "b", "c", None}
