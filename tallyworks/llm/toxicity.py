@@ -16,14 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import TwoAges, over_texts, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, merged, pieces
 
-#: Examples in a block of the index; words whose terms a task remembers.
-BLOCK, KEPT = 64, 400_000
+#: Examples in a block of the index; words whose terms a task remembers (twice as many at most); texts counted at once.
+BLOCK, KEPT, SLICE = 64, 100_000, 256
 #: Texts searched at once, and common words whose weights are held as a dense matrix.
 AT_ONCE, DENSE = 64, 256
 EDGE = ".,;:!?\"'()[]{}<>*$%&#-_/"
@@ -77,41 +78,42 @@ def choose_terms(sample: DataFrame, max_terms: int, least: float = 25.0, min_doc
             .where(F.col("chi") >= least).orderBy(F.desc("chi"), "term").limit(max_terms).select("term").collect()]
 
 
-class Vocabulary:
-    """Words in code point order; they travel packed, and their numbers are worked out once by each process."""
+def word_hash(word: str) -> int:
+    """64 bits that stand for a word; two of a corpus' words share them with next to no chance."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
 
-    def __init__(self, words: list[str]) -> None:
-        # No word holds a blank.
-        self.size, self.packed, self.known = len(words), zlib.compress("\n".join(words).encode("utf-8", "surrogatepass"), 1), None
 
-    def numbers(self) -> dict[str, int]:
-        if self.known is None:
-            words = zlib.decompress(self.packed).decode("utf-8", "surrogatepass")
-            self.known = {w: i for i, w in enumerate(words.split("\n"))} if self.size else {}
-        return self.known
-
-
-def vocabulary(sample: DataFrame) -> Vocabulary:
-    """All words of the sample (fit_rows texts)."""
+def vocabulary(sample: DataFrame) -> np.ndarray:
+    """The hashes of all words of the sample (fit_rows texts), ascending; a word's number is its place."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = {w.strip(EDGE) for text in b.column("text").to_pylist() for w in text.lower().split()}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(words - {""}), pa.string())], names=["word"])
+            yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in words - {""}], pa.int64())], names=["word"])
 
-    found = sample.select("text").mapInArrow(find, "word string").distinct().toArrow().column("word").to_pylist()
-    return Vocabulary(sorted(found))
+    return np.sort(sample.select("text").mapInArrow(find, "word long").distinct().toArrow().column("word").to_numpy())
 
 
 class Terms(TwoAges):
-    """A word without its edges, its number (-1: in no example), and the numbers of its chosen terms; worked out when first asked for."""
+    """A word's hash without its edges (None: nothing is left), and the numbers of its chosen terms; worked out when first asked for."""
 
-    def __init__(self, terms: list[str], words: dict[str, int]) -> None:
+    def __init__(self, terms: list[str]) -> None:
         super().__init__(KEPT)
-        self.number, self.words = {t: i for i, t in enumerate(terms)}, words
+        self.number = {t: i for i, t in enumerate(terms)}
+
+    def work(self, word: str) -> tuple[int | None, tuple[int, ...]]:
+        bare, number = word.strip(EDGE), self.number
+        return (word_hash(bare), tuple([number[t] for t in terms_of(bare) if t in number])) if bare else (None, ())
 
-    def work(self, word: str) -> tuple[str, int, tuple[int, ...]]:
-        bare = word.strip(EDGE)
-        return bare, self.words.get(bare, -1), tuple(self.number[t] for t in terms_of(word) if t in self.number)
+
+def summed(rows: list[int], what: np.ndarray, times: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of triples (row, what, times): for each row in turn its different `what`, ascending, and their times added up; how many a row."""
+    rows = np.asarray(rows, np.int64)
+    if not len(rows):
+        return what, times, np.zeros(n, np.int64)
+    order = np.lexsort((what, rows))
+    rows, what, times = rows[order], what[order], times[order]
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (what[1:] != what[:-1])))
+    return what[first], np.add.reduceat(times, first), np.bincount(rows[first], minlength=n)
 
 
 def lists(rows: list, kind: pa.DataType) -> pa.Array:
@@ -123,36 +125,48 @@ def lists(rows: list, kind: pa.DataType) -> pa.Array:
 def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]) -> DataFrame:
     """Key columns, and of each whole text the chosen terms, the words and the words of no example, all with their counts.
 
-    Numbers are ascending. `words` is the broadcast vocabulary; words outside it are given by their 64-bit hash.
+    Numbers are ascending. `words` is the broadcast vocabulary; words outside it are given by their 64-bit hash. A task
+    holds the pairs of SLICE texts at a time and remembers a bounded number of words.
     """
+    def counted(texts: list, known: Terms) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        row, hashes, times, marked, marks, mark_times = [], [], [], [], [], []
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            seen = Counter(t.lower().split())
+            for (h, m), n in zip(map(known.__getitem__, seen), seen.values()):
+                if h is not None:
+                    row.append(i)
+                    hashes.append(h)
+                    times.append(n)
+                    if m:
+                        marked.extend([i] * len(m))
+                        marks.extend(m)
+                        mark_times.extend([n] * len(m))
+        row, hashes, times = np.array(row, np.int64), np.array(hashes, np.int64), np.array(times, np.int64)
+        place = np.searchsorted(words.value, hashes)
+        inside = place < len(words.value)
+        inside[inside] = words.value[place[inside]] == hashes[inside]
+        n = len(texts)
+        return [summed(marked, np.array(marks, np.int64), np.array(mark_times, np.int64), n), summed(row[inside], place[inside], times[inside], n),
+                summed(row[~inside], hashes[~inside], times[~inside], n)]
+
     def make():
-        known = Terms(terms, words.value.numbers())
+        known = Terms(terms)
 
         def work(texts: list) -> dict:
-            made = [[] for _ in range(6)]
-            for t in texts:
-                chosen: dict[int, int] = {}
-                plain: dict[int, int] = {}
-                others: dict[str, int] = {}
-                for w, n in Counter(t.lower().split()).items() if t else ():
-                    bare, i, marks = known[w]
-                    if i >= 0:
-                        plain[i] = plain.get(i, 0) + n
-                    elif bare:
-                        others[bare] = others.get(bare, 0) + n
-                    for m in marks:
-                        chosen[m] = chosen.get(m, 0) + n
-                for at, found in enumerate((chosen, plain, others)):
-                    order = sorted(found)
-                    made[2 * at].append(order)
-                    made[2 * at + 1].append([found[x] for x in order])
-            return {name: lists(rows, pa.string() if name == "others" else pa.int32())
-                    for name, rows in zip(("terms", "times", "words", "counts", "others", "other_counts"), made)}
+            parts = [counted(texts[i:i + SLICE], known) for i in range(0, len(texts), SLICE)]
+            out = {}
+            for at, (name, times, kind) in enumerate((("terms", "times", np.int32), ("words", "counts", np.int32), ("others", "other_counts", np.int64))):
+                each = [np.concatenate([p[at][x] for p in parts]) if parts else np.zeros(0, np.int64) for x in range(3)]
+                ends = pa.array(np.append(0, np.cumsum(each[2])).astype(np.int32))
+                out[name] = pa.ListArray.from_arrays(ends, pa.array(each[0].astype(kind)))
+                out[times] = pa.ListArray.from_arrays(ends, pa.array(each[1].astype(np.int32)))
+            return out
 
         return work
 
-    out = over_texts(docs, keys, "text", "terms array<int>, times array<int>, words array<int>, counts array<int>, others array<string>, other_counts array<int>", make)
-    return out.withColumn("others", F.transform("others", lambda w: F.xxhash64(w)))
+    return over_texts(docs, keys, "text", "terms array<int>, times array<int>, words array<int>, counts array<int>, others array<long>, other_counts array<int>", make)
 
 
 def frequencies(vectors: DataFrame, n_words: int, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
@@ -434,7 +448,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
     # The only pass over all texts.
     vectors = stored(term_vectors(docs.withColumn("__row", F.monotonically_increasing_id()), terms, words, (*keys, "__row")), "vectors")
     n_docs = vectors.count()
-    word_df, term_df = frequencies(vectors, words.value.size, len(terms))
+    word_df, term_df = frequencies(vectors, len(words.value), len(terms))
     idf, term_idf = np.log((1 + n_docs) / (1 + word_df)) + 1, np.log((1 + n_docs) / (1 + term_df)) + 1
     examples = stored(term_vectors(sample, terms, words, ("id", "y")), "examples").drop("others", "other_counts")
     got = examples.toArrow().sort_by("id").combine_chunks()  # fit_rows rows
