@@ -212,9 +212,12 @@ class TextIndex:
         """What a search needs besides; made where it is used."""
         steps, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
         self.words = np.cumsum(steps, dtype=np.int32)
-        n, row = len(self.ids), np.repeat(np.arange(len(self.ids)), np.diff(self.start))
-        self.weight = (1 + np.log(counts)) * self.idf[self.words]
-        self.weight /= np.sqrt(np.bincount(row, self.weight ** 2, n))[row]
+        self.counts, self.logs = counts, 1 + np.log(np.arange(1, counts.max(initial=1) + 1))
+        n, row = len(self.ids), np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.start))
+        weight = self.logs[counts - 1] * self.idf[self.words]
+        self.norm = np.sqrt(np.bincount(row, weight ** 2, n))
+        # Single precision finds the rows; those found are weighed again in double precision.
+        weight = (weight / self.norm[row]).astype(np.float32)
         held = np.bincount(self.words, minlength=len(self.idf))
         common = np.argsort(-held, kind="stable")[:DENSE]
         common = common[held[common] * 100 > n]
@@ -222,10 +225,10 @@ class TextIndex:
         self.slot[common] = np.arange(len(common))
         at = self.slot[self.words]
         self.dense = np.zeros((max(1, len(common)), n), np.float32)
-        self.dense[at[at >= 0], row[at >= 0]] = self.weight[at >= 0]
+        self.dense[at[at >= 0], row[at >= 0]] = weight[at >= 0]
         light = np.flatnonzero(at < 0)
         light = light[np.argsort(self.words[light], kind="stable")]
-        self.light_row, self.light_weight = row[light], self.weight[light]
+        self.light_row, self.light_weight = row[light], weight[light]
         self.light_start = np.searchsorted(self.words[light], np.arange(len(self.idf) + 1))
         self.of_word = np.zeros(len(self.idf))
 
@@ -266,7 +269,9 @@ class TextIndex:
                 self.of_word[words[mine]] = weight[mine]
                 lengths = self.start[rows + 1] - self.start[rows]
                 place = spans(self.start[rows], lengths)
-                cosines = np.add.reduceat(self.of_word[self.words[place]] * self.weight[place], np.cumsum(lengths) - lengths)
+                theirs = self.words[place]
+                own = self.logs[self.counts[place] - 1] * self.idf[theirs] / np.repeat(self.norm[rows], lengths)
+                cosines = np.add.reduceat(self.of_word[theirs] * own, np.cumsum(lengths) - lengths)
                 self.of_word[words[mine]] = 0
                 keep = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
                 rows, cosines = rows[keep], cosines[keep]
@@ -302,28 +307,26 @@ class BlockMaxIndex:
 
     def nearest(self, terms: list[int], times: list[int], k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples with a positive cosine; ties to the smaller example id."""
-        q = self.unit(terms, times)
-        bound = np.zeros(self.blocks)
-        for t, w in zip(terms, q):
-            a, b = self.block_start[t], self.block_start[t + 1]
-            bound[self.block_of[a:b]] += w * self.block_most[a:b]
+        q, at = self.unit(terms, times), np.asarray(terms, np.int64)
+        many = self.block_start[at + 1] - self.block_start[at]
+        entry, weight = spans(self.block_start[at], many), np.repeat(q, many)
+        block = self.block_of[entry]
+        bound = np.bincount(block, weight * self.block_most[entry], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         rows, cosines, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
-        step = 4
-        for at in range(0, len(order), step):
-            if len(rows) >= k and bound[order[at]] < worst - 1e-12:
-                break
-            opened = order[at:at + step]
-            score = np.zeros((len(opened), BLOCK))
-            place = np.full(self.blocks, -1)
+        place, done, step = np.full(self.blocks, -1), 0, 4
+        while done < len(order) and not (len(rows) >= k and bound[order[done]] < worst - 1e-12):
+            opened = order[done:done + step]
+            done, step = done + step, 2 * step
             place[opened] = np.arange(len(opened))
-            for t, w in zip(terms, q):
-                a, b = self.block_start[t], self.block_start[t + 1]
-                for e in np.flatnonzero(place[self.block_of[a:b]] >= 0) + a:
-                    span = slice(self.block_first[e], self.block_end[e])
-                    r = self.row[span]
-                    score[place[self.block_of[e]], r % BLOCK] += w * self.weight[span]
+            hit = place[block] >= 0
+            first = self.block_first[entry[hit]]
+            size = self.block_end[entry[hit]] - first
+            post = spans(first, size)
+            r = self.row[post]
+            score = np.bincount(place[r // BLOCK] * BLOCK + r % BLOCK, np.repeat(weight[hit], size) * self.weight[post], len(opened) * BLOCK).reshape(-1, BLOCK)
+            place[opened] = -1
             i, j = np.nonzero(score > 0)
             new = opened[i] * BLOCK + j
             if but is not None:
