@@ -50,12 +50,21 @@ _KEPT: dict = {}
 
 
 def kept(key: str, make: Callable[[], object]) -> object:
-    """What make returns, kept by this Python worker for its later tasks: vocabularies and what they have worked out."""
+    """What make returns, kept by this Python worker for its later tasks: a vocabulary and what it has worked out.
+
+    One at a time: workers are used again by other stages, so what an earlier stage kept goes when the next one comes.
+    """
     if key not in _KEPT:
+        forget()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def forget() -> None:
+    """Give up what this worker keeps, for stages that need its memory."""
+    _KEPT.clear()
+
+
 class TwoAges(dict):
     """A memory of bounded size: when full it becomes the old one, whose entries come back when they are asked for."""
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import TwoAges, over_texts, query, stored, table
+from tallyworks.llm.common import TwoAges, forget, over_texts, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, merged, pieces
 
 #: Examples in a block of the index; words whose terms a task remembers (twice as many at most); texts counted at once.
@@ -152,6 +152,7 @@ def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]
                 summed(row[~inside], hashes[~inside], times[~inside], n)]
 
     def make():
+        forget()
         known = Terms(terms)
 
         def work(texts: list) -> dict:
@@ -463,6 +464,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
     prior = model.value.prior
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in batches:
             made = model.value.search(b, {}, b.column("id").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("y"), *[made[c] for c in ("vote", "near", "near_1")]], names=["y", "vote", "near", "near_1"])
@@ -481,6 +483,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
     points = calibration(joint(votes), y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known: dict[tuple, float] = {}
         for b in batches:
             made = model.value.search(b, known)
