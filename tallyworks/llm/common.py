@@ -85,11 +85,12 @@ class TwoAges(dict):
 
 
 def over_texts(df: DataFrame, keys: Iterable[str], text: str, schema: str,
-               make: Callable[[], Callable[[list], dict[str, list]]], as_bytes: bool = False) -> DataFrame:
+               make: Callable[[], Callable[[list], dict[str, list]]], as_bytes: bool = False, at_once: int | None = None) -> DataFrame:
     """The key columns, and what a Python function makes of each whole text, batch by batch.
 
     `make` runs once a task and returns the function; that gets a list of texts (null: None) and returns a list for
     each column of `schema`. Columns of df other than keys and text are not read, so their names cannot clash.
+    `at_once` bounds the texts that are handed over together; by default they are those of an Arrow batch.
     """
     keys = list(keys)
     value = F.col(text).cast("binary") if as_bytes else F.col(text)
@@ -98,7 +99,7 @@ def over_texts(df: DataFrame, keys: Iterable[str], text: str, schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for b in batches:
+        for b in (part for whole in batches for part in ([whole] if at_once is None else (whole.slice(i, at_once) for i in range(0, whole.num_rows, at_once)))):
             made = work(b.column("t").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(f"k{i}") for i in range(len(keys))]
                                              + [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()],

@@ -27,6 +27,8 @@ from tallyworks.llm.sketch import SCHEMA, merged, pieces
 BLOCK, KEPT, SLICE = 64, 100_000, 256
 #: Texts searched at once, and common words whose weights are held as a dense matrix.
 AT_ONCE, DENSE = 64, 256
+#: Examples prepared at once.
+AT_PREPARE = 1000
 EDGE = ".,;:!?\"'()[]{}<>*$%&#-_/"
 
 
@@ -156,18 +158,16 @@ def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]
         known = Terms(terms)
 
         def work(texts: list) -> dict:
-            parts = [counted(texts[i:i + SLICE], known) for i in range(0, len(texts), SLICE)]
             out = {}
-            for at, (name, times, kind) in enumerate((("terms", "times", np.int32), ("words", "counts", np.int32), ("others", "other_counts", np.int64))):
-                each = [np.concatenate([p[at][x] for p in parts]) if parts else np.zeros(0, np.int64) for x in range(3)]
-                ends = pa.array(np.append(0, np.cumsum(each[2])).astype(np.int32))
-                out[name] = pa.ListArray.from_arrays(ends, pa.array(each[0].astype(kind)))
-                out[times] = pa.ListArray.from_arrays(ends, pa.array(each[1].astype(np.int32)))
+            for (name, times, kind), (what, n, many) in zip((("terms", "times", np.int32), ("words", "counts", np.int32), ("others", "other_counts", np.int64)), counted(texts, known)):
+                ends = pa.array(np.append(0, np.cumsum(many)).astype(np.int32))
+                out[name] = pa.ListArray.from_arrays(ends, pa.array(what.astype(kind)))
+                out[times] = pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))
             return out
 
         return work
 
-    return over_texts(docs, keys, "text", "terms array<int>, times array<int>, words array<int>, counts array<int>, others array<long>, other_counts array<int>", make)
+    return over_texts(docs, keys, "text", "terms array<int>, times array<int>, words array<int>, counts array<int>, others array<long>, other_counts array<int>", make, at_once=SLICE)
 
 
 def frequencies(vectors: DataFrame, n_words: int, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,27 +210,45 @@ class TextIndex:
         self.dense = None
 
     def prepare(self) -> None:
-        """What a search needs besides; made where it is used."""
+        """What a search needs besides; made where it is used, in parts, as every worker has to hold it."""
         steps, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
         self.words = np.cumsum(steps, dtype=np.int32)
-        self.counts, self.logs = counts, 1 + np.log(np.arange(1, counts.max(initial=1) + 1))
-        n, row = len(self.ids), np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.start))
-        weight = self.logs[counts - 1] * self.idf[self.words]
-        self.norm = np.sqrt(np.bincount(row, weight ** 2, n))
+        del steps
+        n, most = len(self.ids), int(counts.max(initial=1))
+        self.logs = 1 + np.log(np.arange(1, most + 1))
+        self.counts = counts.astype(np.uint16 if most < 1 << 16 else np.int32)
+        del counts
+        row, weight, self.norm = np.empty(len(self.words), np.int32), np.empty(len(self.words), np.float32), np.zeros(n)
         # Single precision finds the rows; those found are weighed again in double precision.
-        weight = (weight / self.norm[row]).astype(np.float32)
+        for a in range(0, n, AT_PREPARE):
+            z = min(n, a + AT_PREPARE)
+            part = slice(self.start[a], self.start[z])
+            row[part] = np.repeat(np.arange(a, z, dtype=np.int32), np.diff(self.start[a:z + 1]))
+            w = self.logs[self.counts[part] - 1] * self.idf[self.words[part]]
+            self.norm[a:z] = np.sqrt(np.bincount(row[part] - a, w ** 2, z - a))
+            weight[part] = w / self.norm[row[part]]
         held = np.bincount(self.words, minlength=len(self.idf))
         common = np.argsort(-held, kind="stable")[:DENSE]
         common = common[held[common] * 100 > n]
         self.slot = np.full(len(self.idf), -1, np.int32)
         self.slot[common] = np.arange(len(common))
-        at = self.slot[self.words]
         self.dense = np.zeros((max(1, len(common)), n), np.float32)
-        self.dense[at[at >= 0], row[at >= 0]] = weight[at >= 0]
-        light = np.flatnonzero(at < 0)
-        light = light[np.argsort(self.words[light], kind="stable")]
-        self.light_row, self.light_weight = row[light], weight[light]
-        self.light_start = np.searchsorted(self.words[light], np.arange(len(self.idf) + 1))
+        light = np.ones(len(self.words), bool)
+        for a in range(0, n, AT_PREPARE):
+            part = slice(self.start[a], self.start[min(n, a + AT_PREPARE)])
+            at = self.slot[self.words[part]]
+            held_at = np.flatnonzero(at >= 0)
+            self.dense[at[held_at], row[part][held_at]] = weight[part][held_at]
+            light[part] = at < 0
+        row, weight, words = row[light], weight[light], self.words[light]
+        del light
+        self.light_start = np.append(0, np.cumsum(np.bincount(words, minlength=len(self.idf))))
+        self.light_row, self.light_weight = np.empty(len(words), np.int32), np.empty(len(words), np.float32)
+        for a, z in zip(cuts := np.linspace(0, len(self.idf), 17).astype(int), cuts[1:]):  # numbers are hashes in order: even parts
+            some = np.flatnonzero((words >= a) & (words < z))
+            some = some[np.argsort(words[some], kind="stable")]
+            part = slice(self.light_start[a], self.light_start[z])
+            self.light_row[part], self.light_weight[part] = row[some], weight[some]
         self.of_word = np.zeros(len(self.idf))
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
