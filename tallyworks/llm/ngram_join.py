@@ -4,7 +4,9 @@ Two sets of n1 and n2 tokens that share enough must share a token among the firs
 order of all tokens. The first order puts rare tokens first (by bucket counts over all documents), so common passages
 hardly ever meet in a prefix. Documents that meet there are candidates if they can share as many prefix tokens as their
 sizes ask for: up to the end of the prefix that ends first all common tokens are in both prefixes, and the rest of that
-set has ceil(0.8 n) - 1 tokens. Before the sets are compared, the prefixes under the other orders must share as many, too.
+set has ceil(0.8 n) - 1 tokens. The prefixes under the other orders must share as many, too. Each node carries a small
+sketch of them and of its whole set, bits of odd counts: the bits in which two sketches differ are at least so many
+tokens that only one side has. So pairs are cut while they are formed, before any set is read; no similar pair is.
 
 Not all pairs of a large group are made. Equal sets are one node. In some rounds each node is compared with hubs of its
 tokens; what is alike is one component then, and afterwards only nodes of different components are paired, the few
@@ -24,9 +26,12 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import components, kept, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, bloom_places, merged, mix, pieces
+from tallyworks.operators.groups import attach, sized_groups
 
 #: Rounds in which nodes are compared with hubs before pairs are made: they only save work.
 ROUNDS = 2
+#: Words of 64 bits in a sketch: of a whole set, and of the prefix under one further order.
+SET_WORDS, PREFIX_WORDS = 8, 4
 #: Cells of the bucket counts (4 bytes each on the driver, 1 in the tasks), and bits of the Bloom filter.
 BUCKETS, BITS = 1 << 22, 1 << 26
 
@@ -148,6 +153,37 @@ def prefix(tokens: np.ndarray, percent: int, order: int, classes: np.ndarray | N
     return tokens[at[:size]], int(places[at[size - 1]])
 
 
+def odd_bits(tokens: np.ndarray, words: int) -> np.ndarray:
+    """Bits of the places on which an odd number of tokens falls."""
+    at = mix(tokens, 41) & np.uint64(64 * words - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=64 * words) & 1).astype(bool)).view(np.int64)
+
+
+def sketch_of(tokens: np.ndarray, percent: int, orders: int) -> np.ndarray:
+    """Odd bits of the set, then of its prefix under each further order."""
+    if not len(tokens):
+        return np.zeros(SET_WORDS + PREFIX_WORDS * (orders - 1), np.int64)
+    return np.concatenate([odd_bits(tokens, SET_WORDS),
+                           *[odd_bits(prefix(tokens, percent, order)[0], PREFIX_WORDS) for order in range(1, orders)]])
+
+
+def may_be_alike(n: Column, m: Column, x: Column, y: Column, percent: int, orders: int) -> Column:
+    """False only for sets of n and m tokens whose sketches x and y differ in more bits than similar sets can."""
+    def apart(start: int, words: int) -> Column:
+        return sum_of(F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(start, start + words))
+
+    def least(size: Column) -> Column:
+        return F.ceil(size * percent / 100)
+
+    ok = (n + m - apart(0, SET_WORDS)) * (100 + percent) >= 2 * percent * (n + m)
+    rest = F.greatest(least(n), least(m)) - 1
+    prefixes = n - least(n) + 1 + m - least(m) + 1
+    for order in range(1, orders):
+        both = prefixes - apart(SET_WORDS + PREFIX_WORDS * (order - 1), PREFIX_WORDS)  # twice the shared tokens at most
+        ok = ok & (both >= 2) & ((both + 2 * rest) * (100 + percent) >= 2 * percent * (n + m))
+    return ok
+
+
 def frequency_classes(counts: np.ndarray) -> np.ndarray:
     """0 for buckets about as full as the mean, then growing with the logarithm of what they hold above that."""
     mean = max(1.0, counts.mean())
@@ -182,27 +218,33 @@ class Join:
         self.sets = partial(sets_of, words)
 
     def summaries(self) -> tuple[DataFrame, np.ndarray]:
-        """(id, node, n) of each document, node being a 64-bit digest of its set, and the bucket counts of all tokens."""
-        sets = self.sets
+        """(id, node, n, sketch) of each document, node being a 64-bit digest of its set, and the bucket counts of all tokens."""
+        sets, percent, orders = self.sets, self.percent, self.orders
+        schema = f"id {self.kind}, node long, n long, sketch array<long>, piece int, cells binary"
+        names = ["id", "node", "n", "sketch", "piece", "cells"]
 
         def run(batches):
             counts = np.zeros(BUCKETS, np.int64)
             for b in batches:
-                nodes, sizes = [], []
+                nodes, sizes, sketches = [], [], []
                 for s in sets(b.column("t")):
                     nodes.append(node_of(s))
                     sizes.append(len(s))
+                    sketches.append(sketch_of(s, percent, orders))
                     np.add.at(counts, s & np.uint64(BUCKETS - 1), 1)
                 none = pa.nulls(len(nodes))
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                                                  none.cast(pa.int32()), none.cast(pa.binary())], names=["id", "node", "n", "piece", "cells"])
+                width = SET_WORDS + PREFIX_WORDS * (orders - 1)
+                flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
+                sketch = pa.ListArray.from_arrays(np.arange(len(nodes) + 1, dtype=np.int32) * width, flat)
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), sketch,
+                                                  none.cast(pa.int32()), none.cast(pa.binary())], names=names)
             for i, cells in pieces(np.minimum(counts, 65535).astype(np.uint16)):
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, b.schema.field("id").type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                                                  pa.array([i], pa.int32()), pa.array([cells], pa.binary())], names=["id", "node", "n", "piece", "cells"])
+                                                  pa.nulls(1, pa.list_(pa.int64())), pa.array([i], pa.int32()), pa.array([cells], pa.binary())], names=names)
 
-        both = stored(self.docs.mapInArrow(run, f"id {self.kind}, node long, n long, piece int, cells binary"), "summaries")
+        both = stored(self.docs.mapInArrow(run, schema), "summaries")
         counts = merged(both.where("piece is not null").select("piece", "cells"), BUCKETS, np.int32, np.add, np.uint16)
-        return both.where("piece is null").select("id", "node", "n"), counts
+        return both.where("piece is null").select("id", "node", "n", "sketch"), counts
 
     def shared_tokens(self, classes: np.ndarray) -> DataFrame:
         """(token, node, n, last): prefix tokens of the first order that several nodes have.
@@ -347,8 +389,9 @@ class Join:
         maps = {f"b{i}": F.coalesce(F.bit_or(F.when(word == i, bit)).over(by_node), F.lit(0).cast("long")) for i in range(4)}
         open_ = part.join(several, "token").withColumns({
             "open": F.count("*").over(by_node), "at": F.row_number().over(by_node.orderBy("token")), **maps})
-        open_ = stored(open_, "open")
-        few = open_.where("part <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "part", "last", "most", "open", "at", *maps)])
+        sketches = summaries.where("n > 0").select("node", "sketch").dropDuplicates(["node"])
+        open_ = stored(open_.join(sketches, "node"), "open")
+        few = open_.where("part <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "part", "last", "most", "open", "at", "sketch", *maps)])
         n, m = F.col("n"), F.col("x_n")
         common = (F.when(F.col("x_last") < F.col("last"), F.col("x_most")).when(F.col("x_last") > F.col("last"), F.col("most"))
                   .otherwise(F.greatest("x_most", "most")))
@@ -363,7 +406,8 @@ class Join:
                                               & (F.least(n, m) * 100 >= F.greatest(n, m) * self.percent)
                                               & (common * (100 + self.percent) >= (n + m) * self.percent)
                                               & (F.col("at") <= F.col("open") - least + 1) & (F.col("x_at") <= F.col("x_open") - least + 1)
-                                              & (shared_bits + fell >= least))
+                                              & (shared_bits + fell >= least)
+                                              & may_be_alike(n, m, F.col("sketch"), F.col("x_sketch"), self.percent, self.orders))
         pairs = cross.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
         last = self.alike_pairs(pairs, summaries)
         return summaries, last if links is None else links.union(last)
@@ -406,8 +450,9 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     roots = components(links)
     rows = (summaries.where("n > 0").join(roots.withColumnRenamed("id", "node"), "node", "left")
             .select("id", "n", F.coalesce("root", "node").alias("part")))
-    least = rows.groupBy("part").agg(F.min("id").alias("component_id"), F.count("*").alias("n_class"))
-    found = rows.join(least, "part").select("id", "n", "component_id", "n_class")
+    # A component may hold a third of all rows: the values of such ones are broadcast, their rows dealt to slots.
+    least = sized_groups(rows, ["part"], [F.min("id").alias("component_id"), F.count("*").alias("n_class")])
+    found = attach(rows, least, ["part"], "inner", slot_by=["id"]).select("id", "n", "component_id", "n_class")
     alone = summaries.where("n = 0").select("id", "n", F.col("id").alias("component_id"), F.lit(1).cast("long").alias("n_class"))
     return found.union(alone).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", "n_class")
 
