@@ -9,7 +9,7 @@ where one text holds thousands.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import query, stored, table
@@ -30,6 +30,32 @@ ORDER = {k: i for i, k in enumerate([*BASE, *WEAK])}
 #: The part of a credential that a kind is.
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "id_name": "id", "secret_part": "secret", "endpoint": "place"}
 SPAN = "array<struct<s:int,k:int,e:int>>"
+#: Matches whose places are summed up together.
+BLOCK = 64
+
+
+def placed(pieces: Column) -> Column:
+    """Starts and ends of matches: running sums of gaps g and matches m, by blocks of BLOCK and then over the blocks.
+
+    An array grows by copying it; so no array grows beyond a block, or the number of blocks.
+    """
+    none = F.lit([]).cast("array<struct<s:int,e:int,p:int>>")
+
+    def in_block(block: Column) -> Column:
+        return F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda a, x: F.struct(
+            (a["at"] + x["g"] + x["m"]).alias("at"),
+            F.concat(a["out"], F.array(F.struct((a["at"] + x["g"]).alias("s"), (a["at"] + x["g"] + x["m"]).alias("e"), x["p"].alias("p")))).alias("out")))
+
+    def over_blocks(blocks: Column) -> Column:
+        offsets = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.lit([]).cast("array<int>").alias("out")), lambda a, x: F.struct(
+            (a["at"] + x["at"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(blocks, offsets, lambda x, o: F.transform(x["out"], lambda y: F.struct(
+            (y["s"] + o).alias("s"), (y["e"] + o).alias("e"), y["p"].alias("p")))))
+
+    # Lambda variables hold the arrays, so that they are worked out once a row.
+    blocks = F.transform(F.array(pieces), lambda a: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int")), lambda i: in_block(F.slice(a, i * BLOCK + 1, F.lit(BLOCK)))))
+    return F.flatten(F.transform(blocks, over_blocks))
 
 
 def spans(text: Column, kind: str) -> Column:
@@ -42,12 +68,8 @@ def spans(text: Column, kind: str) -> Column:
     parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     pieces = F.zip_with(F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m"))),
                         parts, lambda x, p: F.struct(x["g"].alias("g"), x["m"].alias("m"), F.length(p).alias("p")))
-    none = F.lit([]).cast("array<struct<s:int,e:int,p:int>>")
     # The last gap has no match after it; its m is null.
-    run = F.aggregate(F.filter(pieces, lambda x: x["m"].isNotNull()), F.struct(F.lit(0).alias("at"), none.alias("out")),
-                      lambda a, x: F.struct((a["at"] + x["g"] + x["m"]).alias("at"),
-                                            F.concat(a["out"], F.array(F.struct((a["at"] + x["g"]).alias("s"), (a["at"] + x["g"] + x["m"]).alias("e"), x["p"].alias("p")))).alias("out")),
-                      lambda a: a["out"])
+    run = placed(F.filter(pieces, lambda x: x["m"].isNotNull()))
     made = F.transform(F.filter(run, lambda x: x["p"] >= least),
                        lambda x: F.struct(x["s"].alias("s"), F.lit(ORDER[kind]).alias("k"), x["e"].alias("e")))
     return F.when(F.regexp_like(text, F.lit(pattern)), made).otherwise(F.lit([]).cast(SPAN))
@@ -71,8 +93,7 @@ def scan(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",
     rows = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], value.alias("t"))
     rows = rows.select("*", *[spans(F.col("t"), k).alias(k) for k in ORDER])
     base = F.array_sort(F.concat(*BASE))
-    clear = F.filter(F.col("secret_part"), lambda w: ~F.exists(F.concat(*BASE), lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"])))
-    weak = F.concat("id_name", clear, "endpoint")
+    weak = F.concat(*WEAK)
     rows = rows.select(*[f"k{i}" for i in range(len(keys))], F.monotonically_increasing_id().alias("row"), base.alias("base"), weak.alias("weak"))
     # Written once: the patterns run once, and the row numbers cannot change between the branches below.
     rows = stored(rows, "secrets")
@@ -81,6 +102,11 @@ def scan(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",
              .select("row", F.explode(F.concat("base", "weak")).alias("x"))
              .select("row", F.floor(F.col("x.s") / scope).alias("bin"), F.col("x.s").alias("s"), F.col("x.k").alias("k"),
                      F.col("x.e").alias("e"), F.element_at(roles, F.col("x.k") + 1).alias("role")))
+    # A weak secret overlaps a base match if, of those that start before its end, one ends after its start.
+    unsure = F.col("k") == ORDER["secret_part"]
+    before = Window.partitionBy("row").orderBy(F.when(unsure, F.col("e")).otherwise(F.col("s")), ~unsure).rowsBetween(Window.unboundedPreceding, 0)
+    parts = (parts.withColumn("told", F.max(F.when(F.col("k") < len(BASE), F.col("e"))).over(before))
+             .where(~unsure | F.col("told").isNull() | (F.col("told") <= F.col("s"))).drop("told"))
     ends = parts.groupBy("row", "bin").agg(*[f(F.when(F.col("role") == r, F.col("s"))).alias(f"{n}_{r}")
                                             for r in ("id", "secret", "place") for n, f in (("first", F.min), ("last", F.max))])
     # Each bin's ends are sent to the bins that look at it.
