@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import query, stored, table
 
 
-def line_key(line: Column, blanks: str = " ") -> Column:
+#: The outer characters that lines are compared without.
+BLANKS = " \t\r"
+
+
+def line_key(line: Column, blanks: str = BLANKS) -> Column:
     """What equal lines share: a 64-bit hash of the line without the outer characters of `blanks`, and its length."""
     bare = F.trim(line, F.lit(blanks))
     return F.struct(F.xxhash64(bare).alias("h"), F.length(bare).alias("n"))
 
 
 def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key: str = "doc_id", min_sites: int = 5,
-                min_chars: int = 20, lg_k: int = 12, blanks: str = " ") -> DataFrame:
+                min_chars: int = 1, lg_k: int = 12, blanks: str = BLANKS) -> DataFrame:
     """Lines of at least `min_chars` on at least `min_sites` distinct sites: (line key, first: least key of a carrier).
 
     A null site counts as one more site. The sketch's relative error is about 1.04 / sqrt(2 ** lg_k); estimates within
@@ -42,8 +46,17 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key:
         judged.join(exact, "line", "left_semi").select("line", "first"))
 
 
+def without_lines(lines: Column, gone: Column) -> Column:
+    """The lines but for those at the places `gone`, joined again: slices between neighbouring places, each read once."""
+    # The lambda variable x holds both arrays, so that they are worked out once a row.
+    both = F.array(F.struct(lines.alias("l"), F.sort_array(F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))).alias("g")))
+    return F.transform(both, lambda x: F.array_join(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size(x["g"]) - 1),
+        lambda k: F.slice(x["l"], x["g"][k - 1] + 2, x["g"][k] - x["g"][k - 1] - 1))), "\n"))[0]
+
+
 def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", key: str = "doc_id", min_sites: int = 5,
-                min_chars: int = 20, lg_k: int = 12, blanks: str = " ") -> DataFrame:
+                min_chars: int = 1, lg_k: int = 12, blanks: str = BLANKS) -> DataFrame:
     """The input rows and columns, and `kept_text`, `n_lines`, `n_removed` (replaced if present).
 
     Boilerplate lines stay in the document with the least key that carries them and go from all others, so nothing is
@@ -56,14 +69,15 @@ def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", key:
     drop = boilerplate(docs, text, site, key, min_sites, min_chars, lg_k, blanks)
     mine = F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("n"))
     lines = F.transform(F.split(F.col(text), "\n"), lambda v, i: F.struct(i.alias("at"), line_key(v, blanks).alias("line")))
-    at = (docs.select(mine.alias("row_key"), F.explode(F.filter(lines, lambda x: x["line"]["n"] >= min_chars)).alias("x"))
-          .select("row_key", "x.at", "x.line"))
+    # The row's key is worked out below the explode: above it the whole text would be hashed again for each line.
+    at = (docs.select(mine.alias("row_key"), F.filter(lines, lambda x: x["line"]["n"] >= min_chars).alias("ls"))
+          .select("row_key", F.explode("ls").alias("x")).select("row_key", "x.at", "x.line"))
     gone = (at.join(drop.where(F.col("first").isNotNull()), "line")
             .where(~F.col("row_key.id").eqNullSafe(F.col("first")))
             .groupBy(F.col("row_key").alias("__of")).agg(F.collect_set("at").alias("__gone")))
     rows = docs.withColumn("__row_key", mine)
     rows = rows.join(gone, F.col("__row_key").eqNullSafe(F.col("__of")), "left").drop("__row_key", "__of")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda v, i: ~F.array_contains("__gone", i)), "\n")
+    kept = without_lines(F.split(F.col(text), "\n"), F.col("__gone"))
     n_lines = F.coalesce(F.when(F.col(text).isNotNull(), F.size(F.split(F.col(text), "\n"))), F.lit(0))
     return (rows.withColumn("kept_text", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
             .withColumn("n_lines", n_lines.cast("long"))
@@ -72,13 +86,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", key:
 
 @query("op4_line_dedup", """
 WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents),
-b AS (SELECT trim(line, ' ') AS line, min(doc_id) AS first FROM l WHERE length(trim(line, ' ')) >= 20 GROUP BY 1
+b AS (SELECT trim(line, ' ' || chr(9) || chr(13)) AS line, min(doc_id) AS first FROM l WHERE length(trim(line, ' ' || chr(9) || chr(13))) >= 1 GROUP BY 1
       HAVING count(DISTINCT coalesce('s' || source, 'null')) >= 5),
 d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 u AS (SELECT doc_id, text, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM d),
 k AS (SELECT u.doc_id, count(*) AS n_lines, count(b.line) AS n_removed,
       coalesce(string_agg(u.line, chr(10) ORDER BY pos) FILTER (WHERE b.line IS NULL), '') AS kept
-      FROM u LEFT JOIN b ON trim(u.line, ' ') = b.line AND u.doc_id IS DISTINCT FROM b.first GROUP BY u.doc_id)
+      FROM u LEFT JOIN b ON trim(u.line, ' ' || chr(9) || chr(13)) = b.line AND u.doc_id IS DISTINCT FROM b.first GROUP BY u.doc_id)
 SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
        length(k.kept) AS kept_chars, sha256(k.kept) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id IS NOT DISTINCT FROM k.doc_id

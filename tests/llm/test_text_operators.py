@@ -54,7 +54,7 @@ def test_boilerplate_lines_stay_once(spark):
     common, short, near = "This line stands on very many sites of all.", "short", "This line stands on four sites, one too few."
     rows = [(i, f"own line number {i} of this document\n{common}\n{short}", f"s{i % 7}") for i in range(14)]
     rows += [(100 + i, f"{near}\n{common}  ", f"s{i}") for i in range(4)] + [(200, None, "s1"), (201, "", None), (None, common, "s1"), (202, common, None), (202, common, None)]
-    got = lines.dedup_lines(documents(spark, rows).withColumnRenamed("lang", "n_removed").withColumn("line", F.lit(1)).withColumn("row_key", F.lit(2))).collect()
+    got = lines.dedup_lines(documents(spark, rows).withColumnRenamed("lang", "n_removed").withColumn("line", F.lit(1)).withColumn("row_key", F.lit(2)), min_chars=20).collect()
     assert len(got) == len(rows)
     for r in got:
         if r["doc_id"] == 0:
