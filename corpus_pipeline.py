@@ -36,9 +36,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Lines are compared without outer spaces, tabs and carriage returns.
     """
-    blanks = " \t\r"
-    done = lines.dedup_lines(docs, min_chars=1, blanks=blanks)
-    blank = F.length(F.trim(F.coalesce("kept_text", F.lit("")), F.lit(blanks))) == 0
+    done = lines.dedup_lines(docs)
+    blank = F.length(F.trim(F.coalesce("kept_text", F.lit("")), F.lit(lines.BLANKS))) == 0
     done = done.where((F.col("n_removed") == 0) | ~blank)
     changed = F.col("n_removed") > 0
     return done.select(*[F.col("kept_text").alias(c) if c == "text" else
