@@ -63,7 +63,8 @@ def search(df: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, cen
 
     Rows are told apart by the key, and a query's own are all rows with its key; rows with a null key take no part, nor
     do vectors that are null, empty, zero or hold null or non-finite components, nor ones of another length than most
-    of the sample. A query row that repeats is answered once. Ties go to the smaller key. Fewer than k candidates: all.
+    of the sample. A query key that repeats is answered once, for the least of its vectors; a candidate key that repeats takes
+    one place, with its best score. Ties go to the smaller key. Fewer than k candidates: all.
     Only the codebooks depend on the sample (`fit` rows at most); every row is entered. `share` of all entries are
     compared with a query at least: more gives more recall. Tasks work on a chunk of a centroid's entries and a chunk
     of the queries, so neither a full centroid nor many queries meet in one task.
@@ -123,7 +124,7 @@ def search(df: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, cen
             yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("v").take(at), pa.array(cu, pa.int32()), pa.array(opened, pa.list_(pa.int32()))],
                                              names=["query_id", "v", "cu", "cells"])
 
-    queries = entries.where("q").dropDuplicates(["id"]).select("id", "v")
+    queries = entries.where("q").groupBy("id").agg(F.min("v").alias("v"))  # of several vectors under one id the least asks
     n_queries = queries.count()
     parts = {u: max(1, -(-int(n) // chunk)) for u, n in enumerate(held.sum(axis=1))}
     q_parts = max(1, -(-n_queries // chunk))
@@ -139,6 +140,8 @@ def search(df: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, cen
         out = []
         if len(asked) and len(offered):
             ids, cv, x = offered["id"].to_numpy(), offered["cv"].to_numpy(), np.stack(offered["v"].to_numpy()).astype(np.float64)
+            # Rows under one id take one place: as many more are looked at as an id has rows here.
+            wide = k * int(np.unique(ids, return_counts=True)[1].max())
             for s in range(0, len(asked), 256):
                 some = asked.iloc[s:s + 256]
                 qid, q = some["query_id"].to_numpy(), np.stack(some["v"].to_numpy()).astype(np.float64)
@@ -146,20 +149,21 @@ def search(df: DataFrame, is_query: Column, k: int = 20, share: float = 0.6, cen
                 for i, c in enumerate(some["cells"]):
                     opened[i, np.asarray(c, int)] = True
                 score = np.where(opened[:, cv] & (ids[None] != qid[:, None]), q @ x.T, -np.inf)
-                top = np.argpartition(-score, k - 1, axis=1)[:, :k] if len(ids) > k else np.tile(np.arange(len(ids)), (len(some), 1))
+                top = np.argpartition(-score, wide - 1, axis=1)[:, :wide] if len(ids) > wide else np.tile(np.arange(len(ids)), (len(some), 1))
                 least = np.take_along_axis(score, top, axis=1).min(axis=1)
                 for i in range(len(some)):
                     # Whatever comes within rounding of the last place is scored again, alike for equal vectors.
                     near = np.flatnonzero((score[i] > -np.inf) & (score[i] >= least[i] - 1e-9 * (1 + abs(least[i]))))
                     exact = (x[near] * q[i]).sum(axis=1)
-                    best = np.lexsort((ids[near], -exact))[:k]
+                    best = np.lexsort((ids[near], -exact))
+                    best = best[np.sort(np.unique(ids[near][best], return_index=True)[1])[:k]]
                     out.append(pd.DataFrame({"query_id": qid[i], "id": ids[near][best], "score": exact[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
     by = ["cu", "part", "q_part"]
     found = asked.groupBy(*by).cogroup(offered.select(*by, "id", "cv", "v").groupBy(*by)).applyInPandas(rank, "query_id long, id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (found.dropDuplicates(["query_id", "id"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return (found.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(key), "score"))
 
 

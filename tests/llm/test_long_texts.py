@@ -82,3 +82,17 @@ def test_sketches_never_part_similar_sets(spark):
     got = spark.createDataFrame(rows, "i int, n long, m long, x array<long>, y array<long>").select("i", ok.alias("ok")).collect()
     assert all(r["ok"] for r in got if similar[r["i"]])
     assert 0 < sum(similar) < 400 and not all(r["ok"] for r in got)  # the sketches do tell some apart
+
+
+def test_rows_under_one_id_take_one_place(spark):
+    from tallyworks.llm import multi_index
+
+    rnd = np.random.default_rng(3)
+    rows = [(i, rnd.normal(size=8).tolist()) for i in range(60)]
+    rows += [(i, (2 * np.array(rows[0][1]) + 0.01 * j).tolist()) for i in (0, 7, 8) for j in range(15)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    runs = [sorted(map(tuple, multi_index.search(d, F.col("vec_id") == 0, share=1.0).collect())) for d in (df, df.orderBy(F.desc("vec_id")).repartition(5))]
+    asks = min(v for i, v in rows if i == 0)
+    best = {i: max(float(np.dot(asks, v)) for j, v in rows if j == i) for i in range(1, 60)}
+    want = sorted(best, key=lambda i: (-best[i], i))[:20]
+    assert [r[2] for r in runs[0]] == want and runs[0] == runs[1]
