@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyworks.sources.staging import staged
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The values of the first row per key; one partial aggregation, no sort of the group."""
@@ -25,7 +27,11 @@ def sort_rows(df: DataFrame, by: Sequence[tuple[str, bool]]) -> DataFrame:
 
 
 def top_and_bottom(df: DataFrame, score: str, tie: str, k: int = 5) -> DataFrame:
-    """The k best (best first) and the k worst (worst first), each with its position."""
+    """The k best (best first) and the k worst (worst first), each with its position.
+
+    Both lists read df: it is staged, so what its scores ask for is worked out once.
+    """
+    df = staged(df, "scored")
     best = df.orderBy(F.col(score).desc(), F.col(tie)).limit(k)
     worst = df.orderBy(F.col(score), F.col(tie).desc()).limit(k)
 
