@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import datetime
 import io
+import re
 
 from pyspark.sql import functions as F
 
@@ -48,3 +49,15 @@ def test_hours_meet_their_entries_by_one_shuffle_of_row_ids(spark):
     assert values(got) == values(wanted)
     assert [r["n"] for r in got.groupBy("row_id").agg(F.count("*").alias("n")).orderBy(F.col("row_id").asc_nulls_first()).collect()][:2] == [6, 4]
     assert plan_of(got).count("hashpartitioning(row_id") == 1
+
+
+def test_segment_sums_stay_small_enough_to_be_compiled(spark):
+    from suite import bindings as B
+    from tallyworks.plans.costing import movements as M
+
+    sums = M.segment_sums(B.movements(spark, "/root/testdata/sf0.001"))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        sums.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize: ?(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000  # bytes; larger methods are not compiled by the Java machine
