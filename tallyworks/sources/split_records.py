@@ -126,7 +126,8 @@ def split_records(spark: SparkSession, path: str, sep: str | None = None) -> Dat
     blocks = blocks.select(*SPLIT, "_inside", (F.sum("_n").over(up_to) - F.col("_n")).alias("_earlier"),
                            F.bool_and("utf8").over(Window.partitionBy("file")).alias("_utf8"))
 
-    met = kept.join(blocks, SPLIT)
+    # One short row a split: the lines stay where they are.
+    met = kept.join(F.broadcast(blocks), SPLIT)
     value = F.when(F.col("_utf8") | ~F.col("utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
 
     def chosen(name: str) -> Column:

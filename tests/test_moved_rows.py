@@ -61,3 +61,17 @@ def test_segment_sums_stay_small_enough_to_be_compiled(spark):
         sums.explain("codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize: ?(\d+)", out.getvalue())]
     assert sizes and max(sizes) < 8000  # bytes; larger methods are not compiled by the Java machine
+
+
+def test_lines_are_not_shuffled_to_learn_how_their_split_begins(spark, tmp_path):
+    from tallyworks.sources import split_records as R
+
+    (tmp_path / "a.csv").write_text('1,"x\ny",2\n3,z,4\n')
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        records = R.split_records(spark, str(tmp_path), ",")
+        assert "SortMergeJoin" not in plan_of(records)
+        assert sorted(r["text"] for r in records.collect()) == ['1,"x\ny",2', "3,z,4"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
