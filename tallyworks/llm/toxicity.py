@@ -466,11 +466,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
         return docs.select(*keys, held_out_rows().alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
                            none[0].alias("nearest"), none[1].alias("cosines"))
     terms = choose_terms(sample, max_terms)
-    words = spark.sparkContext.broadcast(vocabulary(sample))
+    held = vocabulary(sample)
+    n_words, words = len(held), spark.sparkContext.broadcast(held)
+    del held  # nor is a broadcast's value asked for here: that would load it once more and keep it
     # The only pass over all texts.
     vectors = stored(term_vectors(docs.withColumn("__row", F.monotonically_increasing_id()), terms, words, (*keys, "__row")), "vectors")
     n_docs = vectors.count()
-    word_df, term_df = frequencies(vectors, len(words.value), len(terms))
+    word_df, term_df = frequencies(vectors, n_words, len(terms))
     idf, term_idf = np.log((1 + n_docs) / (1 + word_df)) + 1, np.log((1 + n_docs) / (1 + term_df)) + 1
     examples = stored(term_vectors(sample, terms, words, ("id", "y")), "examples").drop("others", "other_counts")
     got = examples.toArrow().sort_by("id").combine_chunks()  # fit_rows rows
@@ -478,8 +480,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
     start = np.cumsum([0, *(got.column("words").combine_chunks().value_lengths().to_pylist())])
     index = TextIndex(idf, got.column("id").to_numpy(), got.column("y").to_numpy().astype(float), start,
                       got.column("words").combine_chunks().flatten().to_numpy(), got.column("counts").combine_chunks().flatten().to_numpy())
-    model = spark.sparkContext.broadcast(Model(term_idf, rows, index, k))
-    prior = model.value.prior
+    made = Model(term_idf, rows, index, k)
+    n_rows, prior, model = len(rows), made.prior, spark.sparkContext.broadcast(made)
+    del got, rows, start, index, idf, word_df, made
+    pa.default_memory_pool().release_unused()
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -488,7 +492,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
             yield pa.RecordBatch.from_arrays([b.column("y"), *[made[c] for c in ("vote", "near", "near_1")]], names=["y", "vote", "near", "near_1"])
 
     # The votes of each example by the others: fit_rows rows of four numbers, in an order that does not depend on the tasks.
-    parts = max(1, min(len(rows) // 500, spark.sparkContext.defaultParallelism))
+    parts = max(1, min(n_rows // 500, spark.sparkContext.defaultParallelism))
     own = examples.repartition(parts).mapInArrow(left_out, "y int, vote double, near double, near_1 double").toArrow()
     own = np.column_stack([own.column(c).to_numpy().astype(float) for c in ("y", "vote", "near", "near_1")])
     own = own[np.lexsort(own.T)]
