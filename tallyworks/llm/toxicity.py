@@ -10,25 +10,30 @@ and the calibration from them to scores.
 
 from __future__ import annotations
 
+import sys
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import TwoAges, forget, over_texts, query, stored, table
+from tallyworks.llm.common import forget, over_texts, query, stored, table
 from tallyworks.llm.sketch import SCHEMA, merged, pieces
 
-#: Examples in a block of the index; words whose terms a task remembers (twice as many at most); texts counted at once.
-BLOCK, KEPT, SLICE = 64, 100_000, 256
+#: Examples in a block of the index; votes by terms that a task remembers; texts counted at once.
+BLOCK, KEPT, SLICE = 64, 10_000, 256
 #: Texts searched at once, and common words whose weights are held as a dense matrix.
 AT_ONCE, DENSE = 64, 256
-#: Examples prepared at once.
-AT_PREPARE = 1000
+#: Examples prepared at once; postings added up at once; blocks of the index opened before the others are judged.
+AT_PREPARE, ROOM, FIRST_BLOCKS = 1000, 1 << 17, 8
+#: Characters of texts whose words are held at once, beside one longer text.
+CHARS = 1 << 23
+#: Which half of a 64-bit number in memory is the upper one.
+UPPER = int(sys.byteorder == "little")
 EDGE = ".,;:!?\"'()[]{}<>*$%&#-_/"
 
 
@@ -80,9 +85,10 @@ def choose_terms(sample: DataFrame, max_terms: int, least: float = 25.0, min_doc
             .where(F.col("chi") >= least).orderBy(F.desc("chi"), "term").limit(max_terms).select("term").collect()]
 
 
-def word_hash(word: str) -> int:
-    """64 bits that stand for a word; two of a corpus' words share them with next to no chance."""
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64 bits that stand for each word; two of a corpus' words share them with next to no chance."""
+    found = map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_pylist())
+    return (np.fromiter(found, np.uint64, len(words)) ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def vocabulary(sample: DataFrame) -> np.ndarray:
@@ -90,26 +96,35 @@ def vocabulary(sample: DataFrame) -> np.ndarray:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = {w.strip(EDGE) for text in b.column("text").to_pylist() for w in text.lower().split()}
-            yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in words - {""}], pa.int64())], names=["word"])
+            yield pa.RecordBatch.from_arrays([pa.array(word_hashes(pa.array(list(words - {""}), pa.large_string())), pa.int64())], names=["word"])
 
     return np.sort(sample.select("text").mapInArrow(find, "word long").distinct().toArrow().column("word").to_numpy())
 
 
-class Terms(TwoAges):
-    """A word's hash without its edges (None: nothing is left), and the numbers of its chosen terms; worked out when first asked for."""
+class Terms:
+    """The bare words of some texts, by their hashes, and the chosen terms of each."""
 
     def __init__(self, terms: list[str]) -> None:
-        super().__init__(KEPT)
-        self.number = {t: i for i, t in enumerate(terms)}
-
-    def work(self, word: str) -> tuple[int | None, tuple[int, ...]]:
-        bare, number = word.strip(EDGE), self.number
-        return (word_hash(bare), tuple([number[t] for t in terms_of(bare) if t in number])) if bare else (None, ())
-
-
-def summed(rows: list[int], what: np.ndarray, times: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        plain = [(t, i) for i, t in enumerate(terms) if not t.endswith("*")]
+        started = {n: [(t[:-1], i) for i, t in enumerate(terms) if t.endswith("*") and len(t) == n + 1] for n in (4, 5, 6)}
+        #: Letters of a beginning (None: the whole word), the texts to find, and their numbers as terms.
+        self.kinds = [(n, pa.array([t for t, _ in of], pa.large_string()), np.array([i for _, i in of], np.int64)) for n, of in ((None, plain), *started.items()) if of]
+
+    def of(self, bare: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places in `bare` and the numbers of the terms there."""
+        place, number = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n, texts, numbers in self.kinds:
+            found = pc.index_in(bare if n is None else pc.utf8_slice_codeunits(bare, 0, n), value_set=texts)
+            if n is not None:
+                found = pc.if_else(pc.greater_equal(pc.utf8_length(bare), n), found, None)
+            at = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            place.append(at)
+            number.append(numbers[found.drop_null().to_numpy()])
+        return np.concatenate(place), np.concatenate(number)
+
+
+def summed(rows: np.ndarray, what: np.ndarray, times: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of triples (row, what, times): for each row in turn its different `what`, ascending, and their times added up; how many a row."""
-    rows = np.asarray(rows, np.int64)
     if not len(rows):
         return what, times, np.zeros(n, np.int64)
     order = np.lexsort((what, rows))
@@ -128,29 +143,30 @@ def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]
     """Key columns, and of each whole text the chosen terms, the words and the words of no example, all with their counts.
 
     Numbers are ascending. `words` is the broadcast vocabulary; words outside it are given by their 64-bit hash. A task
-    holds the pairs of SLICE texts at a time and remembers a bounded number of words.
+    holds the words of SLICE texts at a time, looks at each different one once, and remembers none.
     """
     def counted(texts: list, known: Terms) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        row, hashes, times, marked, marks, mark_times = [], [], [], [], [], []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            seen = Counter(t.lower().split())
-            for (h, m), n in zip(map(known.__getitem__, seen), seen.values()):
-                if h is not None:
-                    row.append(i)
-                    hashes.append(h)
-                    times.append(n)
-                    if m:
-                        marked.extend([i] * len(m))
-                        marks.extend(m)
-                        mark_times.extend([n] * len(m))
-        row, hashes, times = np.array(row, np.int64), np.array(hashes, np.int64), np.array(times, np.int64)
+        cut = [t.lower().split() if t else [] for t in texts]
+        whole = pa.array([w for some in cut for w in some], pa.large_string()).dictionary_encode()
+        bare = pc.utf8_trim(whole.dictionary, EDGE).dictionary_encode()
+        # Each text's different bare words and how often: pairs in one number, in order.
+        pair = np.repeat(np.arange(len(cut)), list(map(len, cut))) * max(1, len(bare.dictionary)) + bare.indices.to_numpy()[whole.indices.to_numpy()]
+        pair, times = np.unique(pair, return_counts=True)
+        row, word = np.divmod(pair, max(1, len(bare.dictionary)))
+        if (empty := pc.index(bare.dictionary, "").as_py()) >= 0:
+            row, word, times = row[word != empty], word[word != empty], times[word != empty]
+        at, number = known.of(bare.dictionary)
+        at, number = at[order := np.argsort(at, kind="stable")], number[order]
+        first = np.searchsorted(at, np.arange(len(bare.dictionary) + 1))
+        many = np.diff(first)[word]
+        marked, marks, mark_times = np.repeat(row, many), number[spans(first[word], many)], np.repeat(times, many)
+        hashes = word_hashes(bare.dictionary)
         place = np.searchsorted(words.value, hashes)
         inside = place < len(words.value)
         inside[inside] = words.value[place[inside]] == hashes[inside]
+        place, inside, hashes = place[word], inside[word], hashes[word]
         n = len(texts)
-        return [summed(marked, np.array(marks, np.int64), np.array(mark_times, np.int64), n), summed(row[inside], place[inside], times[inside], n),
+        return [summed(marked, marks, mark_times, n), summed(row[inside], place[inside], times[inside], n),
                 summed(row[~inside], hashes[~inside], times[~inside], n)]
 
     def make():
@@ -158,8 +174,12 @@ def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]
         known = Terms(terms)
 
         def work(texts: list) -> dict:
-            out = {}
-            for (name, times, kind), (what, n, many) in zip((("terms", "times", np.int32), ("words", "counts", np.int32), ("others", "other_counts", np.int64)), counted(texts, known)):
+            out, sizes = {}, np.array([len(t or "") for t in texts], np.int64)
+            part = (np.cumsum(sizes) - sizes) // CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+            found = [counted(texts[a:z], known) for a, z in zip(cuts, cuts[1:])]
+            whole = [[np.concatenate(of) for of in zip(*kind)] for kind in zip(*found)]
+            for (name, times, kind), (what, n, many) in zip((("terms", "times", np.int32), ("words", "counts", np.int32), ("others", "other_counts", np.int64)), whole):
                 ends = pa.array(np.append(0, np.cumsum(many)).astype(np.int32))
                 out[name] = pa.ListArray.from_arrays(ends, pa.array(what.astype(kind)))
                 out[times] = pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))
@@ -191,6 +211,36 @@ def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(int(length.sum())) + np.repeat(start - before, length)
 
 
+def posted(row: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Postings as one number each: the row, and the weight in single precision in the lower half."""
+    both = np.empty((len(row), 2), np.int32)
+    both[:, UPPER], both[:, 1 - UPPER] = row, weight.astype(np.float32, copy=False).view(np.int32)
+    return both.view(np.int64).ravel()
+
+
+class Sums:
+    """Adds postings up for one search after another, in room that is kept."""
+
+    def __init__(self, n: int) -> None:
+        """`n`: the most postings of a word."""
+        self.posts, self.row, self.weight = np.empty(ROOM + n, np.int64), np.empty(ROOM + n, np.int64), np.empty(ROOM + n)
+
+    def add(self, to: np.ndarray, posts: np.ndarray, first: np.ndarray, last: np.ndarray, times: np.ndarray) -> None:
+        """To each row (in place) the weights of its postings, those from `first` to `last` of each word, by the word's `times`."""
+        many = last - first
+        runs = list(map(posts.__getitem__, map(slice, first.tolist(), last.tolist())))
+        part = (np.cumsum(many) - many) // ROOM
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(runs)]
+        for a, z in zip(cuts, cuts[1:]):
+            if a < z:
+                size = int(many[a:z].sum())
+                got, row, sums = self.posts[:size], self.row[:size], self.weight[:size]
+                np.concatenate(runs[a:z], out=got)
+                np.right_shift(got, 32, out=row)
+                np.multiply(got.view(np.float32)[1 - UPPER::2], np.repeat(times[a:z], many[a:z]), out=sums)
+                np.add.at(to, row, sums)
+
+
 class TextIndex:
     """Unit TF-IDF vectors of the examples over all their words, and the exact nearest ones of a text.
 
@@ -212,7 +262,7 @@ class TextIndex:
     def prepare(self) -> None:
         """What a search needs besides; made where it is used, in parts, as every worker has to hold it."""
         steps, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
-        self.words = np.cumsum(steps, dtype=np.int32)
+        self.words, self.packed = np.cumsum(steps, dtype=np.int32), None
         del steps
         n, most = len(self.ids), int(counts.max(initial=1))
         self.logs = 1 + np.log(np.arange(1, most + 1))
@@ -240,16 +290,18 @@ class TextIndex:
             held_at = np.flatnonzero(at >= 0)
             self.dense[at[held_at], row[part][held_at]] = weight[part][held_at]
             light[part] = at < 0
-        row, weight, words = row[light], weight[light], self.words[light]
+        row = row[light]
+        weight = weight[light]
+        words = self.words[light]
         del light
         self.light_start = np.append(0, np.cumsum(np.bincount(words, minlength=len(self.idf))))
-        self.light_row, self.light_weight = np.empty(len(words), np.int32), np.empty(len(words), np.float32)
+        self.light = np.empty(len(words), np.int64)
         for a, z in zip(cuts := np.linspace(0, len(self.idf), 17).astype(int), cuts[1:]):  # numbers are hashes in order: even parts
             some = np.flatnonzero((words >= a) & (words < z))
             some = some[np.argsort(words[some], kind="stable")]
-            part = slice(self.light_start[a], self.light_start[z])
-            self.light_row[part], self.light_weight[part] = row[some], weight[some]
-        self.of_word = np.zeros(len(self.idf))
+            self.light[self.light_start[a]:self.light_start[z]] = posted(row[some], weight[some])
+        self.of_word, self.asked = np.zeros(len(self.idf)), np.zeros(len(self.idf), bool)
+        self.sums = Sums(n)
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         """For each text (words, counts): rows and cosines of the k nearest examples with a positive cosine, ties to the smaller
@@ -270,28 +322,28 @@ class TextIndex:
         q = np.zeros((len(texts), len(self.dense)), np.float32)
         q[of[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
         about = q @ self.dense
-        ends = np.cumsum(sizes)
-        for i, near in enumerate(about):
+        ends, rare, near = np.cumsum(sizes), slot < 0, np.empty(n)
+        first, last = self.light_start[words], self.light_start[words + 1]
+        for i, common in enumerate(about):
             mine = slice(ends[i] - sizes[i], ends[i])
             # One text at a time: its sums stay in the processor's cache.
-            rare = slot[mine] < 0
-            first = self.light_start[words[mine][rare]]
-            many = self.light_start[words[mine][rare] + 1] - first
-            place = spans(first, many)
-            near = near + np.bincount(self.light_row[place], np.repeat(weight[mine][rare], many) * self.light_weight[place], n)
+            near[:] = common
+            self.sums.add(near, self.light, first[mine][rare[mine]], last[mine][rare[mine]], weight[mine][rare[mine]])
             if but is not None and but[i] >= 0:
                 near[but[i]] = 0
             least = np.partition(near, n - k)[n - k] - self.ERROR if n > k else 0.0
             rows = np.flatnonzero(near >= least) if least > 0 else np.flatnonzero(near > 0)
             cosines = np.zeros(0)
             if len(rows):
-                self.of_word[words[mine]] = weight[mine]
+                self.of_word[words[mine]], self.asked[words[mine]] = weight[mine], True
                 lengths = self.start[rows + 1] - self.start[rows]
                 place = spans(self.start[rows], lengths)
-                theirs = self.words[place]
-                own = self.logs[self.counts[place] - 1] * self.idf[theirs] / np.repeat(self.norm[rows], lengths)
-                cosines = np.add.reduceat(self.of_word[theirs] * own, np.cumsum(lengths) - lengths)
-                self.of_word[words[mine]] = 0
+                shared = np.flatnonzero(self.asked[self.words[place]])
+                place, theirs = place[shared], np.repeat(np.arange(len(rows)), lengths)[shared]
+                word = self.words[place]
+                own = self.logs[self.counts[place] - 1] * self.idf[word] / self.norm[rows][theirs]
+                cosines = np.bincount(theirs, self.of_word[word] * own, len(rows))
+                self.of_word[words[mine]], self.asked[words[mine]] = 0, False
                 keep = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
                 rows, cosines = rows[keep], cosines[keep]
             yield rows, cosines, float(length[i])
@@ -333,28 +385,37 @@ class BlockMaxIndex:
         bound = np.bincount(block, weight * self.block_most[entry], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        rows, cosines, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
-        place, done, step = np.full(self.blocks, -1), 0, 4
-        while done < len(order) and not (len(rows) >= k and bound[order[done]] < worst - 1e-12):
-            opened = order[done:done + step]
-            done, step = done + step, 2 * step
-            place[opened] = np.arange(len(opened))
-            hit = place[block] >= 0
+        score = np.zeros(self.blocks * BLOCK)
+
+        def least() -> float:
+            """The k-th best cosine so far, 0 while there are fewer."""
+            if but is not None:
+                score[but] = 0
+            return max(0.0, float(np.partition(score, len(score) - k)[len(score) - k])) if len(score) > k else 0.0
+
+        opened, worst = order[:FIRST_BLOCKS], 0.0
+        rest = order[FIRST_BLOCKS:]
+        while len(opened):
+            mark = np.zeros(self.blocks, bool)
+            mark[opened] = True
+            hit = np.flatnonzero(mark[block])
             first = self.block_first[entry[hit]]
             size = self.block_end[entry[hit]] - first
+            lists = self.start[at].tolist(), self.start[at + 1].tolist()
+            if 4 * int(size.sum()) > sum(lists[1]) - sum(lists[0]):
+                # Most of the lists is asked for: they are read as they stand, which opens every block.
+                score[:] = 0
+                np.add.at(score, np.concatenate([self.row[a:z] for a, z in zip(*lists)]), np.concatenate([self.weight[a:z] * x for a, z, x in zip(*lists, q)]))
+                worst = least()
+                break
             post = spans(first, size)
-            r = self.row[post]
-            score = np.bincount(place[r // BLOCK] * BLOCK + r % BLOCK, np.repeat(weight[hit], size) * self.weight[post], len(opened) * BLOCK).reshape(-1, BLOCK)
-            place[opened] = -1
-            i, j = np.nonzero(score > 0)
-            new = opened[i] * BLOCK + j
-            if but is not None:
-                i, j, new = i[new != but], j[new != but], new[new != but]
-            rows, cosines = np.append(rows, new), np.append(cosines, score[i, j])
-            keep = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
-            rows, cosines = rows[keep], cosines[keep]
-            worst = cosines[-1] if len(rows) >= k else 0.0
-        return rows, cosines
+            np.add.at(score, self.row[post], np.repeat(weight[hit], size) * self.weight[post])
+            worst = least()
+            # No block whose bound falls short of the k-th best so far holds a nearer one.
+            opened, rest = rest[bound[rest] >= worst - 1e-12], rest[:0]
+        rows = np.flatnonzero(score >= worst - 1e-11) if worst > 1e-11 else np.flatnonzero(score > 0)
+        keep = np.lexsort((self.ids[rows], -np.round(score[rows], 12)))[:k]
+        return rows[keep], score[rows[keep]]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray, prior: float) -> float:
         """Share of label 1 by squared cosine, drawn a little towards the prior, the less so the nearer they are."""
@@ -422,7 +483,7 @@ class Model:
         for i, (t, n) in enumerate(zip(b.column("terms").to_pylist(), b.column("times").to_pylist())):
             q = (tuple(t), tuple(n), but[i] if but else None)
             if q not in known:
-                if len(known) > KEPT // 10:
+                if len(known) > KEPT:
                     known.clear()
                 known[q] = self.term_vote(*q)
             votes.append(known[q])

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -66,3 +67,41 @@ def test_search_over_texts_is_exact(k):
         cos[i] = 0
         want = sorted((j for j in range(n) if cos[j] > 1e-12), key=lambda j: (-round(cos[j], 12), j))[:k]
         assert np.allclose(cos[want], cosines, atol=1e-12) and np.allclose(cos[found], cosines, atol=1e-12) and i not in found
+
+
+def test_the_sums_of_a_search_need_no_room_for_all_its_postings():
+    rng = np.random.default_rng(5)
+    n, v, each = 3000, 2000, 500
+    words = np.concatenate([np.sort(rng.choice(v, each, replace=False)) for _ in range(n)])
+    counts = rng.integers(1, 9, len(words))
+    index = toxicity.TextIndex(np.ones(v), np.arange(n), np.zeros(n), np.arange(n + 1) * each, words, counts)
+    every = [(np.arange(v), np.ones(v, int))]
+    next(index.nearest(every, 15))
+    tracemalloc.start()
+    rows, cosines, _ = next(index.nearest(every, 15))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    unit = (1 + np.log(counts)).reshape(n, each)
+    cos = unit.sum(axis=1) / np.linalg.norm(unit, axis=1) / math.sqrt(v)
+    assert np.array_equal(rows, np.argsort(-cos)[:15]) and np.allclose(cosines, cos[rows], atol=1e-12)
+    assert most < 8e6, most  # over a million postings of eight bytes and more
+
+
+@pytest.mark.parametrize("chars", [1, 1 << 23])
+def test_words_and_terms_of_texts_are_counted_one_by_one(spark, monkeypatch, chars):
+    monkeypatch.setattr(toxicity, "CHARS", chars)
+    terms = ["the", "abcd*", "abcde*", "abc**", "\u00e9t\u00e9"]
+    texts = ["the The, (the) abcdef", None, "", " . ", "abc*de abcd abc", "\u00c9t\u00e9 \u00df \u0130x", "abcde. abcdX? the\u00a0end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    known = toxicity.word_hashes(toxicity.pa.array(["the", "abcd", "abcdx"], toxicity.pa.large_string()))
+    got = {r["doc_id"]: r for r in toxicity.term_vectors(docs, terms, spark.sparkContext.broadcast(np.sort(known)), ("doc_id",)).collect()}
+    for i, t in enumerate(texts):
+        bag = Counter(x for w in (t or "").lower().split() if (x := w.strip(toxicity.EDGE)))
+        marks = Counter()
+        for w, c in bag.items():
+            marks.update({terms.index(x): c for x in toxicity.terms_of(w) if x in terms})
+        hashes = dict(zip(toxicity.word_hashes(toxicity.pa.array(list(bag), toxicity.pa.large_string())).tolist(), bag.values()))
+        words = {int(np.searchsorted(np.sort(known), h)): c for h, c in hashes.items() if h in known}
+        assert list(zip(got[i]["terms"], got[i]["times"])) == sorted(marks.items())
+        assert list(zip(got[i]["words"], got[i]["counts"])) == sorted(words.items())
+        assert list(zip(got[i]["others"], got[i]["other_counts"])) == sorted((h, c) for h, c in hashes.items() if h not in known)
