@@ -10,7 +10,6 @@ and the calibration from them to scores.
 
 from __future__ import annotations
 
-import sys
 import zlib
 from collections.abc import Iterator
 
@@ -32,8 +31,6 @@ AT_ONCE, DENSE = 64, 256
 AT_PREPARE, ROOM, FIRST_BLOCKS = 1000, 1 << 17, 8
 #: Characters of texts whose words are held at once, beside one longer text.
 CHARS = 1 << 23
-#: Which half of a 64-bit number in memory is the upper one.
-UPPER = int(sys.byteorder == "little")
 EDGE = ".,;:!?\"'()[]{}<>*$%&#-_/"
 
 
@@ -87,7 +84,7 @@ def choose_terms(sample: DataFrame, max_terms: int, least: float = 25.0, min_doc
 
 def word_hashes(words: pa.Array) -> np.ndarray:
     """64 bits that stand for each word; two of a corpus' words share them with next to no chance."""
-    found = map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_pylist())
+    found = map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_numpy(zero_copy_only=False))
     return (np.fromiter(found, np.uint64, len(words)) ^ np.uint64(1 << 63)).view(np.int64)
 
 
@@ -149,25 +146,26 @@ def term_vectors(docs: DataFrame, terms: list[str], words, keys: tuple[str, ...]
         cut = [t.lower().split() if t else [] for t in texts]
         whole = pa.array([w for some in cut for w in some], pa.large_string()).dictionary_encode()
         bare = pc.utf8_trim(whole.dictionary, EDGE).dictionary_encode()
-        # Each text's different bare words and how often: pairs in one number, in order.
-        pair = np.repeat(np.arange(len(cut)), list(map(len, cut))) * max(1, len(bare.dictionary)) + bare.indices.to_numpy()[whole.indices.to_numpy()]
+        hashes, of = np.unique(word_hashes(bare.dictionary), return_inverse=True)
+        # Each text's different words and how often: pairs in one number, in order.
+        pair = np.repeat(np.arange(len(cut)), list(map(len, cut))) * max(1, len(hashes)) + of[bare.indices.to_numpy()][whole.indices.to_numpy()]
         pair, times = np.unique(pair, return_counts=True)
-        row, word = np.divmod(pair, max(1, len(bare.dictionary)))
+        row, word = np.divmod(pair, max(1, len(hashes)))
         if (empty := pc.index(bare.dictionary, "").as_py()) >= 0:
-            row, word, times = row[word != empty], word[word != empty], times[word != empty]
+            row, word, times = row[word != of[empty]], word[word != of[empty]], times[word != of[empty]]
         at, number = known.of(bare.dictionary)
-        at, number = at[order := np.argsort(at, kind="stable")], number[order]
-        first = np.searchsorted(at, np.arange(len(bare.dictionary) + 1))
+        order = np.argsort(of[at], kind="stable")
+        at, number = of[at][order], number[order]
+        first = np.searchsorted(at, np.arange(len(hashes) + 1))
         many = np.diff(first)[word]
         marked, marks, mark_times = np.repeat(row, many), number[spans(first[word], many)], np.repeat(times, many)
-        hashes = word_hashes(bare.dictionary)
         place = np.searchsorted(words.value, hashes)
         inside = place < len(words.value)
         inside[inside] = words.value[place[inside]] == hashes[inside]
         place, inside, hashes = place[word], inside[word], hashes[word]
         n = len(texts)
-        return [summed(marked, marks, mark_times, n), summed(row[inside], place[inside], times[inside], n),
-                summed(row[~inside], hashes[~inside], times[~inside], n)]
+        return [summed(marked, marks, mark_times, n), (place[inside], times[inside], np.bincount(row[inside], minlength=n)),
+                (hashes[~inside], times[~inside], np.bincount(row[~inside], minlength=n))]
 
     def make():
         forget()
@@ -211,23 +209,35 @@ def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(int(length.sum())) + np.repeat(start - before, length)
 
 
-def posted(row: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Postings as one number each: the row, and the weight in single precision in the lower half."""
-    both = np.empty((len(row), 2), np.int32)
-    both[:, UPPER], both[:, 1 - UPPER] = row, weight.astype(np.float32, copy=False).view(np.int32)
-    return both.view(np.int64).ravel()
+def kth_best(values: np.ndarray, k: int) -> float:
+    """The k-th largest of more than k values; of fewer 0."""
+    if len(values) <= k:
+        return 0.0
+    if len(some := values[:len(values) // 8]) > 8 * k:  # the k-th best of some of them is no better
+        values = values[values >= np.partition(some, len(some) - k)[len(some) - k]]
+    return float(np.partition(values, len(values) - k)[len(values) - k])
 
 
 class Sums:
-    """Adds postings up for one search after another, in room that is kept."""
+    """Adds postings up for one search after another, in room that is kept.
 
-    def __init__(self, n: int) -> None:
-        """`n`: the most postings of a word."""
-        self.posts, self.row, self.weight = np.empty(ROOM + n, np.int64), np.empty(ROOM + n, np.int64), np.empty(ROOM + n)
+    A posting is one number: the row, and in the lower half its weight in whole steps.
+    """
+
+    def __init__(self, n: int, most: float) -> None:
+        """`n`: the rows, and so the most postings of a word; `most`: the largest weight."""
+        self.bits = 16 if n <= 1 << 16 else 32
+        self.kind = np.uint32 if self.bits == 16 else np.uint64
+        self.mask, self.step = self.kind((1 << self.bits) - 1), max(most, 1e-300) / ((1 << self.bits) - 1)
+        self.posts, self.row, self.weight = np.empty(ROOM + n, self.kind), np.empty(ROOM + n, np.int64), np.empty(ROOM + n)
 
-    def add(self, to: np.ndarray, posts: np.ndarray, first: np.ndarray, last: np.ndarray, times: np.ndarray) -> None:
-        """To each row (in place) the weights of its postings, those from `first` to `last` of each word, by the word's `times`."""
-        many = last - first
+    def posted(self, row: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        return row.astype(self.kind) << self.kind(self.bits) | np.rint(weight / self.step).astype(self.kind)
+
+    def add(self, to: np.ndarray, posts: np.ndarray, first: np.ndarray, last: np.ndarray, times: np.ndarray) -> float:
+        """To each row (in place) the weights of its postings, those from `first` to `last` of each word, by the word's
+        `times`; returns twice the most that a row's sum is off by the steps."""
+        many, times = last - first, times * self.step
         runs = list(map(posts.__getitem__, map(slice, first.tolist(), last.tolist())))
         part = (np.cumsum(many) - many) // ROOM
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(runs)]
@@ -236,17 +246,19 @@ class Sums:
                 size = int(many[a:z].sum())
                 got, row, sums = self.posts[:size], self.row[:size], self.weight[:size]
                 np.concatenate(runs[a:z], out=got)
-                np.right_shift(got, 32, out=row)
-                np.multiply(got.view(np.float32)[1 - UPPER::2], np.repeat(times[a:z], many[a:z]), out=sums)
+                np.right_shift(got, self.kind(self.bits), out=row, casting="unsafe")
+                np.bitwise_and(got, self.mask, out=got)
+                np.multiply(got, np.repeat(times[a:z], many[a:z]), out=sums)
                 np.add.at(to, row, sums)
+        return float(times.sum())
 
 
 class TextIndex:
     """Unit TF-IDF vectors of the examples over all their words, and the exact nearest ones of a text.
 
-    All cosines of some texts at once are worked out in single precision: the common words by a product of dense
-    matrices, the others by their postings. The rows that may be among the k nearest by more than the error of that are
-    worked out again in double precision.
+    All cosines of some texts at once are worked out roughly: the common words by a product of dense matrices in single
+    precision, the others by their postings, whose weights are held in steps. The rows that may be among the k nearest
+    within the error of that are worked out again in double precision.
     """
 
     #: More than twice the error of a sum of DENSE products in single precision.
@@ -295,13 +307,13 @@ class TextIndex:
         words = self.words[light]
         del light
         self.light_start = np.append(0, np.cumsum(np.bincount(words, minlength=len(self.idf))))
-        self.light = np.empty(len(words), np.int64)
+        self.sums = Sums(n, float(weight.max(initial=0)))
+        self.light = np.empty(len(words), self.sums.kind)
         for a, z in zip(cuts := np.linspace(0, len(self.idf), 17).astype(int), cuts[1:]):  # numbers are hashes in order: even parts
             some = np.flatnonzero((words >= a) & (words < z))
             some = some[np.argsort(words[some], kind="stable")]
-            self.light[self.light_start[a]:self.light_start[z]] = posted(row[some], weight[some])
+            self.light[self.light_start[a]:self.light_start[z]] = self.sums.posted(row[some], weight[some])
         self.of_word, self.asked = np.zeros(len(self.idf)), np.zeros(len(self.idf), bool)
-        self.sums = Sums(n)
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         """For each text (words, counts): rows and cosines of the k nearest examples with a positive cosine, ties to the smaller
@@ -328,10 +340,10 @@ class TextIndex:
             mine = slice(ends[i] - sizes[i], ends[i])
             # One text at a time: its sums stay in the processor's cache.
             near[:] = common
-            self.sums.add(near, self.light, first[mine][rare[mine]], last[mine][rare[mine]], weight[mine][rare[mine]])
+            off = self.ERROR + self.sums.add(near, self.light, first[mine][rare[mine]], last[mine][rare[mine]], weight[mine][rare[mine]])
             if but is not None and but[i] >= 0:
                 near[but[i]] = 0
-            least = np.partition(near, n - k)[n - k] - self.ERROR if n > k else 0.0
+            least = kth_best(near, k) - off if n > k else 0.0
             rows = np.flatnonzero(near >= least) if least > 0 else np.flatnonzero(near > 0)
             cosines = np.zeros(0)
             if len(rows):
@@ -387,12 +399,6 @@ class BlockMaxIndex:
         order = order[bound[order] > 0]
         score = np.zeros(self.blocks * BLOCK)
 
-        def least() -> float:
-            """The k-th best cosine so far, 0 while there are fewer."""
-            if but is not None:
-                score[but] = 0
-            return max(0.0, float(np.partition(score, len(score) - k)[len(score) - k])) if len(score) > k else 0.0
-
         opened, worst = order[:FIRST_BLOCKS], 0.0
         rest = order[FIRST_BLOCKS:]
         while len(opened):
@@ -402,17 +408,19 @@ class BlockMaxIndex:
             first = self.block_first[entry[hit]]
             size = self.block_end[entry[hit]] - first
             lists = self.start[at].tolist(), self.start[at + 1].tolist()
-            if 4 * int(size.sum()) > sum(lists[1]) - sum(lists[0]):
+            whole = 4 * int(size.sum()) > sum(lists[1]) - sum(lists[0])
+            if whole:
                 # Most of the lists is asked for: they are read as they stand, which opens every block.
                 score[:] = 0
                 np.add.at(score, np.concatenate([self.row[a:z] for a, z in zip(*lists)]), np.concatenate([self.weight[a:z] * x for a, z, x in zip(*lists, q)]))
-                worst = least()
-                break
-            post = spans(first, size)
-            np.add.at(score, self.row[post], np.repeat(weight[hit], size) * self.weight[post])
-            worst = least()
+            else:
+                post = spans(first, size)
+                np.add.at(score, self.row[post], np.repeat(weight[hit], size) * self.weight[post])
+            if but is not None:
+                score[but] = 0
             # No block whose bound falls short of the k-th best so far holds a nearer one.
-            opened, rest = rest[bound[rest] >= worst - 1e-12], rest[:0]
+            worst = max(worst, kth_best(score.reshape(-1, BLOCK)[opened].ravel(), k))
+            opened, rest = rest[:0] if whole else rest[bound[rest] >= worst - 1e-12], rest[:0]
         rows = np.flatnonzero(score >= worst - 1e-11) if worst > 1e-11 else np.flatnonzero(score > 0)
         keep = np.lexsort((self.ids[rows], -np.round(score[rows], 12)))[:k]
         return rows[keep], score[rows[keep]]
